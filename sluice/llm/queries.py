@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluice.llm import quality_rules, url_filter
+from sluice.llm import mixing, multi_index, quality_rules, simhash, url_filter
 
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
@@ -24,7 +25,22 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_quality_rules(docs).select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op5_quality_rules)}
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(read(spark, sf_dir, "documents"), shingle=3, distance=2)
+
+
+def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    found = multi_index.nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op5_quality_rules, op6_mixing, op9_simhash, op10_multi_index)}
 
 OP1_SQL = r"""
 WITH u AS (
