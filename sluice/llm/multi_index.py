@@ -2,11 +2,14 @@
 
 Vectors are cut into two halves, each quantised by its own codebook; a cell is a pair of centroids. A query walks the
 cells in the order of summed squared distances to its halves' centroids, by a heap, until the cells visited hold at
-least ``candidates`` vectors; all vectors of those cells are ranked by exact Euclidean distance in double precision.
+least ``candidates`` vectors and the given ``fraction`` of all; all vectors of those cells are ranked by exact
+Euclidean distance in double precision. Vectors that spread evenly in all directions need about half of all cells for
+a recall of 0.95; clustered ones need far fewer, so the fraction is a parameter.
 
 The codebooks are fitted on at most ``sample`` vectors (those with the smallest hashes of their ids); every vector is
-indexed. Cells have no cap: large ones are dealt out in blocks, and so are the queries that visit one cell, so a task
-holds one block of each. Of equal vectors only the k + 1 smallest ids are indexed, as no others can be among the
+indexed. Entries meet queries in blocks: cells with neighbouring first centroids share a block, a first centroid with
+many vectors gets several, and the queries that visit a block are dealt out likewise, so a task holds a bounded block
+of each. No cell has a cap. Of equal vectors only the k + 1 smallest ids are indexed, as no others can be among the
 nearest k; that choice is made in two steps, so many copies don't meet in one task.
 
 Defined cases: vectors that are null, zero, of another length than the commonest, or that hold null or non-finite
@@ -26,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluice.llm.common import stored
+from sluice.llm.common import small, stored
 
 SAMPLE, ROUNDS, SEED = 20_000, 12, 7
 #: A codebook has at most so many centroids, so the table of cell counts has at most its square.
 MOST_CENTROIDS = 128
-#: Vectors and queries that meet in a task at once.
+#: Vectors and queries that meet in a group, about.
 BLOCK = 4096
 
 
@@ -87,6 +90,24 @@ def walk(a: np.ndarray, b: np.ndarray, counts: np.ndarray, candidates: int) -> l
     return cells
 
 
+def deal(counts: np.ndarray, k_b: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each first centroid its first block and the number of its blocks."""
+    first, parts, block, held = [], [], 0, 0
+    for n in counts.reshape(-1, k_b).sum(1):
+        if n > BLOCK:
+            block += held > 0
+            first.append(block)
+            parts.append(-(-n // BLOCK))
+            block, held = block + parts[-1], 0
+            continue
+        if held + n > BLOCK:
+            block, held = block + 1, 0
+        first.append(block)
+        parts.append(1)
+        held += n
+    return np.array(first), np.array(parts)
+
+
 def _assign(books, batches):
     half = books[0].shape[1]
     for batch in batches:
@@ -95,38 +116,49 @@ def _assign(books, batches):
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.asarray(cell, np.int32))], ["id", "v", "cell"])
 
 
-def _probe(books, counts, candidates, batches):
-    half = books[0].shape[1]
+def _probe(books, counts, dealt, candidates, batches):
+    """A row for each query and block that holds visited cells, with those cells."""
+    half, (first, parts) = books[0].shape[1], dealt
     for batch in batches:
-        x = matrix(batch.column(1))
+        x, rows, blocks, visits = matrix(batch.column(1)), [], [], []
         if not len(x):
             continue
         a, b = distances(x[:, :half], books[0]), distances(x[:, half:], books[1])
-        cells = [walk(a[i], b[i], counts, candidates) for i in range(len(x))]
-        rows = np.repeat(np.arange(len(x)), [len(c) for c in cells])
-        yield pa.RecordBatch.from_arrays([*(c.take(pa.array(rows)) for c in batch.columns), pa.array(np.concatenate(cells).astype(np.int32))], ["id", "v", "cell"])
+        for i in range(len(x)):
+            cells = np.array(walk(a[i], b[i], counts, candidates), np.int32)
+            at = first[cells // len(books[1])]
+            for block in np.unique(at):
+                own = np.sort(cells[at == block])
+                for part in range(parts[own[0] // len(books[1])]):
+                    rows.append(i)
+                    blocks.append(block + part)
+                    visits.append(own.tobytes())
+        taken = [c.take(pa.array(rows, pa.int64())) for c in batch.columns]
+        yield pa.RecordBatch.from_arrays([*taken, pa.array(blocks, pa.int32()), pa.array(visits, pa.binary())], ["id", "v", "block", "cells"])
 
 
 def _rank(k, entries: pa.Table, probes: pa.Table) -> pa.Table:
-    e, q = matrix(entries["v"]), matrix(probes["v"])
-    ids, asked, out = entries["id"].to_numpy(), probes["id"].to_numpy(), []
-    order = ids.argsort(kind="stable")
-    e, ids = e[order], ids[order]
-    if len(e):
-        for lo in range(0, len(q), 256):
-            rough = distances(q[lo : lo + 256], e)
-            most = min(len(e), k + 1 + 8)
-            for i, row in enumerate(rough, lo):
-                best = np.flatnonzero(row <= np.partition(row, most - 1)[most - 1] * (1 + 1e-9) + 1e-12)
-                best = best[ids[best] != asked[i]]
-                exact = np.sqrt(((e[best] - q[i]) ** 2).sum(1))
-                top = np.lexsort((ids[best], exact))[:k]
-                out.append((np.full(len(top), asked[i]), ids[best][top], exact[top]))
-    parts = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
+    ids, cells = entries["id"].to_numpy(), entries["cell"].to_numpy()
+    order = np.lexsort((ids, cells))
+    e, ids, cells = matrix(entries["v"])[order], ids[order], cells[order]
+    q, asked, visits, out = matrix(probes["v"]), probes["id"].to_numpy(), probes["cells"].to_pylist(), []
+    for i in range(len(q) if len(e) else 0):
+        wanted = np.frombuffer(visits[i], np.int32)
+        hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, cells), len(wanted) - 1)] == cells)
+        hit = hit[ids[hit] != asked[i]]
+        if not len(hit):
+            continue
+        rough = distances(q[i : i + 1], e[hit])[0]
+        if len(hit) > k:
+            hit = hit[rough <= np.partition(rough, k - 1)[k - 1] * (1 + 1e-9) + 1e-9]
+        exact = np.sqrt(((e[hit] - q[i]) ** 2).sum(1))
+        top = np.lexsort((ids[hit], exact))[:k]
+        out.append((np.full(len(top), asked[i]), ids[hit][top], exact[top]))
+    parts = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0)] * 3
     return pa.table({"query_id": parts[0].astype(np.int64), "id": parts[1].astype(np.int64), "score": parts[2].astype(np.float64)})
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, candidates: int = 4000, id_col: str = "vec_id", vec_col: str = "embedding", sample: int = SAMPLE) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, candidates: int = 4000, fraction: float = 0.5, id_col: str = "vec_id", vec_col: str = "embedding", sample: int = SAMPLE) -> DataFrame:
     """(query_id, rank, id, score): the k nearest found for each query row, nearest first."""
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, id long, score double")
@@ -144,22 +176,22 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, candidates: int
     drawn = sound.orderBy(F.xxhash64("id"), "id").limit(sample).toPandas()  # at most ``sample`` rows
     points = np.array(drawn["v"].tolist(), np.float64)
     half = max(1, size // 2)
-    k_fit = int(np.clip(2 ** round(np.log2(max(2.0, (length[0]["c"] / 24) ** 0.5))), 2, MOST_CENTROIDS))
+    k_fit = int(np.clip(2 ** round(np.log2(max(2.0, (length[0]["c"] / 3) ** 0.5))), 2, MOST_CENTROIDS))
     books = [fit_codebook(points[:, :half], k_fit), fit_codebook(points[:, half:], k_fit) if size > 1 else np.zeros((1, 0))]
     index = stored(kept.mapInArrow(partial(_assign, books), "id long, v array<double>, cell int"), "cells")
     counts = np.zeros(len(books[0]) * len(books[1]), np.int64)
     for cell, n in index.groupBy("cell").count().collect():  # a row for each cell, at most MOST_CENTROIDS squared
         counts[cell] = n
+    dealt = deal(counts, len(books[1]))
     asked = clean_vectors(queries, id_col, vec_col).where(F.size("v") == size).groupBy("id").agg(F.min("v").alias("v"))
-    probes = stored(asked.mapInArrow(partial(_probe, books, counts, candidates), "id long, v array<double>, cell int"), "probes")
-    blocks = probes.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nq")).join(
-        index.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("ne")), "cell")
-    blocks = F.broadcast(stored(blocks, "blocks"))  # a row for each cell
-    salt = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    entries = index.join(blocks, "cell").select("cell", salt("ne").alias("be"), every("nq").alias("bq"), "id", "v")
-    wanted = probes.join(blocks, "cell").select("cell", every("ne").alias("be"), salt("nq").alias("bq"), "id", "v")
-    keys = ("cell", "be", "bq")
-    ranked = entries.groupBy(*keys).cogroup(wanted.groupBy(*keys)).applyInArrow(partial(_rank, k), "query_id long, id long, score double")
+    walked = asked.mapInArrow(partial(_probe, books, counts, dealt, max(candidates, int(fraction * counts.sum()))), "id long, v array<double>, block int, cells binary")
+    probes = stored(walked, "probes")
+    visitors = stored(probes.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nq")), "visitors")
+    centroid = F.floor(F.col("cell") / len(books[1])) + 1
+    at = lambda array: F.element_at(F.lit([int(x) for x in array]), centroid.cast("int"))
+    entries = index.withColumn("block", (at(dealt[0]) + F.pmod(F.xxhash64("id"), at(dealt[1]))).cast("int"))
+    entries = entries.join(small(visitors), "block").select("block", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("part"), "id", "v", "cell")
+    wanted = probes.join(small(visitors), "block").select("block", F.pmod(F.xxhash64("id"), F.col("nq")).cast("int").alias("part"), "id", "v", "cells")
+    ranked = entries.groupBy("block", "part").cogroup(wanted.groupBy("block", "part")).applyInArrow(partial(_rank, k), "query_id long, id long, score double")
     order = W.partitionBy("query_id").orderBy("score", "id")
     return ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import mixing, multi_index, quality_rules, simhash, url_filter
+from sluice.llm import language_id, mixing, multi_index, quality_rules, simhash, url_filter
 
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
@@ -30,6 +30,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"), shingle=3, distance=2)
 
@@ -40,7 +45,7 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op5_quality_rules, op6_mixing, op9_simhash, op10_multi_index)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op5_quality_rules, op6_mixing, op8_language_id, op9_simhash, op10_multi_index)}
 
 OP1_SQL = r"""
 WITH u AS (
