@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import language_id, mixing, multi_index, quality_rules, simhash, url_filter
+from sluice.llm import language_id, mixing, multi_index, quality_rules, simhash, suffix_dedup, url_filter, warc
+from sluice.llm.common import scratch
 
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
@@ -20,6 +21,26 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", *url_filter.OUTPUTS)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select(F.col("page_id").alias("key"), F.col("url").alias("uri"), F.col("html").alias("payload"))
+    path = scratch(spark, "archives")
+    warc.write_archives(warc.choose(pages), path)
+    found = warc.resolve_revisits(warc.read_archives(spark, path))
+    return found.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return cut.select(
+        "doc_id",
+        n_bytes.alias("n_bytes"),
+        (n_bytes - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.apply_quality_rules(docs).select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
@@ -45,7 +66,7 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op5_quality_rules, op6_mixing, op8_language_id, op9_simhash, op10_multi_index)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op3_warc, op4_suffix_dedup, op5_quality_rules, op6_mixing, op8_language_id, op9_simhash, op10_multi_index)}
 
 OP1_SQL = r"""
 WITH u AS (
@@ -95,4 +116,13 @@ FROM b
 """
 )
 
-ORACLES = {"op1_url_filter": OP1_SQL, "op5_quality_rules": OP5_SQL}
+OP3_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+o AS (SELECT d, max(page_id) AS o FROM p WHERE n >= 1000 GROUP BY d HAVING count(*) > 1)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN o.o IS NOT NULL AND page_id <> o.o THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> o.o THEN o.o END AS refers_to
+FROM p LEFT JOIN o ON o.d = p.d
+"""
+
+ORACLES = {"op1_url_filter": OP1_SQL, "op3_warc": OP3_SQL, "op5_quality_rules": OP5_SQL}
