@@ -30,7 +30,7 @@ from sluice.llm.graph import connected_components
 
 SEED = 42
 BLOCK = 1 << 15
-PAIR_LIMIT = 64
+PAIR_LIMIT = 256
 
 
 def shingles(words: list[bytes], size: int):
@@ -92,17 +92,12 @@ def candidate_links(fps: DataFrame, distance: int = 2, limit: int = PAIR_LIMIT)
     hot = hits.where(F.col("n") > limit)
     if hot.isEmpty():
         return cold
-    edges = cold
-    for k, (m, w) in enumerate(kinds):
-        rest = [1 << b for b in range(64) if not m >> b & 1]
-        wild = [_long(~sum(c) & (1 << 64) - 1 & ~w) for c in combinations(rest, distance - bool(w))]
-        own = hot.where(F.col("kind") == k)
-        for lo in range(0, len(wild), 512):
-            keys = F.array(*map(F.lit, wild[lo : lo + 512]))
-            exploded = own.select("fp", F.posexplode(F.transform(keys, lambda x: F.col("fp").bitwiseAND(x))).alias("i", "key"))
-            least = exploded.groupBy("i", "key").agg(F.min("fp").alias("a"), F.count("*").alias("m")).where("m > 1").drop("m")
-            edges = edges.union(exploded.join(least, ["i", "key"]).where("a <> fp").select("a", F.col("fp").alias("b")))
-    return edges
+    wild = [(k, _long(~sum(c) & (1 << 64) - 1 & ~w)) for k, (m, w) in enumerate(kinds) if distance >= bool(w) for c in combinations([1 << b for b in range(64) if not m >> b & 1], distance - bool(w))]
+    wild = fps.sparkSession.createDataFrame(wild, "kind int, mask long")  # a fixed table of some thousand rows
+    exploded = hot.join(F.broadcast(wild), "kind").select("kind", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
+    least = exploded.groupBy("kind", "mask", "key").agg(F.min("fp").alias("a"), F.count("*").alias("m")).where("m > 1").drop("m")
+    star = exploded.join(least, ["kind", "mask", "key"]).where("a <> fp").select("a", F.col("fp").alias("b"))
+    return cold.union(star)
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
