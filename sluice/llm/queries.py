@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import language_id, mixing, multi_index, quality_rules, simhash, suffix_dedup, url_filter, warc
-from sluice.llm.common import scratch
+from sluice.llm import language_id, license_scan, mixing, multi_index, quality_rules, sentence_pieces, simhash, suffix_dedup, url_filter, warc
+from sluice.llm.common import NOT_SPACE, scratch
 
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
@@ -21,6 +21,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", *url_filter.OUTPUTS)
 
 
+def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select(F.col("page_id").alias("key"), F.col("url").alias("uri"), F.col("html").alias("payload"))
     path = scratch(spark, "archives")
@@ -51,6 +55,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: source/lang/hundred/doc_id.txt; a text of under 40 words with a notice is the
+    licence file of its folder."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    folder = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.floor(F.col("doc_id") / 100).cast("string"))
+    notice = F.coalesce(F.col("text").rlike("(?i)licen[cs]e"), F.lit(False)) & (F.regexp_count("text", F.lit(NOT_SPACE + "+")) < 40)
+    path = F.concat(folder, F.when(notice, "/LICENSE.").otherwise("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    return license_scan.scan(docs.select("doc_id", path.alias("path"), "text")).drop("text")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
@@ -66,7 +80,7 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op3_warc, op4_suffix_dedup, op5_quality_rules, op6_mixing, op8_language_id, op9_simhash, op10_multi_index)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_sentence_pieces, op3_warc, op4_suffix_dedup, op5_quality_rules, op6_mixing, op7_license_scan, op8_language_id, op9_simhash, op10_multi_index)}
 
 OP1_SQL = r"""
 WITH u AS (
