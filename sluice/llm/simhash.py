@@ -5,9 +5,13 @@ XXH64. To link fingerprints at ``distance`` bits or fewer, the 64 bits are cut i
 ones have a segment that differs by at most one bit: (distance + 2) // 2. Each segment is indexed whole and with one
 bit left out; an equality join on these variants gives the candidates, which are verified on all bits.
 
-Hot variants: where more than ``limit`` fingerprints share one, no pairs are made. Their remaining bits are indexed
-with all the wildcards that the distance still allows; fingerprints that share such a key are all within the
-distance, so each is linked to the key's smallest. No link between components is lost and the edges stay linear.
+The fingerprints of one variant are gone through by a breadth-first search that emits a spanning forest of their links,
+so the edges stay linear. Hot variants, which more than ``limit`` fingerprints share, don't go to one task: their
+remaining bits are indexed with all the wildcards that the distance still allows; fingerprints that share such a key
+are all within the distance, so each is linked to the key's smallest. No link between components is lost.
+
+near_copies() finds copies by similarity: fingerprints of single words give the candidates, which are linked if the
+sketches of their five-word shingles (one-permutation min-hash) agree to at least ``similarity``.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; fewer words than a shingle
 make one shingle of all; repeated rows share a component and each get a row; null ids are never a component's id
@@ -30,7 +34,8 @@ from sluice.llm.graph import connected_components
 
 SEED = 42
 BLOCK = 1 << 15
-PAIR_LIMIT = 256
+#: Fingerprints of one variant that go to one task.
+LIMIT = 20_000
 
 
 def shingles(words: list[bytes], size: int):
@@ -76,37 +81,116 @@ def _long(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def candidate_links(fps: DataFrame, distance: int = 2, limit: int = PAIR_LIMIT) -> DataFrame:
-    """Edges (a, b) between the distinct fingerprints of ``fps`` (fp), whose components are those of all links."""
+def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Estimated Jaccard similarity of sketch a to each row of b."""
+    return ((b == a) & (a > 0)).sum(-1) / np.maximum(1, ((b > 0) | (a > 0)).sum(-1))
+
+
+def _forest(distance, similarity, table):
+    """A bucket of variants -> edges of a spanning forest of each variant's links."""
+    kind, part, node, fp = (table[c].to_numpy() for c in ("kind", "part", "node", "fp"))
+    order = np.lexsort((node, part, kind))
+    kind, part, node, fp = kind[order], part[order], node[order], fp[order].view(np.uint64)
+    sketch = np.frombuffer(b"".join(table["sketch"].take(pa.array(order)).to_pylist()), np.uint8).reshape(len(fp), -1) if similarity else None
+    cuts = np.flatnonzero((kind[1:] != kind[:-1]) | (part[1:] != part[:-1])) + 1
+    a, b = [], []
+    for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(fp)], strict=True):
+        left = np.arange(lo, hi)
+        while len(left) > 1:
+            todo, left = [left[0]], left[1:]
+            while todo and len(left):
+                x = todo.pop()
+                near = np.bitwise_count(fp[left] ^ fp[x]) <= distance
+                if similarity and near.any():
+                    near[near] = similar(sketch[x], sketch[left[near]]) >= similarity
+                if near.any():
+                    got = left[near]
+                    a.append(np.full(len(got), node[x]))
+                    b.append(node[got])
+                    todo += got.tolist()
+                    left = left[~near]
+    ends = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
+    return pa.table({"a": ends[0], "b": ends[1]})
+
+
+def candidate_links(nodes: DataFrame, distance: int = 2, limit: int = LIMIT, similarity: float | None = None) -> DataFrame:
+    """Edges (a, b) between ``nodes`` (node, fp, and sketch if a similarity is asked for), whose components are those
+    of all links."""
     if not 0 <= distance <= 3:
         raise ValueError("distance must be 0 to 3")
+    spark = nodes.sparkSession
     kinds = masks((distance + 2) // 2)
     keep = F.array(*(F.lit(_long(m & ~w)) for m, w in kinds))
-    variants = fps.select("fp", F.posexplode(F.transform(keep, lambda m: F.col("fp").bitwiseAND(m))).alias("kind", "part"))
-    counted = stored(variants.groupBy("kind", "part").agg(F.count("*").alias("n")).where("n > 1"), "variants")
+    variants = nodes.select("*", F.posexplode(F.transform(keep, lambda m: F.col("fp").bitwiseAND(m))).alias("kind", "part"))
+    counted = stored(variants.drop("sketch").groupBy("kind", "part").agg(F.count("*").alias("n")).where("n > 1"), "variants")
     hits = stored(variants.join(counted, ["kind", "part"]), "hits")
-    near = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance
-    lists = hits.where(F.col("n") <= limit).groupBy("kind", "part").agg(F.array_sort(F.collect_list("fp")).alias("l"))
-    pairs = F.flatten(F.transform("l", lambda a: F.transform(F.filter("l", lambda b: (a < b) & near(a, b)), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    cold = lists.select(F.explode(pairs).alias("e")).select("e.a", "e.b").distinct()
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = hits.where(F.col("n") <= limit).withColumn("bucket", F.pmod(F.xxhash64("kind", "part"), F.lit(buckets)))
+    cold = dealt.groupBy("bucket").applyInArrow(partial(_forest, distance, similarity), "a long, b long").distinct()
     hot = hits.where(F.col("n") > limit)
     if hot.isEmpty():
         return cold
     wild = [(k, _long(~sum(c) & (1 << 64) - 1 & ~w)) for k, (m, w) in enumerate(kinds) if distance >= bool(w) for c in combinations([1 << b for b in range(64) if not m >> b & 1], distance - bool(w))]
-    wild = fps.sparkSession.createDataFrame(wild, "kind int, mask long")  # a fixed table of some thousand rows
-    exploded = hot.join(F.broadcast(wild), "kind").select("kind", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
-    least = exploded.groupBy("kind", "mask", "key").agg(F.min("fp").alias("a"), F.count("*").alias("m")).where("m > 1").drop("m")
-    star = exploded.join(least, ["kind", "mask", "key"]).where("a <> fp").select("a", F.col("fp").alias("b"))
+    wild = spark.createDataFrame(wild, "kind int, mask long")  # a fixed table of some thousand rows
+    exploded = hot.join(F.broadcast(wild), "kind").select("kind", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "node")
+    least = exploded.groupBy("kind", "mask", "key").agg(F.min("node").alias("a"), F.count("*").alias("m")).where("m > 1").drop("m")
+    star = exploded.join(least, ["kind", "mask", "key"]).where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    if similarity:
+        sketches = nodes.select("node", "sketch")
+        star = star.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
+        star = star.mapInArrow(partial(_verify, similarity), "a long, b long")
     return cold.union(star)
 
 
+def _verify(similarity, batches):
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sa", "sb"))
+        keep = pa.array(similar(a, b) >= similarity) if batch.num_rows else pa.array([], pa.bool_())
+        yield batch.select(["a", "b"]).filter(keep)
+
+
+BINS = 128
+
+
+def sketch(text: bytes | None, size: int) -> bytes:
+    """One byte for each of BINS ranges of the shingles' hashes, from the least hash in it; 0 where there is none."""
+    words = (text or b"").lower().split()
+    hashes = np.sort(np.fromiter(map(xxhash.xxh64_intdigest, shingles(words, size)), np.uint64))
+    at = np.searchsorted(hashes, np.arange(BINS, dtype=np.uint64) << np.uint64(57))
+    found = hashes[np.minimum(at, len(hashes) - 1)] if len(hashes) else np.zeros(BINS, np.uint64)
+    held = (at < len(hashes)) & (found >> np.uint64(57) == np.arange(BINS))
+    return (held * (1 + (found & np.uint64(0xFFFFFF)) % np.uint64(255))).astype(np.uint8).tobytes()
+
+
+def _marks(size: int, batches):
+    for batch in batches:
+        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        node = np.array([xxhash.xxh64_intdigest(t or b"", 1) for t in texts], np.uint64).view(np.int64)
+        fp = np.array([fingerprint(t, 1) for t in texts], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node), pa.array(fp), pa.array([sketch(t, size) for t in texts], pa.binary())], ["id", "node", "fp", "sketch"])
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, distance: int = 3, limit: int = LIMIT) -> DataFrame:
+    """One row for each document: id and component_id (the smallest id of its group of exact and near copies)."""
+    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    marked = stored(narrow.mapInArrow(partial(_marks, shingle), "id long, node long, fp long, sketch binary"), "marks")
+    nodes = stored(marked.groupBy("node").agg(F.min("id").alias("least"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")), "nodes")
+    roots = connected_components(candidate_links(nodes.select("node", "fp", "sketch"), distance, limit, similarity))
+    return _named(marked.select("id", "node"), nodes.select("node", "least"), roots).select(F.col("id").alias(id_col), "component_id")
+
+
+def _named(marked: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``marked`` (id, node) with component_id, the least id of the component of its node."""
+    rooted = nodes.join(roots.withColumnRenamed("v", "node"), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    rooted = stored(rooted, "rooted")
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked.join(rooted.join(smallest, "root").select("node", "component_id"), "node")
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
     """One row for each document: id, fingerprint (16 hex digits), component_id (smallest id reachable)."""
-    marked = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    fps = stored(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
-    roots = connected_components(candidate_links(fps.select("fp"), distance)).withColumnRenamed("v", "fp")
-    rooted = stored(fps.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    out = marked.join(named, "fp")
-    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    marked = stored(fingerprints(docs, id_col, text_col, shingle).withColumnRenamed("fp", "node"), "fingerprints")
+    nodes = stored(marked.groupBy("node").agg(F.min("id").alias("least")), "distinct")
+    roots = connected_components(candidate_links(nodes.select("node", F.col("node").alias("fp")), distance))
+    out = _named(marked, nodes, roots)
+    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
