@@ -1,10 +1,491 @@
-"""Named queries over the driver's tables and the SQL that states each one's result."""
+"""Named queries over the driver's tables and the SQL that states each one's result.
+
+The tables hold no postings, so each operator runs on a stand-in column with parameters that fit it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from sluice.functions import fixed, moment, place, salary, skills, text
+from sluice.operators import bronze, dashboard, evaluate, gold, ledger, quality, silver, vectors
+from sluice.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+TERMS = ("that", "with", "this", "from", "pour", "sich")
+VOCABULARY = {"That": ["that"], "With": ["with"], "From": ["from"], "Pour": ["pour"], "Sich": ["sich"], "Due": ["dû"]}
+AS_OF = "TIMESTAMP '2024-06-01 00:00:00'"
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def term_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    words = F.array_intersect(F.array(*map(F.lit, TERMS)), F.split(F.lower("text"), r"[^a-z]+"))
+    return docs.select("doc_id", "lang", "source", words.alias("skills"))
+
+
+TERMS_SQL = """
+t AS (SELECT doc_id, lang, source, list_filter(['that', 'with', 'this', 'from', 'pour', 'sich'],
+        lambda x: list_contains(regexp_split_to_array(lower(text), '[^a-z]+'), x)) AS skills FROM documents)"""
+
+
+# ---------------------------------------------------------------- gold and dashboard
+@query("WITH" + TERMS_SQL + """,
+c AS (SELECT lang, item, count(DISTINCT doc_id) AS n FROM (SELECT lang, doc_id, unnest(skills) AS item FROM t) GROUP BY GROUPING SETS ((lang, item), (item))),
+n AS (SELECT lang, count(*) AS total FROM t GROUP BY ROLLUP (lang))
+SELECT coalesce(c.lang, 'all') AS lang, item AS skill, n AS docs, round(100.0::DOUBLE * n / total, 1) AS pct_of_docs
+FROM c JOIN n ON c.lang IS NOT DISTINCT FROM n.lang""")
+def skill_demand_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.skill_demand(term_sets(spark, sf_dir), "lang", key="doc_id", count="docs")
+
+
+@query("""
+WITH e AS (SELECT date_trunc('week', ts)::DATE AS week, event_id, [event_type] AS skills FROM events),
+n AS (SELECT week, count(*) AS total FROM e GROUP BY week)
+SELECT CAST(e.week AS VARCHAR) AS week, s.skill, count(DISTINCT event_id) AS jobs, round(100.0::DOUBLE * count(DISTINCT event_id) / total, 1) AS pct_of_jobs
+FROM (SELECT week, event_id, unnest(skills) AS skill FROM e) s JOIN e USING (week, event_id) JOIN n ON n.week = e.week
+GROUP BY e.week, s.skill, total""")
+def skill_demand_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_id", moment.week_of(F.col("ts")).alias("week"), F.array("event_type").alias("skills"))
+    return gold.skill_demand_weekly(events, key="event_id").withColumn("week", F.col("week").cast("string"))
+
+
+@query("""
+SELECT p_brand AS role_family, CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS seniority, count(*) AS jobs_with_salary,
+       round(quantile_cont(p_retailprice + 50, 0.5), 0) AS median_usd_year, round(min(p_retailprice), 0) AS min_usd_year, round(max(p_retailprice + 100), 0) AS max_usd_year
+FROM part GROUP BY ALL""")
+def salary_by_role(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("role_family"), F.when(F.col("p_size") > 25, "large").otherwise("small").alias("seniority"),
+        F.col("p_retailprice").alias("salary_usd_year_min"), (F.col("p_retailprice") + 100).alias("salary_usd_year_max"))
+    return gold.salary_by_role(part)
+
+
+@query("""
+SELECT o_orderpriority AS role_family, count(*) AS jobs, round_even(quantile_cont(o_totalprice, 0.5), 0) AS median_usd_year
+FROM orders WHERE o_orderpriority NOT IN ('5-LOW') GROUP BY 1""")
+def median_salary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("role_family"), F.col("o_totalprice").alias("salary_usd_year_min"), F.lit(None).cast("double").alias("salary_usd_year_max"))
+    return dashboard.median_salary(orders, skip=("5-LOW",))
+
+
+def records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents as silver records, labels as their extractions."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("job_id"), "source", F.substring("text", 1, 60).alias("title"), F.col("lang").alias("company"), F.col("source").alias("location"), F.lit("EU").alias("country"),
+        (F.col("lang") == "en").alias("is_remote"), F.lit("full_time").alias("employment_type"), F.when(F.col("n_chars") > 2000, F.col("n_chars").cast("double")).alias("salary_usd_year_min"),
+        F.lit(None).cast("double").alias("salary_usd_year_max"), F.expr("timestampadd(DAY, cast(doc_id % 400 as int), TIMESTAMP '2023-01-01')").alias("posted_at"),
+        F.lit(None).cast("timestamp").alias("updated_at"), F.concat(F.lit("u"), F.col("doc_id")).alias("url"), text.short_hash(F.col("text")).alias("content_hash"),
+        (F.col("doc_id") % 5 != 0).alias("is_tech"), (F.col("doc_id") % 7 == 0).alias("is_duplicate"), F.array("lang").alias("keyword_skills"), F.col("text").alias("description"))
+    labels = table(spark, sf_dir, "labels").join(docs.select("job_id", "content_hash"), F.col("doc_id") == F.col("job_id"))
+    stale = F.when(F.col("job_id") % 11 == 0, "stale").otherwise(F.col("content_hash"))
+    found = labels.select(
+        "job_id", stale.alias("content_hash"), F.when(F.col("quality") == 1, "data_engineer").otherwise("other").alias("role_family"), F.when(F.col("toxic") == 1, "senior").alias("seniority"),
+        F.lit(3).alias("years_experience_min"), F.lit(None).cast("string").alias("remote_policy"), F.when(F.col("job_id") % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("SQL"))).alias("skills"))
+    return docs, found
+
+
+RECORDS_SQL = """
+d AS (SELECT doc_id AS job_id, source, substr(text, 1, 60) AS title, lang, (lang = 'en') AS is_remote, CASE WHEN n_chars > 2000 THEN n_chars::DOUBLE END AS usd,
+        TIMESTAMP '2023-01-01' + to_days((doc_id % 400)::INT) AS posted_at, substr(sha256(text), 1, 32) AS h, doc_id % 5 <> 0 AS is_tech, doc_id % 7 = 0 AS is_duplicate FROM documents),
+e AS (SELECT doc_id AS job_id, CASE WHEN doc_id % 11 = 0 THEN 'stale' ELSE h END AS h, CASE WHEN quality = 1 THEN 'data_engineer' ELSE 'other' END AS role_family,
+        CASE WHEN toxic = 1 THEN 'senior' END AS seniority, CASE WHEN doc_id % 3 = 0 THEN [] ELSE ['SQL'] END AS skills FROM labels JOIN d ON d.job_id = doc_id)"""
+
+
+@query("WITH" + RECORDS_SQL + """
+SELECT source, count(*) AS jobs, count(*) FILTER (WHERE is_tech) AS tech_jobs, count(*) FILTER (WHERE is_duplicate) AS duplicates,
+       count(e.job_id) AS llm_enriched, count(usd) AS with_salary, max(posted_at) AS latest_posting
+FROM d LEFT JOIN e ON e.job_id = d.job_id AND e.h = d.h GROUP BY source""")
+def source_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.source_summary(*records(spark, sf_dir)).withColumn("latest_posting", F.col("latest_posting").cast("timestamp_ntz"))
+
+
+ENRICHED_SQL = RECORDS_SQL + """,
+j AS (SELECT d.job_id, d.source, d.title, usd, posted_at, coalesce(e.role_family, 'unknown') AS role_family, coalesce(e.seniority, 'unknown') AS seniority,
+        CASE WHEN is_remote THEN 'remote' ELSE 'unknown' END AS remote_policy, CASE WHEN e.job_id IS NOT NULL THEN e.skills ELSE [lang] END AS skills,
+        e.job_id IS NOT NULL AS llm_enriched, date_trunc('week', posted_at)::DATE AS week
+      FROM d LEFT JOIN e ON e.job_id = d.job_id AND e.h = d.h WHERE is_tech AND NOT is_duplicate)"""
+
+
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.jobs_enriched(*records(spark, sf_dir))
+
+
+@query("WITH" + ENRICHED_SQL + " SELECT job_id, role_family, seniority, remote_policy, array_to_string(skills, ',') AS skills, llm_enriched, CAST(week AS VARCHAR) AS week FROM j")
+def enriched_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enriched(spark, sf_dir).select("job_id", "role_family", "seniority", "remote_policy", F.array_join("skills", ",").alias("skills"), "llm_enriched", F.col("week").cast("string").alias("week"))
+
+
+@query("WITH" + ENRICHED_SQL + " SELECT count(*) AS jobs, count(*) FILTER (WHERE llm_enriched) AS enriched, count(usd) AS with_salary, count(DISTINCT source) AS sources FROM j")
+def kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.kpis(enriched(spark, sf_dir))
+
+
+@query("WITH" + ENRICHED_SQL + " SELECT role_family, count(*) AS jobs FROM j GROUP BY 1")
+def role_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.role_mix(enriched(spark, sf_dir))
+
+
+@query("WITH" + ENRICHED_SQL + " SELECT job_id, title, role_family, usd AS salary_usd_year_min FROM j WHERE usd IS NOT NULL")
+def salary_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.salary_listing(enriched(spark, sf_dir)).select("job_id", "title", "role_family", "salary_usd_year_min")
+
+
+@query("WITH" + ENRICHED_SQL + """,
+s AS (SELECT skill, count(*) AS jobs FROM (SELECT unnest(skills) AS skill FROM j WHERE llm_enriched) GROUP BY 1 ORDER BY jobs DESC, skill LIMIT 3)
+SELECT skill, jobs, round(100.0::DOUBLE * jobs / (SELECT count(*) FROM j WHERE llm_enriched), 1) AS pct FROM s""")
+def top_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.top_skills(enriched(spark, sf_dir), 3, enriched_only=True)
+
+
+@query("WITH" + ENRICHED_SQL + " SELECT count(*) AS unique_tech FROM j")
+def unique_tech_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enriched(spark, sf_dir).agg(F.count("*").alias("unique_tech"))
+
+
+# ---------------------------------------------------------------- change detection
+@query("""
+SELECT o_orderkey AS job_id FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 4 = 0
+WHERE o_orderstatus <> 'F' AND (c_custkey IS NULL OR c_mktsegment <> o_orderpriority OR c_nationkey <> 3)
+ORDER BY o_orderdate DESC NULLS LAST, o_orderkey LIMIT 120""")
+def work_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.operators import enrich
+
+    jobs = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("job_id"), "o_custkey", F.col("o_orderpriority").alias("content_hash"), F.col("o_orderdate").alias("posted_at"),
+        (F.col("o_orderstatus") != "F").alias("is_tech"), F.lit(False).alias("is_duplicate"))
+    done = table(spark, sf_dir, "customer").where("c_custkey % 4 = 0").select("c_custkey", F.col("c_mktsegment").alias("content_hash"), F.col("c_nationkey").cast("string").alias("prompt_version"))
+    done = jobs.select("job_id", "o_custkey").join(done, F.col("o_custkey") == F.col("c_custkey")).select("job_id", "content_hash", "prompt_version")
+    return enrich.work_queue(jobs, done, "3").select("job_id")
+
+
+def event_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events in a first and a second state: a fifth is missing in each, a seventh changed, some are sent twice."""
+    rows = table(spark, sf_dir, "events").select(F.lit("events").alias("source"), F.col("event_id").cast("string").alias("source_job_id"), F.col("props").alias("payload"), F.col("event_id"))
+    first = rows.where("event_id % 5 <> 0").withColumn("ordinal", F.lit(0).cast("long")).drop("event_id")
+    second = rows.where("event_id % 5 <> 1")
+    changed = F.when(F.col("event_id") % 7 == 0, F.lit('{"k": -1}')).otherwise(F.concat(F.lit(" "), F.col("payload"), F.lit("\n")))
+    again = second.where("event_id % 3 = 0").withColumn("payload", F.lit('{"b": 1, "a": 2}')).withColumn("ordinal", F.lit(0).cast("long"))
+    second = second.withColumns({"payload": changed, "ordinal": F.lit(1).cast("long")}).union(again).drop("event_id")
+    return first, second
+
+
+@query("""
+WITH s AS (SELECT CASE WHEN event_id % 5 = 0 THEN 'new' WHEN event_id % 5 = 1 THEN 'absent' WHEN event_id % 7 = 0 THEN 'changed' ELSE 'unchanged' END AS status FROM events)
+SELECT status, count(*) AS n FROM s GROUP BY status""")
+def bronze_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice import schema
+
+    first, second = event_batches(spark, sf_dir)
+    at = F.expr(AS_OF)
+    raw = bronze.upsert_raw(spark.createDataFrame([], schema.BRONZE), first, 1, at)
+    return bronze.upsert_raw(raw, second, 2, at).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.none') AS none FROM events")
+def silver_json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.try_parse_json("props")
+    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(v, "$.k", "bigint").alias("k"), F.try_variant_get(v, "$.none", "string").alias("none"))
+
+
+@query("""
+SELECT CASE WHEN vec_id % 10 = 0 THEN 'remove' WHEN vec_id % 10 = 1 OR vec_id % 6 = 0 THEN 'add' ELSE 'keep' END AS action, count(*) AS n FROM embeddings GROUP BY 1""")
+def vector_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("job_id"), F.col("label").cast("string").alias("doc_hash"))
+    old = base.where("job_id % 10 <> 1")
+    new = base.where("job_id % 10 <> 0").withColumn("doc_hash", F.when(F.col("job_id") % 6 == 0, "new").otherwise(F.col("doc_hash")))
+    return vectors.delta(old, new).groupBy("action").agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- keys and duplicates
+@query("""
+WITH n AS (SELECT doc_id, trim(regexp_replace(lower(source), '[^a-z0-9]+', ' ', 'g')) || '|' || trim(regexp_replace(lower(text), '[^a-z0-9+#]+', ' ', 'g')) AS k, source, n_chars FROM documents)
+SELECT doc_id, row_number() OVER (PARTITION BY substr(k, instr(k, '|')) ORDER BY CASE source WHEN 'src3' THEN 1 WHEN 'src1' THEN 2 WHEN 'src0' THEN 3 ELSE 4 END, n_chars DESC NULLS LAST, doc_id) > 1 AS is_duplicate FROM n""")
+def dedupe_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", text.norm_title(F.col("text")).alias("key"))
+    order = [silver.source_rank(F.col("source"), {"src3": 1, "src1": 2, "src0": 3}), F.col("n_chars").desc_nulls_last(), F.col("doc_id")]
+    return silver.flag_duplicates(docs, "key", order).select("doc_id", "is_duplicate")
+
+
+@query("WITH" + RECORDS_SQL + " SELECT count(*) AS duplicates FROM d WHERE is_duplicate")
+def duplicate_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(spark, sf_dir)[0].where("is_duplicate").agg(F.count("*").alias("duplicates"))
+
+
+@query("SELECT doc_id, substr(sha256(lang || chr(10) || CASE WHEN doc_id % 9 = 0 THEN 'None' ELSE source END || chr(10) || substr(coalesce(text, ''), 1, 2000)), 1, 32) AS content_hash FROM documents")
+def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    company = F.when(F.col("doc_id") % 9 != 0, F.col("source"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.content_hash(F.col("lang"), company, F.col("text")).alias("content_hash"))
+
+
+@query(r"""
+SELECT c_custkey, trim(regexp_replace(regexp_replace(lower(c_name || ' Co. Ltd' || CASE WHEN c_custkey % 2 = 0 THEN ' GmbH' ELSE '' END), '\b(gmbh|inc|ltd|llc|pvt|private|limited|corp|co|ag|se|plc)\b\.?', '', 'g'), '[^a-z0-9]+', ' ', 'g')) || '|' ||
+       trim(regexp_replace(lower(c_mktsegment), '[^a-z0-9+#]+', ' ', 'g')) AS dedupe_key FROM customer""")
+def norm_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat("c_name", F.lit(" Co. Ltd"), F.when(F.col("c_custkey") % 2 == 0, " GmbH").otherwise(""))
+    title = F.concat("c_mktsegment", F.lit(" (m/w/d)"))
+    return table(spark, sf_dir, "customer").select("c_custkey", text.dedupe_key(name, title).alias("dedupe_key"))
+
+
+# ---------------------------------------------------------------- texts, skills, places, money
+def _skill_sql() -> str:
+    rules = []
+    for canonical, more in VOCABULARY.items():
+        names = "|".join((canonical, *more))
+        rules.append(rf"CASE WHEN regexp_matches(text, '(?i)(^|[^\p{{L}}\p{{N}}_+#&.])({names})($|[^\p{{L}}\p{{N}}_+#&])') THEN '{canonical}' END")
+    return f"SELECT doc_id, array_to_string(list_sort(list_filter([{', '.join(rules)}], lambda x: x IS NOT NULL)), ',') AS skills FROM documents"
+
+
+@query(_skill_sql())
+def skill_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = skills.keyword_skills(F.col("text"), VOCABULARY, set())
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(found, ",").alias("skills"))
+
+
+@query()
+def skill_match_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", skills.keyword_skills(F.col("text")).alias("skills"))
+    return docs.select("doc_id", F.size("skills").alias("n_skills"))
+
+
+@query(r"""
+WITH m AS (SELECT doc_id, regexp_extract_all(text, '(\d+(?:[.,]\d+)*)\s*([kK])?', 1) AS n FROM documents WHERE contains(text, '$') OR contains(text, '€') OR contains(text, '£'))
+SELECT doc_id, n[1] AS first, len(n) AS amounts FROM m""")
+def salary_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    money = table(spark, sf_dir, "documents").where(F.col("text").contains("$") | F.col("text").contains("€") | F.col("text").contains("£"))
+    numbers = F.regexp_extract_all("text", F.lit(fixed.AMOUNT), F.lit(1))
+    return money.select("doc_id", F.get(numbers, F.lit(0)).alias("first"), F.size(numbers).cast("long").alias("amounts"))
+
+
+@query("""
+SELECT p_partkey, CAST(p_size * 1000 AS DOUBLE) AS lo, CAST(p_size * 2000 AS DOUBLE) AS hi, CASE p_size % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END AS currency,
+       CASE WHEN p_size % 2 = 0 THEN 'month' ELSE 'year' END AS period FROM part""")
+def salary_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sign = F.element_at(F.array(F.lit("$"), F.lit("€"), F.lit("£")), F.col("p_size") % 3 + 1)
+    stated = F.concat(sign, F.col("p_size"), F.lit(" - "), F.col("p_size") * 2, F.lit("k"), F.when(F.col("p_size") % 2 == 0, " per month").otherwise(" gross"))
+    return table(spark, sf_dir, "part").select("p_partkey", salary.parse_salary(stated).alias("s")).select("p_partkey", "s.*")
+
+
+@query("""
+SELECT o_orderkey, CAST(floor(o_totalprice * CASE o_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 12 ELSE 2080 END * CASE o_orderkey % 2 WHEN 0 THEN 1.0::DOUBLE ELSE 1.16::DOUBLE END + 0.005) AS BIGINT) AS usd
+FROM orders WHERE o_orderkey % 5 <> 0""")
+def usd_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    currency = F.when(key % 5 == 0, "XXX").when(key % 2 == 0, "USD").otherwise("EUR")
+    period = F.element_at(F.array(F.lit("year"), F.lit("month"), F.lit("hour")), (key % 3 + 1).cast("int"))
+    usd = salary.to_usd_year(F.col("o_totalprice"), currency, period)
+    return table(spark, sf_dir, "orders").select(key, F.floor(usd).cast("long").alias("usd")).where("usd is not null")
+
+
+@query(r"""
+SELECT n_nationkey, CASE WHEN regexp_matches(l, '\bindia\b') THEN 'IN' WHEN regexp_matches(l, '\busa?\b|united states|america') THEN 'US' WHEN regexp_matches(l, '\buk\b|united kingdom') THEN 'GB'
+       WHEN regexp_matches(l, 'germany') THEN 'DE' WHEN regexp_matches(l, 'canada') THEN 'CA' WHEN regexp_matches(l, '\beurope\b') THEN 'EU' ELSE 'ANY' END AS country
+FROM (SELECT n_nationkey, lower(n_name || ', ' || r_name) AS l FROM nation JOIN region ON r_regionkey = n_regionkey)""")
+def country_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return nations.select("n_nationkey", place.guess_country(F.concat_ws(", ", "n_name", "r_name"), "ANY").alias("country"))
+
+
+@query(r"""
+SELECT p_partkey, regexp_matches(p_type || ' ' || p_name, '(?i)engineer|developer|programmer|data|analyst|scientist|machine learning|\bml\b|\bai\b|devops|\bsre\b|cloud|architect|software|backend|back-end|frontend|front-end|full[- ]?stack|\bqa\b|test|security|platform|infrastructure|mobile|ios|android')
+       OR regexp_matches(p_type || ' ' || p_name, '\bIT\b') AS is_tech FROM part""")
+def tech_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", skills.is_tech_title(F.concat_ws(" ", "p_type", "p_name")).alias("is_tech"))
+
+
+@query("SELECT event_id, CASE event_type WHEN 'click' THEN 'full_time' WHEN 'view' THEN 'contract' WHEN 'purchase' THEN 'internship' END AS employment FROM events")
+def employment_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.when(F.col("event_type") == "click", F.array(F.lit("x"), F.lit(" Permanent "))).when(F.col("event_type") == "view", F.array(F.lit("Freelance"), F.lit("intern"))).when(F.col("event_type") == "purchase", F.array(F.lit("PRAKTIKUM")))
+    return table(spark, sf_dir, "events").select("event_id", place.employment_type(said).alias("employment"))
+
+
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN to_timestamp(event_id)::TIMESTAMP WHEN 1 THEN date_trunc('second', ts) WHEN 2 THEN NULL ELSE date_trunc('day', ts) END AS at FROM events")
+def moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind, ts = F.col("event_id") % 4, F.col("ts")
+    stated = F.when(F.col("event_id") == 0, "1970-01-01").when(kind == 0, F.col("event_id").cast("string")).when(kind == 1, F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+    stated = stated.when(kind == 2, "").otherwise(F.date_format(ts, "yyyy-MM-dd"))
+    return table(spark, sf_dir, "events").select("event_id", moment.parse_moment(stated).cast("timestamp_ntz").alias("at"))
+
+
+@query(r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g')) AS text FROM pages")
+def html_to_text_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", text.strip_tags(F.col("html")).alias("text"))
+
+
+@query()
+def html_to_text_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", text.html_to_text("html").alias("text"))
+
+
+@query("SELECT doc_id, text FROM documents")
+def mojibake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    fits = ~F.col("text").rlike("[^\\x{0}-\\x{ff}]")
+    return table(spark, sf_dir, "documents").select("doc_id", text.fix_mojibake(F.when(fits, broken).otherwise(F.col("text"))).alias("text"))
+
+
+@query()
+def excerpt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.llm_excerpt(F.col("text"), 500).alias("excerpt"))
+
+
+@query()
+def chunk_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = F.posexplode(text.chunk_text(F.col("text"))).alias("chunk", "text")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", chunks)
+
+
+@query("SELECT doc_id, CAST(length(text) // 3 AS INT) AS tokens FROM documents")
+def token_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.estimate_tokens(F.col("text")).alias("tokens"))
+
+
+@query("SELECT doc_id, source || '. Skills: ' || lang || ', x. ' || substr(text, 1, 700) AS document FROM documents")
+def job_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.job_document(F.col("source"), F.array(F.col("lang"), F.lit("x")), F.col("text")).alias("document"))
+
+
+# ---------------------------------------------------------------- quality and ledger
+@query("""
+WITH o AS (SELECT *, o_orderkey % 3 = 0 AS dup FROM orders)
+SELECT 'title_not_empty' AS check_name, count(*) FILTER (WHERE trim(CASE WHEN o_orderkey % 50 = 0 THEN ' ' ELSE o_orderpriority END) = '') AS failing_rows FROM o
+UNION ALL SELECT 'salary_min_le_max', count(*) FILTER (WHERE o_orderkey % 20 = 0) FROM o
+UNION ALL SELECT 'salary_usd_plausible', count(*) FILTER (WHERE o_totalprice < 2000 OR o_totalprice > 1000000) FROM o
+UNION ALL SELECT 'posted_at_not_future', count(*) FILTER (WHERE o_orderdate > TIMESTAMP '1996-01-02') FROM o
+UNION ALL SELECT 'posted_within_year', count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1996-01-01' - INTERVAL 365 DAYS) FROM o
+UNION ALL SELECT 'tech_description_present', count(*) FILTER (WHERE o_orderstatus = 'O') FROM o
+UNION ALL SELECT 'duplicate_rate_under_30pct', (avg(dup::INT) > 0.30)::BIGINT FROM o
+UNION ALL SELECT 'source_fresh', count(*) FROM (SELECT o_orderpriority FROM o GROUP BY 1 HAVING max(o_orderdate) < TIMESTAMP '1996-01-01' - INTERVAL 14 DAYS)
+UNION ALL SELECT 'extracted_skills_nonempty', count(*) FROM o WHERE o_orderkey % 4 = 0""")
+def dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(
+        key.alias("job_id"), F.when(key % 50 == 0, " ").otherwise(F.col("o_orderpriority")).alias("title"), F.col("o_orderpriority").alias("source"), F.lit(2.0).alias("salary_min"),
+        F.when(key % 20 == 0, 1.0).when(key % 20 == 1, 3.0).alias("salary_max"), F.col("o_totalprice").alias("salary_usd_year_min"), F.col("o_orderdate").cast("timestamp").alias("posted_at"),
+        (F.col("o_orderstatus") == "O").alias("is_tech"), F.col("o_orderstatus").alias("description"), (key % 3 == 0).alias("is_duplicate"), F.lit("h").alias("content_hash"))
+    found = rows.where("job_id % 2 = 0").select("job_id", "content_hash", F.when(F.col("job_id") % 4 == 0, "qa").otherwise("other").alias("role_family"), F.array().cast("array<string>").alias("skills"))
+    return quality.failing_counts(rows, found, F.expr("TIMESTAMP '1996-01-01'"))
+
+
+def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select((F.col("p_partkey") % 7).alias("run_id"), "p_name", F.col("p_brand").alias("severity"), (F.col("p_size") > 10).alias("passed"), F.concat("p_name", F.col("p_partkey")).alias("check_name"))
+
+
+@query("SELECT p_name || p_partkey AS check_name, p_brand AS severity, p_size > 10 AS passed FROM part WHERE p_partkey % 7 = (SELECT max(p_partkey % 7) FROM part)")
+def dq_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.latest_checks(check_results(spark, sf_dir)).select("check_name", "severity", "passed")
+
+
+@query("""
+SELECT event_id AS run_id, CAST(epoch(ts + INTERVAL 90 SECONDS - ts) AS BIGINT) AS seconds FROM events ORDER BY event_id DESC LIMIT 10""")
+def runs_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = table(spark, sf_dir, "events").select(F.col("event_id").alias("run_id"), F.col("ts").alias("started_at"), (F.col("ts") + F.expr("INTERVAL 90 SECONDS")).alias("finished_at"))
+    return ledger.recent_runs(runs).select("run_id", F.expr("extract(MINUTE FROM duration) * 60 + cast(extract(SECOND FROM duration) as int)").cast("long").alias("seconds"))
+
+
+@query("SELECT max(event_id) AS run_id FROM events")
+def last_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.last_run(table(spark, sf_dir, "events").select(F.col("event_id").alias("run_id")))
+
+
+# ---------------------------------------------------------------- vectors
+@query("""
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), q AS (SELECT * FROM v WHERE vec_id < 3),
+s AS (SELECT q.vec_id AS query_id, v.vec_id AS job_id, list_cosine_similarity(v.e, q.e) AS c FROM v, q),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, job_id) AS rank FROM s)
+SELECT query_id, job_id, CAST(rank AS INT) AS rank, round(c, 3) AS similarity FROM r WHERE rank <= 10""")
+def knn_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("job_id"), "embedding")
+    asked = found.where("job_id < 3").withColumnRenamed("job_id", "query_id")
+    return vectors.search(found, asked, 10).drop("exact")
+
+
+@query("""
+WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings), q AS (SELECT * FROM v WHERE vec_id < 4),
+s AS (SELECT q.vec_id AS query_id, v.vec_id AS job_id, v.label, list_cosine_similarity(v.e, q.e) AS c FROM v, q),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, job_id) AS rank FROM s),
+b AS (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY c DESC, query_id) AS rn FROM r WHERE rank <= 60),
+m AS (SELECT job_id, label, avg(c) AS semantic FROM b WHERE rn <= 2 GROUP BY job_id, label ORDER BY semantic DESC, job_id LIMIT 60),
+k AS (SELECT *, list_filter(['a', 'b', 'c', 'd'], lambda x: ascii(x) - 97 <= label % 4) AS skills FROM m WHERE label <> 9),
+c AS (SELECT *, len(list_intersect(skills, ['a', 'c']))::DOUBLE / (len(skills) + 2) AS coverage FROM k)
+SELECT job_id, round(semantic, 3) AS semantic, round(coverage, 3) AS coverage, round(0.5 * semantic + 0.5 * coverage, 3) AS score FROM c
+ORDER BY score DESC, job_id LIMIT 15""")
+def match_rerank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _matches(spark, sf_dir).orderBy(F.desc("score"), "job_id").limit(15).select("job_id", "semantic", "coverage", "score")
+
+
+def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("job_id"), "embedding", "label")
+    asked = found.where("job_id < 4").select(F.col("job_id").alias("query_id"), "embedding")
+    scores = vectors.semantic_scores(vectors.search(found, asked, 60)).orderBy(F.desc("semantic"), "job_id").limit(60)
+    wanted = F.slice(F.array(*map(F.lit, "abcd")), F.lit(1), F.col("label") % 4 + 1)
+    own = F.array(F.lit("a"), F.lit("c"))
+    covered = skills.coverage(wanted, own)
+    joined = found.where("label <> 9").join(scores, "job_id")
+    score = fixed.SEMANTIC_WEIGHT * F.col("semantic") + (1 - fixed.SEMANTIC_WEIGHT) * covered
+    return joined.select("job_id", F.round("semantic", 3).alias("semantic"), F.round(covered, 3).alias("coverage"), F.round(score, 3).alias("score"), skills.missing(wanted, own).alias("missing"))
+
+
+@query("""
+WITH k AS (SELECT vec_id, list_filter(['a', 'b', 'c', 'd'], lambda x: ascii(x) - 97 <= label % 4) AS skills FROM embeddings)
+SELECT skill, count(*) AS jobs FROM (SELECT unnest(list_filter(skills, lambda x: x NOT IN ('a', 'c'))) AS skill FROM k) GROUP BY 1 ORDER BY jobs DESC, skill LIMIT 8""")
+def gap_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = F.slice(F.array(*map(F.lit, "abcd")), F.lit(1), F.col("label") % 4 + 1)
+    return dashboard.gap_ranking(table(spark, sf_dir, "embeddings").select(skills.missing(wanted, F.array(F.lit("a"), F.lit("c"))).alias("missing")))
+
+
+# ---------------------------------------------------------------- evaluation, windows, samples
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_sets(spark, sf_dir).select("doc_id", "lang", F.col("skills").alias("gold"), F.array_union(F.slice("skills", 1, 2), F.when(F.col("doc_id") % 4 == 0, F.array(F.lit("pour"))).otherwise(F.array().cast("array<string>"))).alias("pred"))
+
+
+PREDICTIONS_SQL = TERMS_SQL + """,
+p AS (SELECT doc_id, lang, skills AS gold, list_distinct(list_concat(skills[1:2], CASE WHEN doc_id % 4 = 0 THEN ['pour'] ELSE [] END)) AS pred FROM t)"""
+
+
+@query("WITH" + PREDICTIONS_SQL + """,
+c AS (SELECT sum(len(list_intersect(gold, pred)))::BIGINT AS tp, sum(len(list_filter(pred, lambda x: NOT list_contains(gold, x))))::BIGINT AS fp, sum(len(list_filter(gold, lambda x: NOT list_contains(pred, x))))::BIGINT AS fn FROM p)
+SELECT round(tp::DOUBLE / (tp + fp), 3) AS precision, round(tp::DOUBLE / (tp + fn), 3) AS recall, round(2.0::DOUBLE * tp / (2 * tp + fp + fn), 3) AS f1, tp, fp, fn FROM c""")
+def eval_prf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.set_scores(predictions(spark, sf_dir))
+
+
+@query("SELECT round(avg(CASE WHEN lang = 'en' THEN 1 ELSE 0 END), 3) AS accuracy FROM documents WHERE lang <> 'fr'")
+def eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(F.when(F.col("lang") != "fr", F.col("lang")).alias("gold"), F.lit("en").alias("pred"))
+    return evaluate.accuracy(rows)
+
+
+@query("WITH" + PREDICTIONS_SQL + """,
+e AS (SELECT 'false_positive' AS kind, unnest(list_filter(pred, lambda x: NOT list_contains(gold, x))) AS skill FROM p
+      UNION ALL SELECT 'false_negative', unnest(list_filter(gold, lambda x: NOT list_contains(pred, x))) FROM p)
+SELECT * FROM (SELECT kind, skill, count(*) AS n FROM e GROUP BY kind, skill) QUALIFY row_number() OVER (PARTITION BY kind ORDER BY n DESC, skill) <= 10""")
+def per_skill_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.per_skill_errors(predictions(spark, sf_dir))
+
+
+@query()
+def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.seeded_sample(table(spark, sf_dir, "documents").select("doc_id", "lang"), 50, key="doc_id")
+
+
+@query("""
+SELECT event_id, sum(value) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW) > 70 AS over_limit FROM events""")
+def token_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    minute = W.partitionBy("user_id").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-60_000_000, 0)
+    return table(spark, sf_dir, "events").select("event_id", (F.sum("value").over(minute) > 70).alias("over_limit"))
