@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import stored
+from sluice.llm.common import small, stored
 from sluice.llm.graph import connected_components
 
 SEED = 42
@@ -113,6 +113,15 @@ def _forest(distance, similarity, table):
     return pa.table({"a": ends[0], "b": ends[1]})
 
 
+def _shared(table):
+    """The rows of a bucket whose variant another row has too."""
+    kind, part = table["kind"].to_numpy(), table["part"].to_numpy()
+    order = np.lexsort((part, kind))
+    same = (kind[order][1:] == kind[order][:-1]) & (part[order][1:] == part[order][:-1])
+    rows = order[np.r_[False, same] | np.r_[same, False]] if len(order) else order
+    return table.select(["kind", "part", "node", "fp"]).take(pa.array(rows))
+
+
 def candidate_links(nodes: DataFrame, distance: int = 2, limit: int = LIMIT, similarity: float | None = None) -> DataFrame:
     """Edges (a, b) between ``nodes`` (node, fp, and sketch if a similarity is asked for), whose components are those
     of all links."""
@@ -121,15 +130,29 @@ def candidate_links(nodes: DataFrame, distance: int = 2, limit: int = LIMIT, sim
     spark = nodes.sparkSession
     kinds = masks((distance + 2) // 2)
     keep = F.array(*(F.lit(_long(m & ~w)) for m, w in kinds))
-    variants = nodes.select("*", F.posexplode(F.transform(keep, lambda m: F.col("fp").bitwiseAND(m))).alias("kind", "part"))
-    counted = stored(variants.drop("sketch").groupBy("kind", "part").agg(F.count("*").alias("n")).where("n > 1"), "variants")
-    hits = stored(variants.join(counted, ["kind", "part"]), "hits")
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = hits.where(F.col("n") <= limit).withColumn("bucket", F.pmod(F.xxhash64("kind", "part"), F.lit(buckets)))
-    cold = dealt.groupBy("bucket").applyInArrow(partial(_forest, distance, similarity), "a long, b long").distinct()
-    hot = hits.where(F.col("n") > limit)
-    if hot.isEmpty():
+    variants = nodes.select("node", "fp", F.posexplode(F.transform(keep, lambda m: F.col("fp").bitwiseAND(m))).alias("kind", "part"))
+    # A variant with a bit left out has at most two whole segments in it: only the variants of frequent segments can be hot.
+    wholes = [(k, _long(m)) for k, (m, w) in enumerate(kinds) if not w]
+    segments = nodes.select(F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col("fp").bitwiseAND(F.lit(m)).alias("part")) for k, m in wholes))).alias("s")).select("s.*")
+    frequent = stored(segments.groupBy("kind", "part").agg(F.count("*").alias("n")).where(F.col("n") > limit // 2), "frequent")
+    hot_keys = None
+    if not frequent.isEmpty():
+        own = {k: [(j, _long(~w & (1 << 64) - 1)) for j, (m, w) in enumerate(kinds) if m == kinds[k][0]] for k, _ in wholes}
+        near = F.coalesce(*(F.when(F.col("kind") == k, F.array(*(F.struct(F.lit(j).alias("kind"), F.col("part").bitwiseAND(F.lit(m)).alias("part")) for j, m in v))) for k, v in own.items()))
+        suspects = stored(frequent.select(F.explode(near).alias("s")).select("s.*").distinct(), "suspects")
+        counted = variants.join(small(suspects), ["kind", "part"]).groupBy("kind", "part").agg(F.count("*").alias("n"))
+        hot_keys = stored(counted.where(F.col("n") > limit).drop("n"), "hot")
+        hot_keys = None if hot_keys.isEmpty() else small(hot_keys)
+    cold = variants if hot_keys is None else variants.join(hot_keys, ["kind", "part"], "left_anti")
+    bucket = F.pmod(F.xxhash64("kind", "part"), F.lit(4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    dealt = cold.withColumn("bucket", bucket).groupBy("bucket")
+    if similarity:  # sketches go along only with the variants that several fingerprints share
+        shared = dealt.applyInArrow(_shared, "kind int, part long, node long, fp long")
+        dealt = shared.join(nodes.select("node", "sketch"), "node").withColumn("bucket", bucket).groupBy("bucket")
+    cold = dealt.applyInArrow(partial(_forest, distance, similarity), "a long, b long").distinct()
+    if hot_keys is None:
         return cold
+    hot = variants.join(hot_keys, ["kind", "part"])
     wild = [(k, _long(~sum(c) & (1 << 64) - 1 & ~w)) for k, (m, w) in enumerate(kinds) if distance >= bool(w) for c in combinations([1 << b for b in range(64) if not m >> b & 1], distance - bool(w))]
     wild = spark.createDataFrame(wild, "kind int, mask long")  # a fixed table of some thousand rows
     exploded = hot.join(F.broadcast(wild), "kind").select("kind", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "node")
