@@ -10,8 +10,8 @@ so the edges stay linear. Hot variants, which more than ``limit`` fingerprints s
 remaining bits are indexed with all the wildcards that the distance still allows; fingerprints that share such a key
 are all within the distance, so each is linked to the key's smallest. No link between components is lost.
 
-near_copies() finds copies by similarity: fingerprints of single words give the candidates, which are linked if the
-sketches of their five-word shingles (one-permutation min-hash) agree to at least ``similarity``.
+near_copies() finds copies by similarity: LANES fingerprints of single words, of which any may be within the distance,
+give the candidates, which are linked if the sketches of their five-word shingles (one-permutation min-hash) agree to at least ``similarity``.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; fewer words than a shingle
 make one shingle of all; repeated rows share a component and each get a row; null ids are never a component's id
@@ -20,7 +20,7 @@ unless it has no other; an empty table gives an empty result; other columns are
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 from itertools import combinations, repeat
 
 import numpy as np
@@ -185,20 +185,44 @@ def sketch(text: bytes | None, size: int) -> bytes:
     return (held * (1 + (found & np.uint64(0xFFFFFF)) % np.uint64(255))).astype(np.uint8).tobytes()
 
 
+#: Independent fingerprints of a text's single words in near_copies(), of which one within the distance is enough.
+LANES = 4
+
+
+def word_fingerprints(text: bytes | None, lanes: int = LANES) -> list[int]:
+    """Fingerprints from differently mixed hashes of the words."""
+    words = (text or b"").lower().split()
+    if not words:
+        return [0] * lanes
+    ones = np.zeros((lanes, 64), np.int64)
+    for k in range(0, len(words), BLOCK):
+        some = words[k : k + BLOCK]
+        h = np.fromiter(map(xxhash.xxh64_intdigest, some, repeat(SEED)), np.uint64, len(some))
+        for lane in range(lanes):
+            ones[lane] += np.add.reduce(np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), axis=0, dtype=np.uint32)
+            h = (h ^ h >> np.uint64(31)) * np.uint64(0x9FB21C651E98DF25)
+            h ^= h >> np.uint64(28)
+    return [int.from_bytes(x.tobytes(), "little", signed=True) for x in np.packbits(2 * ones > len(words), axis=1, bitorder="little")]
+
+
 def _marks(size: int, batches):
     for batch in batches:
         texts = batch.column(1).cast(pa.binary()).to_pylist()
         node = np.array([xxhash.xxh64_intdigest(t or b"", 1) for t in texts], np.uint64).view(np.int64)
-        fp = np.array([fingerprint(t, 1) for t in texts], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node), pa.array(fp), pa.array([sketch(t, size) for t in texts], pa.binary())], ["id", "node", "fp", "sketch"])
+        fps = np.array([word_fingerprints(t) for t in texts], np.int64).reshape(-1, LANES)
+        sketches = pa.array([sketch(t, size) for t in texts], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node), *(pa.array(fps[:, k]) for k in range(LANES)), sketches], ["id", "node", *(f"fp{k}" for k in range(LANES)), "sketch"])
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, distance: int = 3, limit: int = LIMIT) -> DataFrame:
     """One row for each document: id and component_id (the smallest id of its group of exact and near copies)."""
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    marked = stored(narrow.mapInArrow(partial(_marks, shingle), "id long, node long, fp long, sketch binary"), "marks")
-    nodes = stored(marked.groupBy("node").agg(F.min("id").alias("least"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")), "nodes")
-    roots = connected_components(candidate_links(nodes.select("node", "fp", "sketch"), distance, limit, similarity))
+    lanes = [f"fp{k}" for k in range(LANES)]
+    kinds = "id long, node long, " + ", ".join(f"{x} long" for x in lanes) + ", sketch binary"
+    marked = stored(narrow.mapInArrow(partial(_marks, shingle), kinds), "marks")
+    nodes = stored(marked.groupBy("node").agg(F.min("id").alias("least"), *(F.first(x).alias(x) for x in (*lanes, "sketch"))), "nodes")
+    edges = [candidate_links(nodes.select("node", F.col(x).alias("fp"), "sketch"), distance, limit, similarity) for x in lanes]
+    roots = connected_components(reduce(DataFrame.union, edges))
     return _named(marked.select("id", "node"), nodes.select("node", "least"), roots).select(F.col("id").alias(id_col), "component_id")
 
 
