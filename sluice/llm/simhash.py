@@ -86,73 +86,95 @@ def similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((b == a) & (a > 0)).sum(-1) / np.maximum(1, ((b > 0) | (a > 0)).sum(-1))
 
 
-def _forest(distance, similarity, table):
-    """A bucket of variants -> edges of a spanning forest of each variant's links."""
-    kind, part, node, fp = (table[c].to_numpy() for c in ("kind", "part", "node", "fp"))
-    order = np.lexsort((node, part, kind))
-    kind, part, node, fp = kind[order], part[order], node[order], fp[order].view(np.uint64)
-    sketch = np.frombuffer(b"".join(table["sketch"].take(pa.array(order)).to_pylist()), np.uint8).reshape(len(fp), -1) if similarity else None
-    cuts = np.flatnonzero((kind[1:] != kind[:-1]) | (part[1:] != part[:-1])) + 1
+def _groups(whole, batches):
+    """All rows of a partition as a table ordered by variant, and the (first, end) of each variant worth a look: two
+    rows or more and, where a bit is left out, both of its values; else the rows share the whole segment too."""
+    table = pa.Table.from_batches(batches)
+    kind, part = table["kind"].to_numpy(), table["part"].to_numpy()
+    order = np.lexsort((part, kind >> 1))
+    kind, part = kind[order], part[order]
+    cuts = np.flatnonzero((kind[1:] >> 1 != kind[:-1] >> 1) | (part[1:] != part[:-1])) + 1
+    lo, hi = np.r_[0, cuts], np.r_[cuts, len(kind)]
+    bit = kind & 1
+    ones = np.add.reduceat(bit, lo) if len(kind) else lo[:0]
+    entire = np.array(whole)[kind[lo] >> 1] if len(kind) else np.zeros(0, bool)
+    worth = (hi - lo > 1) & (entire | (ones > 0) & (ones < hi - lo)) if len(kind) else np.zeros(0, bool)
+    return table, order, lo[: len(worth)][worth], hi[: len(worth)][worth]
+
+
+def _shared(whole, batches):
+    """The rows of a partition whose variant is worth a look."""
+    if not (batches := list(batches)):
+        return
+    table, order, lo, hi = _groups(whole, batches)
+    rows = np.concatenate([order[a:b] for a, b in zip(lo, hi, strict=True)]) if len(lo) else order[:0]
+    yield from table.take(pa.array(rows)).to_batches()
+
+
+def _forest(whole, distance, similarity, batches):
+    """A partition of variants -> edges of a spanning forest of each variant's links."""
+    if not (batches := list(batches)):
+        return
+    table, order, firsts, ends = _groups(whole, batches)
+    node = table["node"].to_numpy()[order]
+    fp = (table["fp"].to_numpy()[order] if similarity else node).view(np.uint64)
+    sketches = table["sketch"] if similarity else None
     a, b = [], []
-    for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(fp)], strict=True):
+    for lo, hi in zip(firsts, ends, strict=True):
         left = np.arange(lo, hi)
+        if similarity:
+            sketch = np.frombuffer(b"".join(sketches.take(pa.array(order[lo:hi])).to_pylist()), np.uint8).reshape(hi - lo, -1)
         while len(left) > 1:
             todo, left = [left[0]], left[1:]
             while todo and len(left):
                 x = todo.pop()
                 near = np.bitwise_count(fp[left] ^ fp[x]) <= distance
                 if similarity and near.any():
-                    near[near] = similar(sketch[x], sketch[left[near]]) >= similarity
+                    near[near] = similar(sketch[x - lo], sketch[left[near] - lo]) >= similarity
                 if near.any():
                     got = left[near]
                     a.append(np.full(len(got), node[x]))
                     b.append(node[got])
                     todo += got.tolist()
                     left = left[~near]
-    ends = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
-    return pa.table({"a": ends[0], "b": ends[1]})
-
-
-def _shared(table):
-    """The rows of a bucket whose variant another row has too."""
-    kind, part = table["kind"].to_numpy(), table["part"].to_numpy()
-    order = np.lexsort((part, kind))
-    same = (kind[order][1:] == kind[order][:-1]) & (part[order][1:] == part[order][:-1])
-    rows = order[np.r_[False, same] | np.r_[same, False]] if len(order) else order
-    return table.select(["kind", "part", "node", "fp"]).take(pa.array(rows))
+    out = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
+    yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
 
 
 def candidate_links(nodes: DataFrame, distance: int = 2, limit: int = LIMIT, similarity: float | None = None) -> DataFrame:
-    """Edges (a, b) between ``nodes`` (node, fp, and sketch if a similarity is asked for), whose components are those
-    of all links."""
+    """Edges (a, b) between ``nodes`` (node, fp, and sketch if a similarity is asked for; else node is fp), whose
+    components are those of all links."""
     if not 0 <= distance <= 3:
         raise ValueError("distance must be 0 to 3")
     spark = nodes.sparkSession
     kinds = masks((distance + 2) // 2)
-    keep = F.array(*(F.lit(_long(m & ~w)) for m, w in kinds))
-    variants = nodes.select("node", "fp", F.posexplode(F.transform(keep, lambda m: F.col("fp").bitwiseAND(m))).alias("kind", "part"))
+    whole = [not w for _, w in kinds]
+    shapes = F.array(*(F.struct(F.lit(_long(m & ~w)).alias("m"), F.lit(_long(w)).alias("w")) for m, w in kinds))
+    each = nodes.select("node", "fp", F.posexplode(shapes).alias("k", "s"))
+    bit = (F.col("fp").bitwiseAND(F.col("s.w")) != 0).cast("int")
+    variants = each.select((F.col("k") * 2 + bit).alias("kind"), F.col("fp").bitwiseAND(F.col("s.m")).alias("part"), "node")
     # A variant with a bit left out has at most two whole segments in it: only the variants of frequent segments can be hot.
     wholes = [(k, _long(m)) for k, (m, w) in enumerate(kinds) if not w]
-    segments = nodes.select(F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col("fp").bitwiseAND(F.lit(m)).alias("part")) for k, m in wholes))).alias("s")).select("s.*")
-    frequent = stored(segments.groupBy("kind", "part").agg(F.count("*").alias("n")).where(F.col("n") > limit // 2), "frequent")
-    hot_keys = None
+    segments = nodes.select(F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(m)).alias("part")) for k, m in wholes))).alias("s")).select("s.*")
+    frequent = stored(segments.groupBy("k", "part").agg(F.count("*").alias("n")).where(F.col("n") > limit // 2), "frequent")
+    hot_keys, named = None, variants.withColumn("k", F.shiftright("kind", 1))
     if not frequent.isEmpty():
         own = {k: [(j, _long(~w & (1 << 64) - 1)) for j, (m, w) in enumerate(kinds) if m == kinds[k][0]] for k, _ in wholes}
-        near = F.coalesce(*(F.when(F.col("kind") == k, F.array(*(F.struct(F.lit(j).alias("kind"), F.col("part").bitwiseAND(F.lit(m)).alias("part")) for j, m in v))) for k, v in own.items()))
+        near = F.coalesce(*(F.when(F.col("k") == k, F.array(*(F.struct(F.lit(j).alias("k"), F.col("part").bitwiseAND(F.lit(m)).alias("part")) for j, m in v))) for k, v in own.items()))
         suspects = stored(frequent.select(F.explode(near).alias("s")).select("s.*").distinct(), "suspects")
-        counted = variants.join(small(suspects), ["kind", "part"]).groupBy("kind", "part").agg(F.count("*").alias("n"))
+        counted = named.join(small(suspects), ["k", "part"]).groupBy("k", "part").agg(F.count("*").alias("n"))
         hot_keys = stored(counted.where(F.col("n") > limit).drop("n"), "hot")
         hot_keys = None if hot_keys.isEmpty() else small(hot_keys)
-    cold = variants if hot_keys is None else variants.join(hot_keys, ["kind", "part"], "left_anti")
-    bucket = F.pmod(F.xxhash64("kind", "part"), F.lit(4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = cold.withColumn("bucket", bucket).groupBy("bucket")
-    if similarity:  # sketches go along only with the variants that several fingerprints share
-        shared = dealt.applyInArrow(_shared, "kind int, part long, node long, fp long")
-        dealt = shared.join(nodes.select("node", "sketch"), "node").withColumn("bucket", bucket).groupBy("bucket")
-    cold = dealt.applyInArrow(partial(_forest, distance, similarity), "a long, b long").distinct()
+    cold = variants if hot_keys is None else named.join(hot_keys, ["k", "part"], "left_anti").select("kind", "part", "node")
+    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cold.repartition(parts, F.shiftright("kind", 1), "part")
+    if similarity:  # fingerprints and sketches go along only with the variants that several nodes share
+        shared = dealt.mapInArrow(partial(_shared, whole), "kind int, part long, node long")
+        dealt = shared.join(nodes.select("node", "fp", "sketch"), "node").repartition(parts, F.shiftright("kind", 1), "part")
+    cold = dealt.mapInArrow(partial(_forest, whole, distance, similarity), "a long, b long").distinct()
     if hot_keys is None:
         return cold
-    hot = variants.join(hot_keys, ["kind", "part"])
+    hot = named.join(hot_keys, ["k", "part"]).join(nodes.select("node", "fp"), "node").select(F.col("k").alias("kind"), "node", "fp")
     wild = [(k, _long(~sum(c) & (1 << 64) - 1 & ~w)) for k, (m, w) in enumerate(kinds) if distance >= bool(w) for c in combinations([1 << b for b in range(64) if not m >> b & 1], distance - bool(w))]
     wild = spark.createDataFrame(wild, "kind int, mask long")  # a fixed table of some thousand rows
     exploded = hot.join(F.broadcast(wild), "kind").select("kind", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "node")
