@@ -190,12 +190,13 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     """``records`` as read, with refers_to (the original's key); a revisit gets the original's length and digest."""
     found = records.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id")).agg(
         F.max_by(F.struct(F.col("key").alias("refers_to"), F.col("payload_bytes").alias("n"), F.col("payload_digest").alias("d")), "payload_bytes").alias("o"))
-    joined = records.join(found, "refers_to_id", "left")
+    # Responses join by their own id, so they don't gather where NULL keys go.
+    joined = records.withColumn("refers_to_id", F.coalesce("refers_to_id", "record_id")).join(found, "refers_to_id", "left")
     own = F.col("record_type") == "response"
     return joined.select("key", "record_id", "record_type", "target_uri",
                          F.when(own, F.col("payload_bytes")).otherwise(F.col("o.n")).alias("payload_bytes"),
                          F.when(own, F.col("payload_digest")).otherwise(F.coalesce("o.d", F.regexp_replace("header_digest", "^sha1:", ""))).alias("payload_digest"),
-                         F.col("o.refers_to").alias("refers_to"))
+                         F.when(~own, F.col("o.refers_to")).alias("refers_to"))
 
 
 def deduplicate_archives(spark: SparkSession, source: str, target: str, least: int = LEAST) -> None:
