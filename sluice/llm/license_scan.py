@@ -16,6 +16,8 @@ rows each get a row; an empty table gives an empty result; input columns named l
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,7 +25,8 @@ from pyspark.sql import functions as F
 from sluice.llm.common import small, stored
 
 LEAST = 0.75
-WORD_GAP = "[^a-z0-9.+-]+"
+#: What parts words: anything but letters and digits, and but dots, plus and minus signs between two of them.
+WORD_GAP = "(?:[^a-z0-9.+-]|[.+-](?![a-z0-9])|(?<![a-z0-9])[.+-])+"
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)[^/]*$"
 OUTPUTS = ("license", "score", "origin", "folder")
 #: (licence, text): notices as headers state them, and the lines that licence files open with.
@@ -45,8 +48,7 @@ TEMPLATES = (
 
 
 def terms(text: Column) -> Column:
-    words = F.transform(F.split(F.lower(text), WORD_GAP), lambda w: F.regexp_replace(w, r"^[.+-]+|[.-]+$", ""))
-    return F.array_remove(words, "")
+    return F.array_remove(F.split(F.lower(text), WORD_GAP), "")
 
 
 def term_counts(frame: DataFrame, *keys: str) -> DataFrame:
@@ -82,7 +84,9 @@ def scan(files: DataFrame, templates: DataFrame | None = None, path_col: str = "
     anchors = [r["term"] for r in vectors.where("anchor").select("term").distinct().orderBy("term").collect()]  # as large as the templates
     escaped = "|".join("".join(c if c.isalnum() else "\\" + c for c in a) for a in anchors)
     # Lines that may reach ``least``; each different line is scored once.
-    lines = files.select(F.col(path_col).alias("path"), F.explode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("text"))
+    holds = reduce(Column.__or__, (F.contains(F.col("__low"), F.lit(a)) for a in anchors), F.lit(False))
+    told = files.select(F.col(path_col).alias("path"), F.col(text_col).alias("text"), F.lower(text_col).alias("__low")).where(holds)
+    lines = told.select("path", F.explode(F.split("text", "\n")).alias("text"))
     lines = lines.where(F.lower("text").rlike(rf"(^|[^a-z0-9])({escaped})([^a-z0-9]|$)" if anchors else "(?!)"))
     lines = stored(lines.distinct(), "lines")
     weighed = term_counts(lines.select("text").distinct().withColumn("line", F.col("text")), "line").join(F.broadcast(known), "term", "left")  # as large as the templates
