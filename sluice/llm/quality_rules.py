@@ -36,7 +36,7 @@ THRESHOLDS = (
     ("symbols", "n_symbols", "most", 10, "n_words", 0),
     ("shouting", "n_exclamations", "most", 50, "n_words", 0),
     ("stop_words", "n_stop_words", "least", 1, "n_words", 60),
-    ("duplicate_lines", "n_dup_lines", "most", 30, "n_lines", 0),
+    ("duplicate_lines", "n_dup_lines", "most", 50, "n_lines", 0),
     ("bullet_lines", "n_bullet_lines", "most", 90, "n_lines", 0),
 )
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

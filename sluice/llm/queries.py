@@ -125,7 +125,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND 100 * word_chars >= 200 * n_words AND 100 * word_chars <= 2000 * n_words
        AND 100 * n_symbols <= 10 * n_words AND 100 * n_exclamations <= 50 * n_words
        AND (100 * n_stop_words >= n_words OR n_words < 60)
-       AND 100 * n_dup_lines <= 30 * n_lines AND 100 * n_bullet_lines <= 90 * n_lines AS kept
+       AND 100 * n_dup_lines <= 50 * n_lines AND 100 * n_bullet_lines <= 90 * n_lines AS kept
 FROM b
 """
 )
