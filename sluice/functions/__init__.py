@@ -1 +1 @@
-"""See the package docstring."""
+"""Column functions and the fixed values they depend on."""

@@ -1 +1 @@
-"""See the package docstring."""
+"""The steps of the batch run, each a function of DataFrames."""

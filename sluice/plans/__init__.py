@@ -1 +1 @@
-"""See the package docstring."""
+"""The catalogue of named queries."""
