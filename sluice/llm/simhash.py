@@ -8,7 +8,8 @@ bit left out; an equality join on these variants gives the candidates, which are
 The fingerprints of one variant are gone through by a breadth-first search that emits a spanning forest of their links,
 so the edges stay linear. Hot variants, which more than ``limit`` fingerprints share, don't go to one task: their
 remaining bits are indexed with all the wildcards that the distance still allows; fingerprints that share such a key
-are all within the distance, so each is linked to the key's smallest. No link between components is lost.
+are all within the distance, so each is linked to the key's smallest. No link between components is lost. Where
+links need a similarity too, a hot variant's fingerprints are dealt into blocks instead, and each pair of blocks is searched.
 
 near_copies() finds copies by similarity: LANES fingerprints of single words, of which any may be within the distance,
 give the candidates, which are linked if the sketches of their five-word shingles (one-permutation min-hash) agree to at least ``similarity``.
@@ -26,7 +27,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import small, stored
@@ -141,6 +142,14 @@ def _forest(whole, distance, similarity, batches):
     yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
 
 
+def paired(rows: DataFrame, keys: list[str], blocks: Column) -> DataFrame:
+    """``rows`` of too large groups (``keys``), dealt into ``blocks`` (3 or more) by node, once for each pair of blocks of a
+    group. Any two rows of a group share a ``part``, the long that stands for a group's pair of blocks."""
+    mine = rows.withColumn("__n", blocks.cast("long")).withColumn("__b", F.pmod(F.xxhash64("node", F.lit(SEED)), F.col("__n")))
+    each = mine.withColumn("__o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1))).where("__o <> __b")
+    return each.withColumn("part", F.xxhash64(*keys, F.least("__b", "__o"), F.greatest("__b", "__o"))).drop("__n", "__b", "__o")
+
+
 def candidate_links(nodes: DataFrame, distance: int = 2, limit: int = LIMIT, similarity: float | None = None) -> DataFrame:
     """Edges (a, b) between ``nodes`` (node, fp, and sketch if a similarity is asked for; else node is fp), whose
     components are those of all links."""
@@ -163,9 +172,11 @@ def candidate_links(nodes: DataFrame, distance: int = 2, limit: int = LIMIT, sim
         near = F.coalesce(*(F.when(F.col("k") == k, F.array(*(F.struct(F.lit(j).alias("k"), F.col("part").bitwiseAND(F.lit(m)).alias("part")) for j, m in v))) for k, v in own.items()))
         suspects = stored(frequent.select(F.explode(near).alias("s")).select("s.*").distinct(), "suspects")
         counted = named.join(small(suspects), ["k", "part"]).groupBy("k", "part").agg(F.count("*").alias("n"))
-        hot_keys = stored(counted.where(F.col("n") > limit).drop("n"), "hot")
+        hot_keys = stored(counted.where(F.col("n") > limit), "hot")
         hot_keys = None if hot_keys.isEmpty() else small(hot_keys)
     cold = variants if hot_keys is None else named.join(hot_keys, ["k", "part"], "left_anti").select("kind", "part", "node")
+    if similarity and hot_keys is not None:  # sharing a key proves no similarity: all links are searched, blocks against blocks
+        cold, hot_keys = cold.union(paired(named.join(hot_keys, ["k", "part"]), ["k", "part"], F.ceil(2 * F.col("n") / limit)).select("kind", "part", "node")), None
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = cold.repartition(parts, F.shiftright("kind", 1), "part")
     if similarity:  # fingerprints and sketches go along only with the variants that several nodes share
@@ -180,20 +191,9 @@ def candidate_links(nodes: DataFrame, distance: int = 2, limit: int = LIMIT, sim
     exploded = hot.join(F.broadcast(wild), "kind").select("kind", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "node")
     least = exploded.groupBy("kind", "mask", "key").agg(F.min("node").alias("a"), F.count("*").alias("m")).where("m > 1").drop("m")
     star = exploded.join(least, ["kind", "mask", "key"]).where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    if similarity:
-        sketches = nodes.select("node", "sketch")
-        star = star.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
-        star = star.mapInArrow(partial(_verify, similarity), "a long, b long")
     return cold.union(star)
 
 
-def _verify(similarity, batches):
-    for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sa", "sb"))
-        keep = pa.array(similar(a, b) >= similarity) if batch.num_rows else pa.array([], pa.bool_())
-        yield batch.select(["a", "b"]).filter(keep)
-
-
 BINS = 128
 
 

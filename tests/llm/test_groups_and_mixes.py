@@ -82,6 +82,17 @@ def test_links_of_hot_variants(spark, distance, limit):
     assert {x: got.get(x, x) for x in fps} == {x: find(parent, x) for x in fps}
 
 
+def test_similar_links_of_hot_variants(spark):
+    """The smallest node of each key is unlike the two that are copies of each other."""
+    rng, rows = random.Random(8), []
+    for n in range(60):
+        sketch = bytes(rng.randrange(1, 256) for _ in range(simhash.BINS))
+        rows += [(n, 5, sketch)] if n < 20 else [(n, 5, sketch), (n + 100, 4, bytes([1, *sketch[1:]]))]
+    nodes = spark.createDataFrame(rows, "node long, fp long, sketch binary")
+    got = {r.v: r.root for r in connected_components(simhash.candidate_links(nodes, 3, 4, 0.8)).collect()}
+    assert got == {v: n for n in range(20, 60) for v in (n, n + 100)}
+
+
 def test_near_copies(spark):
     rng = random.Random(6)
     text = lambda n: [str(rng.randint(0, 10**6)) for _ in range(n)]
