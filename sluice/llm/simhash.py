@@ -8,11 +8,13 @@ bit left out; an equality join on these variants gives the candidates, which are
 The fingerprints of one variant are gone through by a breadth-first search that emits a spanning forest of their links,
 so the edges stay linear. Hot variants, which more than ``limit`` fingerprints share, don't go to one task: their
 remaining bits are indexed with all the wildcards that the distance still allows; fingerprints that share such a key
-are all within the distance, so each is linked to the key's smallest. No link between components is lost. Where
-links need a similarity too, a hot variant's fingerprints are dealt into blocks instead, and each pair of blocks is searched.
+are all within the distance, so each is linked to the key's smallest. No link between components is lost.
 
-near_copies() finds copies by similarity: LANES fingerprints of single words, of which any may be within the distance,
-give the candidates, which are linked if the sketches of their five-word shingles (one-permutation min-hash) agree to at least ``similarity``.
+near_copies() links texts by the Jaccard similarity of their sets of five-word shingles (64-bit hashes), decided on
+the shingles themselves. Candidates agree in one of BANDS bands of a one-permutation min-hash, whichever words they
+have, and to ``LOOSE`` in the whole sketch; a pair of similarity 0.8 misses all bands once in ten thousand times.
+Candidates only say which texts meet: in each component of candidates all pairs are searched for exact links, so that
+no pair hangs on a third text. Keys and components too large for one task are dealt into blocks, and each pair of blocks is searched.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; fewer words than a shingle
 make one shingle of all; repeated rows share a component and each get a row; null ids are never a component's id
@@ -21,7 +23,7 @@ unless it has no other; an empty table gives an empty result; other columns are
 
 from __future__ import annotations
 
-from functools import partial, reduce
+from functools import partial
 from itertools import combinations, repeat
 
 import numpy as np
@@ -103,43 +105,34 @@ def _groups(whole, batches):
     return table, order, lo[: len(worth)][worth], hi[: len(worth)][worth]
 
 
-def _shared(whole, batches):
-    """The rows of a partition whose variant is worth a look."""
-    if not (batches := list(batches)):
-        return
-    table, order, lo, hi = _groups(whole, batches)
-    rows = np.concatenate([order[a:b] for a, b in zip(lo, hi, strict=True)]) if len(lo) else order[:0]
-    yield from table.take(pa.array(rows)).to_batches()
-
-
-def _forest(whole, distance, similarity, batches):
-    """A partition of variants -> edges of a spanning forest of each variant's links."""
-    if not (batches := list(batches)):
-        return
-    table, order, firsts, ends = _groups(whole, batches)
-    node = table["node"].to_numpy()[order]
-    fp = (table["fp"].to_numpy()[order] if similarity else node).view(np.uint64)
-    sketches = table["sketch"] if similarity else None
+def _spanned(node: np.ndarray, groups, near) -> pa.RecordBatch:
+    """Edges of a spanning forest of each group's links, found breadth first; near(x, left) says which of ``left`` are linked to x."""
     a, b = [], []
-    for lo, hi in zip(firsts, ends, strict=True):
-        left = np.arange(lo, hi)
-        if similarity:
-            sketch = np.frombuffer(b"".join(sketches.take(pa.array(order[lo:hi])).to_pylist()), np.uint8).reshape(hi - lo, -1)
+    for left in groups:
         while len(left) > 1:
             todo, left = [left[0]], left[1:]
             while todo and len(left):
                 x = todo.pop()
-                near = np.bitwise_count(fp[left] ^ fp[x]) <= distance
-                if similarity and near.any():
-                    near[near] = similar(sketch[x - lo], sketch[left[near] - lo]) >= similarity
-                if near.any():
-                    got = left[near]
+                linked = near(x, left)
+                if linked.any():
+                    got = left[linked]
                     a.append(np.full(len(got), node[x]))
                     b.append(node[got])
                     todo += got.tolist()
-                    left = left[~near]
+                    left = left[~linked]
     out = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
-    yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
+
+
+def _forest(whole, distance, batches):
+    """A partition of variants -> edges of a spanning forest of each variant's links."""
+    if not (batches := list(batches)):
+        return
+    table, order, firsts, ends = _groups(whole, batches)
+    node = table["node"].to_numpy()[order]
+    fp = node.view(np.uint64)
+    groups = (np.arange(lo, hi) for lo, hi in zip(firsts, ends, strict=True))
+    yield _spanned(node, groups, lambda x, left: np.bitwise_count(fp[left] ^ fp[x]) <= distance)
 
 
 def paired(rows: DataFrame, keys: list[str], blocks: Column) -> DataFrame:
@@ -150,9 +143,8 @@ def paired(rows: DataFrame, keys: list[str], blocks: Column) -> DataFrame:
     return each.withColumn("part", F.xxhash64(*keys, F.least("__b", "__o"), F.greatest("__b", "__o"))).drop("__n", "__b", "__o")
 
 
-def candidate_links(nodes: DataFrame, distance: int = 2, limit: int = LIMIT, similarity: float | None = None) -> DataFrame:
-    """Edges (a, b) between ``nodes`` (node, fp, and sketch if a similarity is asked for; else node is fp), whose
-    components are those of all links."""
+def candidate_links(nodes: DataFrame, distance: int = 2, limit: int = LIMIT) -> DataFrame:
+    """Edges (a, b) between ``nodes`` (node, fp; node is fp), whose components are those of all links."""
     if not 0 <= distance <= 3:
         raise ValueError("distance must be 0 to 3")
     spark = nodes.sparkSession
@@ -172,17 +164,12 @@ def candidate_links(nodes: DataFrame, distance: int = 2, limit: int = LIMIT, sim
         near = F.coalesce(*(F.when(F.col("k") == k, F.array(*(F.struct(F.lit(j).alias("k"), F.col("part").bitwiseAND(F.lit(m)).alias("part")) for j, m in v))) for k, v in own.items()))
         suspects = stored(frequent.select(F.explode(near).alias("s")).select("s.*").distinct(), "suspects")
         counted = named.join(small(suspects), ["k", "part"]).groupBy("k", "part").agg(F.count("*").alias("n"))
-        hot_keys = stored(counted.where(F.col("n") > limit), "hot")
+        hot_keys = stored(counted.where(F.col("n") > limit).drop("n"), "hot")
         hot_keys = None if hot_keys.isEmpty() else small(hot_keys)
     cold = variants if hot_keys is None else named.join(hot_keys, ["k", "part"], "left_anti").select("kind", "part", "node")
-    if similarity and hot_keys is not None:  # sharing a key proves no similarity: all links are searched, blocks against blocks
-        cold, hot_keys = cold.union(paired(named.join(hot_keys, ["k", "part"]), ["k", "part"], F.ceil(2 * F.col("n") / limit)).select("kind", "part", "node")), None
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = cold.repartition(parts, F.shiftright("kind", 1), "part")
-    if similarity:  # fingerprints and sketches go along only with the variants that several nodes share
-        shared = dealt.mapInArrow(partial(_shared, whole), "kind int, part long, node long")
-        dealt = shared.join(nodes.select("node", "fp", "sketch"), "node").repartition(parts, F.shiftright("kind", 1), "part")
-    cold = dealt.mapInArrow(partial(_forest, whole, distance, similarity), "a long, b long").distinct()
+    cold = dealt.mapInArrow(partial(_forest, whole, distance), "a long, b long").distinct()
     if hot_keys is None:
         return cold
     hot = named.join(hot_keys, ["k", "part"]).join(nodes.select("node", "fp"), "node").select(F.col("k").alias("kind"), "node", "fp")
@@ -194,57 +181,152 @@ def candidate_links(nodes: DataFrame, distance: int = 2, limit: int = LIMIT, sim
     return cold.union(star)
 
 
-BINS = 128
+#: Ranges of the shingles' hashes, and how many of them make a band of candidates: one of BANDS bands is enough.
+BINS, ROWS = 128, 5
+BANDS = BINS // ROWS
+#: Candidates' sketches agree to so much; a pair of similarity 0.8 is over four standard deviations (0.035) above.
+LOOSE = 0.65
+#: Bytes of text of one component that go to one task.
+TEXT_LIMIT = 64 << 20
 
 
-def sketch(text: bytes | None, size: int) -> bytes:
-    """One byte for each of BINS ranges of the shingles' hashes, from the least hash in it; 0 where there is none."""
+def shingle_hashes(text: bytes | None, size: int) -> np.ndarray:
+    """The set of a text's shingles as sorted 64-bit hashes."""
     words = (text or b"").lower().split()
-    hashes = np.sort(np.fromiter(map(xxhash.xxh64_intdigest, shingles(words, size)), np.uint64))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles(words, size)), np.uint64))
+
+
+def least_hashes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least hash in each of BINS ranges, and whether there is one."""
     at = np.searchsorted(hashes, np.arange(BINS, dtype=np.uint64) << np.uint64(57))
     found = hashes[np.minimum(at, len(hashes) - 1)] if len(hashes) else np.zeros(BINS, np.uint64)
-    held = (at < len(hashes)) & (found >> np.uint64(57) == np.arange(BINS))
+    return found, (at < len(hashes)) & (found >> np.uint64(57) == np.arange(BINS))
+
+
+def sketch(text: bytes | None, size: int) -> bytes:
+    """One byte for each of BINS ranges of the shingles' hashes, from the least hash in it; 0 where there is none."""
+    return _bytes(*least_hashes(shingle_hashes(text, size)))
+
+
+def _bytes(found: np.ndarray, held: np.ndarray) -> bytes:
     return (held * (1 + (found & np.uint64(0xFFFFFF)) % np.uint64(255))).astype(np.uint8).tobytes()
 
 
-#: Independent fingerprints of a text's single words in near_copies(), of which one within the distance is enough.
-LANES = 4
+def bands(found: np.ndarray, held: np.ndarray) -> list[int]:
+    """Keys of the bands that hold a shingle, from whole hashes."""
+    kept = np.where(held, found, np.uint64(0))[: BANDS * ROWS].reshape(BANDS, ROWS)
+    some = held[: BANDS * ROWS].reshape(BANDS, ROWS).any(1)
+    keys = [xxhash.xxh64_intdigest(kept[k].tobytes(), k) for k in np.flatnonzero(some).tolist()]
+    return np.array(keys, np.uint64).view(np.int64).tolist()
 
 
-def word_fingerprints(text: bytes | None, lanes: int = LANES) -> list[int]:
-    """Fingerprints from differently mixed hashes of the words."""
-    words = (text or b"").lower().split()
-    if not words:
-        return [0] * lanes
-    ones = np.zeros((lanes, 64), np.int64)
-    for k in range(0, len(words), BLOCK):
-        some = words[k : k + BLOCK]
-        h = np.fromiter(map(xxhash.xxh64_intdigest, some, repeat(SEED)), np.uint64, len(some))
-        for lane in range(lanes):
-            ones[lane] += np.add.reduce(np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), axis=0, dtype=np.uint32)
-            h = (h ^ h >> np.uint64(31)) * np.uint64(0x9FB21C651E98DF25)
-            h ^= h >> np.uint64(28)
-    return [int.from_bytes(x.tobytes(), "little", signed=True) for x in np.packbits(2 * ones > len(words), axis=1, bitorder="little")]
+def _node(texts: list) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(t or b"", 1) for t in texts], np.uint64).view(np.int64)
 
 
 def _marks(size: int, batches):
     for batch in batches:
         texts = batch.column(1).cast(pa.binary()).to_pylist()
-        node = np.array([xxhash.xxh64_intdigest(t or b"", 1) for t in texts], np.uint64).view(np.int64)
-        fps = np.array([word_fingerprints(t) for t in texts], np.int64).reshape(-1, LANES)
-        sketches = pa.array([sketch(t, size) for t in texts], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node), *(pa.array(fps[:, k]) for k in range(LANES)), sketches], ["id", "node", *(f"fp{k}" for k in range(LANES)), "sketch"])
+        least = [least_hashes(shingle_hashes(t, size)) for t in texts]
+        columns = [pa.array(_node(texts)), pa.array([len(t or b"") for t in texts], pa.int64()), pa.array([bands(*x) for x in least], pa.list_(pa.int64())), pa.array([_bytes(*x) for x in least], pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "node", "bytes", "bands", "sketch"])
+
 
+def _runs(part: np.ndarray) -> tuple[np.ndarray, list]:
+    """The order of a column's equal values, and the positions of each value that is there twice or more."""
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.diff(part[order])) + 1
+    return order, [x for x in np.split(order, cuts) if len(x) > 1]
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, distance: int = 3, limit: int = LIMIT) -> DataFrame:
-    """One row for each document: id and component_id (the smallest id of its group of exact and near copies)."""
+
+def _sketched(least, batches):
+    """A partition of (part, node, sketch) -> a spanning forest of each part's pairs whose sketches agree to ``least``."""
+    if not (batches := list(batches)):
+        return
+    table = pa.Table.from_batches(batches)
+    if not table.num_rows:
+        return
+    sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
+    yield _spanned(table["node"].to_numpy(), _runs(table["part"].to_numpy())[1], lambda x, left: similar(sketches[x], sketches[left]) >= least)
+
+
+def _texts(batches):
+    """(node, text), once in each partition."""
+    seen: set[int] = set()
+    for batch in batches:
+        texts = batch.column(0).cast(pa.binary())
+        node = _node(texts.to_pylist())
+        new = []
+        for i, x in enumerate(node.tolist()):
+            if x not in seen:
+                seen.add(x)
+                new.append(i)
+        yield pa.RecordBatch.from_arrays([pa.array(node[new]), texts.take(pa.array(new, pa.int64()))], ["node", "text"])
+
+
+def _exact(size, similarity, batches):
+    """A partition of (part, node, text), ordered by part -> a spanning forest of each part's links."""
+    part, found = None, {}
+    for batch in batches:
+        for p, n, t in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            if p != part:
+                yield _linked(found, similarity)
+                part, found = p, {}
+            if n not in found:
+                found[n] = shingle_hashes(t, size)
+    yield _linked(found, similarity)
+
+
+def _linked(found: dict[int, np.ndarray], similarity: float) -> pa.RecordBatch:
+    sets = [x for x in found.values() if len(x)]
+    node = np.array([n for n, x in found.items() if len(x)], np.int64)
+    if len(sets) < 2:
+        return _spanned(node, [], None)
+    sizes = np.array([len(x) for x in sets])
+    values, which = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.r_[0, np.cumsum(sizes)]
+    flag = np.zeros(len(values), np.int32)
+
+    def near(x, left):
+        # The sizes alone bound the similarity.
+        able = (np.minimum(sizes[left], sizes[x]) >= similarity * np.maximum(sizes[left], sizes[x]) - 1e-6).nonzero()[0]
+        out = np.zeros(len(left), bool)
+        own = which[starts[x] : starts[x + 1]]
+        flag[own] = 1
+        both = np.array([flag[which[starts[y] : starts[y + 1]]].sum() for y in left[able]], np.int64)
+        flag[own] = 0
+        out[able] = both >= similarity * (sizes[x] + sizes[left[able]] - both) - 1e-9
+        return out
+
+    return _spanned(node, [np.arange(len(sets))], near)
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, limit: int = LIMIT, text_limit: int = TEXT_LIMIT) -> DataFrame:
+    """One row for each document: id and component_id (the smallest id of its group of exact and near copies).
+    Candidates are meant for a ``similarity`` of about 0.8 and more."""
+    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    lanes = [f"fp{k}" for k in range(LANES)]
-    kinds = "id long, node long, " + ", ".join(f"{x} long" for x in lanes) + ", sketch binary"
-    marked = stored(narrow.mapInArrow(partial(_marks, shingle), kinds), "marks")
-    nodes = stored(marked.groupBy("node").agg(F.min("id").alias("least"), *(F.first(x).alias(x) for x in (*lanes, "sketch"))), "nodes")
-    edges = [candidate_links(nodes.select("node", F.col(x).alias("fp"), "sketch"), distance, limit, similarity) for x in lanes]
-    roots = connected_components(reduce(DataFrame.union, edges))
+    marked = stored(narrow.mapInArrow(partial(_marks, shingle), "id long, node long, bytes long, bands array<long>, sketch binary"), "marks")
+    nodes = stored(marked.groupBy("node").agg(F.min("id").alias("least"), *(F.first(x).alias(x) for x in ("bytes", "bands", "sketch"))), "nodes")
+    keyed = nodes.select("node", F.explode("bands").alias("part"))
+    counts = keyed.groupBy("part").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(keyed.join(small(stored(counts, "bands")), "part"), "shared")
+    many = shared.where(F.col("n") > limit)
+    dealt = shared.where(F.col("n") <= limit).select("part", "node")
+    if not many.isEmpty():
+        dealt = dealt.union(paired(many, ["part"], F.ceil(2 * F.col("n") / limit)).select("part", "node"))
+    sketched = dealt.join(nodes.select("node", "sketch"), "node").repartition(parts, "part")
+    loose = connected_components(sketched.mapInArrow(partial(_sketched, min(LOOSE, similarity)), "a long, b long"))
+    members = stored(loose.withColumnRenamed("v", "node").join(nodes.select("node", "bytes"), "node"), "members")
+    size = members.groupBy("root").agg(F.sum("bytes").alias("all"))
+    members = stored(members.join(size, "root"), "members")
+    groups, large = members.where(F.col("all") <= text_limit).select("node", F.col("root").alias("part")), members.where(F.col("all") > text_limit)
+    if not large.isEmpty():
+        groups = groups.union(paired(large, ["root"], F.greatest(F.lit(3), F.ceil(2 * F.col("all") / text_limit))).select("node", "part"))
+    groups = stored(groups, "groups")
+    texts = narrow.select("text").mapInArrow(_texts, "node long, text binary").join(small(groups), "node").select("part", "node", "text")
+    links = texts.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(partial(_exact, shingle, similarity), "a long, b long")
+    roots = connected_components(links)
     return _named(marked.select("id", "node"), nodes.select("node", "least"), roots).select(F.col("id").alias(id_col), "component_id")
 
 

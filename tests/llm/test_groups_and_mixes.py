@@ -82,15 +82,35 @@ def test_links_of_hot_variants(spark, distance, limit):
     assert {x: got.get(x, x) for x in fps} == {x: find(parent, x) for x in fps}
 
 
-def test_similar_links_of_hot_variants(spark):
-    """The smallest node of each key is unlike the two that are copies of each other."""
-    rng, rows = random.Random(8), []
-    for n in range(60):
-        sketch = bytes(rng.randrange(1, 256) for _ in range(simhash.BINS))
-        rows += [(n, 5, sketch)] if n < 20 else [(n, 5, sketch), (n + 100, 4, bytes([1, *sketch[1:]]))]
-    nodes = spark.createDataFrame(rows, "node long, fp long, sketch binary")
-    got = {r.v: r.root for r in connected_components(simhash.candidate_links(nodes, 3, 4, 0.8)).collect()}
-    assert got == {v: n for n in range(20, 60) for v in (n, n + 100)}
+def edited(rng, words, n):
+    """The words with n of them replaced, spread."""
+    out = list(words)
+    for i in rng.sample(range(2, len(words) - 2, 6), n):
+        out[i] = str(rng.random())
+    return out
+
+
+@pytest.mark.parametrize("limits", [{}, {"limit": 3, "text_limit": 20_000}])
+def test_near_copies_match_brute_force(spark, limits):
+    """Pairs on both sides of 0.8, of distinct and of frequent words, and groups of many near copies of one text."""
+    rng, rows = random.Random(12), []
+    for g in range(40):
+        words = [str(rng.randint(0, 10**6)) for _ in range(304)] if g % 2 else rng.choices("a b c d e f g h i j".split(), k=304)
+        rows += [words, edited(rng, words, rng.choice([4, 5, 6, 7, 8]))]
+    for _ in range(3):
+        words = [str(rng.randint(0, 10**6)) for _ in range(204)]
+        rows += [edited(rng, words, rng.randint(0, 7)) for _ in range(15)]
+    rows += ["a b c d e f g h i".split(), "a b c d e f g h i j".split(), "x".split(), "x y".split()]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in rows]
+    parent = {i: i for i in range(len(rows))}
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 5 * both >= 4 * len(sets[i] | sets[j]):
+                union(parent, i, j)
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(frame, **limits).collect()}
+    assert got == {i: find(parent, i) for i in parent}
 
 
 def test_near_copies(spark):
