@@ -4,7 +4,7 @@ Sources in code point order (null last) weigh ``weights``, repeating, and share
 stops at ``max_repeat`` times its source's size and the excess is reshared by weight. A source whose target holds its
 size r times gets r copies of every document. For the remaining budget, documents are counted by exact length; the
 counts are thinned in proportion, longest first, and a bounded-knapsack program over the shortest lengths fills what
-is left. Of each length the documents with the smallest seeded hashes are selected.
+is left; where it can't, a second one changes the counts of all lengths. Of each length the documents with the smallest seeded hashes are selected.
 
 Scale: documents are reduced to counts by (source, length) before anything meets; the n-th smallest hash of a length
 is found by counting hash ranges and ranking inside one range, so that a length that many rows share is not sorted in
@@ -17,6 +17,8 @@ source is a source of its own, the last; an empty table gives an empty result; a
 
 from __future__ import annotations
 
+from math import gcd
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,6 +30,8 @@ from sluice.llm.common import NOT_SPACE, small, stored
 SEED = 17
 #: Words that the knapsack program spans, and how many of the shortest lengths it may redistribute.
 SPAN, SHORTEST = 1 << 16, 48
+#: Words that the program over all lengths spans, or 8 times the longest length; it runs where the first leaves some.
+WHOLE = 1 << 22
 OUTPUTS = ("size", "source_size", "target", "copies", "taken")
 
 
@@ -52,8 +56,8 @@ def targets(sizes: DataFrame, weights=(1, 2, 3), share: float = 1.0, max_repeat:
 
 
 def fit_budget(lengths, counts, budget: int) -> list[int]:
-    """How many documents of each length to take, so that their words come as near to ``budget`` from below as the
-    proportional choice and the knapsack over the shortest lengths allow."""
+    """How many documents of each length to take, so that their words come as near to ``budget`` from below as can be:
+    a proportional choice, mended over the shortest lengths and, if that does not meet the budget, over all."""
     order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
     total, take = sum(n * c for n, c in zip(lengths, counts, strict=True)), [0] * len(lengths)
     if budget >= total:
@@ -87,6 +91,37 @@ def fit_budget(lengths, counts, budget: int) -> list[int]:
             spare -= n
             n *= 2
     best = reach.bit_length() - 1
+    spent += best
+    for before, i, n in reversed(steps):
+        if not before >> best & 1:
+            take[i] += n
+            best -= n * lengths[i]
+    step = gcd(*lengths)
+    return take if spent == budget // step * step else _mended(lengths, counts, budget // step * step, take, spent)
+
+
+def _mended(lengths, counts, budget: int, take: list[int], spent: int) -> list[int]:
+    """``take`` of ``spent`` words, with documents of any length added and taken back until their words meet ``budget``
+    or nothing comes nearer from below. Sums up to WHOLE are all gone through; beyond, those within a window of it."""
+    total, order = sum(n * c for n, c in zip(lengths, counts, strict=True)), sorted(range(len(lengths)), key=lambda i: lengths[i])
+    around = max(WHOLE // 2, 4 * lengths[order[-1]])
+    low, high = (0, total) if total <= WHOLE else (max(0, budget - around), min(total, budget + around))
+    width, goal = high - low, budget - low
+    reach, steps, mask = 1 << spent - low, [], (1 << high - low + 1) - 1
+    ends = [i for pair in zip(order[::-1], order, strict=True) for i in pair]  # the longest and the shortest in turn
+    for i in list(dict.fromkeys(ends)):
+        for sign, spare in ((1, counts[i] - take[i]), (-1, take[i])):
+            spare, n = min(spare, width // lengths[i]), 1
+            while spare > 0 and not reach >> goal & 1:
+                n = min(n, spare)
+                more = reach | (reach << n * lengths[i] & mask if sign > 0 else reach >> n * lengths[i])
+                if more != reach:
+                    steps.append((reach, i, sign * n))
+                reach = more
+                spare -= n
+                n *= 2
+    best = (reach & (1 << goal + 1) - 1).bit_length() - 1
+    take = list(take)
     for before, i, n in reversed(steps):
         if not before >> best & 1:
             take[i] += n

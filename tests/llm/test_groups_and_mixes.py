@@ -179,6 +179,25 @@ def test_budgets():
         assert sum(t * n for t, n in zip(take, lengths, strict=True)) == max(r for r in reach if r <= budget)
 
 
+def test_budgets_of_long_documents():
+    """Lengths above SPAN, and more distinct ones than SHORTEST."""
+    taken = lambda lengths, counts, budget: sum(t * n for t, n in zip(mixing.fit_budget(lengths, counts, budget), lengths, strict=True))
+    assert taken([1000, 200_000], [100, 1], 250_000) == 250_000
+    assert taken([1000, 9_000_000], [8000, 1], 9_500_000) == 9_500_000
+    assert taken([1000 * k for k in range(1, 61)] + [3_000_001], [2] * 60 + [1], 3_100_001) == 3_100_001
+    rng = random.Random(10)
+    for _ in range(30):
+        lengths = rng.sample(range(500, 150_000, 500), rng.randint(2, 6))
+        counts = [rng.randint(1, 3) for _ in lengths]
+        budget = rng.randint(0, sum(n * c for n, c in zip(lengths, counts, strict=True)))
+        reach = {0}
+        for n, c in zip(lengths, counts, strict=True):
+            reach = {r + n * k for r in reach for k in range(c + 1)}
+        take = mixing.fit_budget(lengths, counts, budget)
+        assert all(0 <= t <= c for t, c in zip(take, counts, strict=True))
+        assert sum(t * n for t, n in zip(take, lengths, strict=True)) == max(r for r in reach if r <= budget)
+
+
 def test_nearest_matches_brute_force(spark):
     rng = np.random.default_rng(9)
     centres = rng.normal(size=(20, 8)) * 4
