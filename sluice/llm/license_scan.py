@@ -1,6 +1,7 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance from the nearest folder [DataFrame functions only].
 
-Every line of every whole text is compared with the templates: words weigh their count times ln((1 + N) / (1 + df)) + 1,
+Every line of every whole text, and every window of its running words that lies over one of a template's anchors as the
+template does (so across and inside lines), is compared with the templates: words weigh their count times ln((1 + N) / (1 + df)) + 1,
 df of N texts holding the word (a word outside the templates counts as held by one). A file's licence is that of its
 best line with a cosine of at least ``least``. A file without one inherits from the nearest folder above it that has a
 licence file (LICENSE, LICENCE, COPYING, NOTICE, UNLICENSE, any ending) with a licence.
@@ -56,6 +57,15 @@ def term_counts(frame: DataFrame, *keys: str) -> DataFrame:
     return frame.select(*keys, F.explode(terms(F.col("text"))).alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 
+def windows(words: Column, places: dict[str, list[tuple[int, int]]]) -> Column:
+    """The windows of ``words``, each as a text, that lie over an anchor as its template does: ``places`` has the anchor's
+    offset in the template and the template's length."""
+    table = F.map_from_arrays(F.array(*map(F.lit, places)), F.array(*(F.array(*(F.struct(F.lit(a).alias("at"), F.lit(n).alias("n")) for a, n in v)) for v in places.values())))
+    hits = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("i"), w.alias("w"))), lambda x: x["w"].isin(*places))
+    laid = F.flatten(F.transform(hits, lambda x: F.transform(F.element_at(table, x["w"]), lambda p: F.struct(F.greatest(x["i"] - p["at"], F.lit(0)).alias("from"), p["n"].alias("n")))))
+    return F.transform(F.array_distinct(laid), lambda x: F.array_join(F.slice(words, x["from"] + 1, x["n"]), " "))
+
+
 def folder_of(path: Column) -> Column:
     return F.regexp_replace(path, "/?[^/]*$", "")
 
@@ -82,12 +92,18 @@ def scan(files: DataFrame, templates: DataFrame | None = None, path_col: str = "
     tail = F.sqrt(F.sum(F.col("w") * F.col("w")).over(own.orderBy("w", "term").rowsBetween(W.unboundedPreceding, 0)))
     vectors = stored(vectors.withColumn("anchor", tail >= F.col("norm") * (least - 1e-9)), "vectors")
     anchors = [r["term"] for r in vectors.where("anchor").select("term").distinct().orderBy("term").collect()]  # as large as the templates
+    # Where a template's anchors stand in it: a notice in running words is the window laid over a word like the template.
+    places = templates.select(F.concat_ws("\n", "license", "text").alias("template"), F.size(terms(F.col("text"))).alias("n"), F.posexplode(terms(F.col("text"))).alias("at", "term"))
+    places = places.join(vectors.where("anchor").select("template", "term").distinct(), ["template", "term"]).groupBy("term").agg(F.sort_array(F.collect_set(F.struct("at", "n"))).alias("places"))
+    places = {r["term"]: [(x["at"], x["n"]) for x in r["places"]] for r in places.orderBy("term").collect()}  # as large as the templates
     escaped = "|".join("".join(c if c.isalnum() else "\\" + c for c in a) for a in anchors)
     # Lines that may reach ``least``; each different line is scored once.
     holds = reduce(Column.__or__, (F.contains(F.col("__low"), F.lit(a)) for a in anchors), F.lit(False))
     told = files.select(F.col(path_col).alias("path"), F.col(text_col).alias("text"), F.lower(text_col).alias("__low")).where(holds)
     lines = told.select("path", F.explode(F.split("text", "\n")).alias("text"))
     lines = lines.where(F.lower("text").rlike(rf"(^|[^a-z0-9])({escaped})([^a-z0-9]|$)" if anchors else "(?!)"))
+    if places:
+        lines = lines.union(told.select("path", F.explode(windows(terms(F.col("text")), places)).alias("text")))
     lines = stored(lines.distinct(), "lines")
     weighed = term_counts(lines.select("text").distinct().withColumn("line", F.col("text")), "line").join(F.broadcast(known), "term", "left")  # as large as the templates
     weighed = stored(weighed.select("line", "term", (F.col("tf") * F.coalesce("idf", idf(F.lit(1)))).alias("w")), "weighed")

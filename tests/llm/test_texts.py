@@ -184,6 +184,16 @@ def test_licences(spark):
     assert license_scan.scan(frame.limit(0)).count() == 0
 
 
+def test_licences_in_running_words(spark):
+    """Notices that are wrapped over lines, and such as stand inside a longer line."""
+    bsd = "// Redistribution and use in source and binary\n// forms, with or without modification, are\n// permitted provided that the\n// following conditions are met:"
+    prose = "The weather was fine on that day. {} We then walked along the river until the evening came."
+    rows = [("a/1", bsd, "BSD-3-Clause"), ("b/2", "Apache License\nVersion 2.0, January 2004\n", "Apache-2.0"), ("c/3", "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007", "GPL-3.0"),
+            ("d/4", prose.format("Licensed under CC BY 4.0."), "CC-BY-4.0"), ("e/5", prose.format("Released under the MIT License."), "MIT"), ("f/6", prose.format("The license was good."), None)]
+    frame = spark.createDataFrame([r[:2] for r in rows], "path string, text string")
+    assert {r.path: r.license for r in license_scan.scan(frame).collect()} == {p: x for p, _, x in rows}
+
+
 # ---------------------------------------------------------------- language ID
 def test_gradients():
     rng = np.random.default_rng(1)
