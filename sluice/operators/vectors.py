@@ -7,6 +7,7 @@ number of weighted, signed dimensions and scales to length 1, all in built-in fu
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from sluice.functions import fixed, skills, text
 
 DIMENSIONS = 256
+#: Queries that search_all() sends to every task at once.
+BLOCK = 5000
 Embedder = Callable[[DataFrame, str, str], DataFrame]
 
 
@@ -81,6 +84,13 @@ def search(vectors: DataFrame, queries: DataFrame, n: int = 10, where: Column |
     return ranked.select(query_key, key, "rank", F.round("exact", 3).alias("similarity"), "exact")
 
 
+def search_all(vectors: DataFrame, queries: DataFrame, n: int = 10, key: str = "job_id", query_key: str = "query_id", block: int = BLOCK) -> DataFrame:
+    """search() for any number of queries: they are dealt into blocks of about ``block``, each compared with all vectors."""
+    blocks = max(1, -(-queries.count() // block))
+    dealt = F.pmod(F.xxhash64(query_key), F.lit(blocks))
+    return reduce(DataFrame.union, [search(vectors, queries.where(dealt == b), n, key=key, query_key=query_key) for b in range(blocks)])
+
+
 def semantic_scores(hits: DataFrame, key: str = "job_id", query_key: str = "query_id") -> DataFrame:
     """(key, semantic): mean of a key's two best hits (of one, if it has one)."""
     best = F.row_number().over(W.partitionBy(key).orderBy(F.desc("exact"), query_key))

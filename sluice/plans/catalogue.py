@@ -415,6 +415,14 @@ def knn_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.search(found, asked, 10).drop("exact")
 
 
+@query()
+def knn_cosine_twentieth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row whose id is divisible by 20 against all rows; too many pairs for SQL, a test has brute force."""
+    found = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("job_id"), "embedding")
+    asked = found.where("job_id % 20 = 0").withColumnRenamed("job_id", "query_id")
+    return vectors.search_all(found, asked, 10).drop("exact")
+
+
 @query("""
 WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings), q AS (SELECT * FROM v WHERE vec_id < 4),
 s AS (SELECT q.vec_id AS query_id, v.vec_id AS job_id, v.label, list_cosine_similarity(v.e, q.e) AS c FROM v, q),

@@ -1,10 +1,12 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sluice import pipeline, schema
 from sluice.operators import bronze, enrich, evaluate, gold, ledger, quality, silver, vectors
+from sluice.plans import catalogue
 from sluice.sources import landing
 
 def as_of():
@@ -150,3 +152,16 @@ def test_stream(spark, tmp_path):
 
 def test_silver_of_nothing(spark):
     assert silver.to_silver(spark.createDataFrame([], schema.BRONZE)).count() == 0
+
+
+def test_search_of_every_twentieth_row(spark, tmp_path):
+    x = np.random.default_rng(3).normal(size=(300, 8)).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    frame.write.parquet(f"{tmp_path}/embeddings.parquet")
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    want = {(q, int(j), r + 1) for q in range(0, 300, 20) for r, j in enumerate(np.argsort(-(unit @ unit[q]), kind="stable")[:10])}
+    got = catalogue.QUERIES["knn_cosine_twentieth"](spark, str(tmp_path)).collect()
+    assert {(r.query_id, r.job_id, r["rank"]) for r in got} == want and len(got) == 150
+    found = frame.withColumnRenamed("vec_id", "job_id")
+    blocks = vectors.search_all(found, found.where("job_id % 20 = 0").withColumnRenamed("job_id", "query_id"), 10, block=4).collect()
+    assert {(r.query_id, r.job_id, r["rank"]) for r in blocks} == want
