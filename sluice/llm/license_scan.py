@@ -10,7 +10,7 @@ Before vectors are made, lines without an anchor word are passed over: a templat
 all but a tail whose norm is under ``least`` of the whole; by Cauchy-Schwarz a line that shares only tail words stays
 under ``least``. Equal lines are scored once, so a line that is in very many texts costs one comparison.
 
-Defined cases: null and empty texts have no licence of their own and may inherit; a null path has no folder; ties go
+Defined cases: null and empty texts have no licence of their own and may inherit; a null path has no folder, but the licence of its own text; ties go
 to the first licence by name; of several licence files in a folder the best counts, then the first by name; repeated
 rows each get a row; an empty table gives an empty result; input columns named like an output are replaced.
 """
@@ -66,6 +66,11 @@ def windows(words: Column, places: dict[str, list[tuple[int, int]]]) -> Column:
     return F.transform(F.array_distinct(laid), lambda x: F.array_join(F.slice(words, x["from"] + 1, x["n"]), " "))
 
 
+def key_of(path: Column, text: Column) -> Column:
+    """What a file's own licence is joined back by: its path or, without one, its text."""
+    return F.coalesce(F.concat(F.lit("p"), path), F.concat(F.lit("t"), F.sha2(text, 256)))
+
+
 def folder_of(path: Column) -> Column:
     return F.regexp_replace(path, "/?[^/]*$", "")
 
@@ -99,11 +104,11 @@ def scan(files: DataFrame, templates: DataFrame | None = None, path_col: str = "
     escaped = "|".join("".join(c if c.isalnum() else "\\" + c for c in a) for a in anchors)
     # Lines that may reach ``least``; each different line is scored once.
     holds = reduce(Column.__or__, (F.contains(F.col("__low"), F.lit(a)) for a in anchors), F.lit(False))
-    told = files.select(F.col(path_col).alias("path"), F.col(text_col).alias("text"), F.lower(text_col).alias("__low")).where(holds)
-    lines = told.select("path", F.explode(F.split("text", "\n")).alias("text"))
+    told = files.select(key_of(F.col(path_col), F.col(text_col)).alias("key"), F.col(path_col).alias("path"), F.col(text_col).alias("text"), F.lower(text_col).alias("__low")).where(holds)
+    lines = told.select("key", "path", F.explode(F.split("text", "\n")).alias("text"))
     lines = lines.where(F.lower("text").rlike(rf"(^|[^a-z0-9])({escaped})([^a-z0-9]|$)" if anchors else "(?!)"))
     if places:
-        lines = lines.union(told.select("path", F.explode(windows(terms(F.col("text")), places)).alias("text")))
+        lines = lines.union(told.select("key", "path", F.explode(windows(terms(F.col("text")), places)).alias("text")))
     lines = stored(lines.distinct(), "lines")
     weighed = term_counts(lines.select("text").distinct().withColumn("line", F.col("text")), "line").join(F.broadcast(known), "term", "left")  # as large as the templates
     weighed = stored(weighed.select("line", "term", (F.col("tf") * F.coalesce("idf", idf(F.lit(1)))).alias("w")), "weighed")
@@ -112,7 +117,7 @@ def scan(files: DataFrame, templates: DataFrame | None = None, path_col: str = "
     scored = dots.join(norms, "line").select("line", "license", F.round(F.col("dot") / (F.col("norm") * F.col("line_norm")), 4).alias("score"))
     best = lambda: F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b")
     scored = stored(scored.where(F.col("score") >= least).groupBy("line").agg(best()).select(F.col("line").alias("text"), "b.license", (-F.col("b.s")).alias("score")), "scored")
-    owned = stored(lines.join(small(scored), "text").groupBy("path").agg(best()).select("path", "b.license", (-F.col("b.s")).alias("score")), "owned")
+    owned = stored(lines.join(small(scored), "text").groupBy("key", "path").agg(best()).select("key", "path", "b.license", (-F.col("b.s")).alias("score")), "owned")
     # Folders with a licence file, and for each file's folders the deepest of them.
     given = owned.where(F.col("path").rlike(LICENSE_FILE)).withColumn("folder", folder_of(F.col("path")))
     given = given.groupBy("folder").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b")).select("folder", "b.license", (-F.col("b.s")).alias("score"))
@@ -123,12 +128,12 @@ def scan(files: DataFrame, templates: DataFrame | None = None, path_col: str = "
     above = F.when(F.col("own") == "", F.array(F.lit(""))).otherwise(F.array_union(F.array(F.lit("")), above))
     chain = folders.select("own", F.explode(above).alias("folder")).join(small(given), "folder")
     nearest = chain.groupBy("own").agg(F.max(F.struct(F.char_length("folder").alias("l"), "folder", "license", "score")).alias("g")).select(F.col("own").alias("__own"), "g")
-    out = files.withColumns({"__path": F.col(path_col), "__own": folder_of(F.col(path_col))})
-    out = out.join(small(owned.withColumnsRenamed({"path": "__path", "license": "__l", "score": "__s"})), "__path", "left").join(small(stored(nearest, "nearest")), "__own", "left")
+    out = files.withColumns({"__key": key_of(F.col(path_col), F.col(text_col)), "__own": folder_of(F.col(path_col))})
+    out = out.join(small(owned.drop("path").withColumnsRenamed({"key": "__key", "license": "__l", "score": "__s"})), "__key", "left").join(small(stored(nearest, "nearest")), "__own", "left")
     direct = F.col("__l").isNotNull()
     return out.withColumns({
         "license": F.coalesce("__l", "g.license"),
         "score": F.coalesce("__s", "g.score"),
         "origin": F.when(direct, "own").when(F.col("g").isNotNull(), "inherited").otherwise("none"),
         "folder": F.when(~direct, F.col("g.folder")),
-    }).drop("__path", "__own", "__l", "__s", "g")
+    }).drop("__key", "__own", "__l", "__s", "g")

@@ -194,6 +194,12 @@ def test_licences_in_running_words(spark):
     assert {r.path: r.license for r in license_scan.scan(frame).collect()} == {p: x for p, _, x in rows}
 
 
+def test_licence_of_a_null_path(spark):
+    rows = [(None, "Released under the MIT License."), (None, "Licensed under CC BY 4.0."), (None, "plain"), (None, None), ("a", "plain")]
+    got = license_scan.scan(spark.createDataFrame(rows, "path string, text string")).collect()
+    assert sorted((str(r.text), r.license, r.origin) for r in got) == [("Licensed under CC BY 4.0.", "CC-BY-4.0", "own"), ("None", None, "none"), ("Released under the MIT License.", "MIT", "own"), ("plain", None, "none"), ("plain", None, "none")]
+
+
 # ---------------------------------------------------------------- language ID
 def test_gradients():
     rng = np.random.default_rng(1)
