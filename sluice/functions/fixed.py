@@ -1,5 +1,7 @@
 """Results depend on these exact lists, patterns and rates. All are parameters of what uses them."""
 
+import re
+
 # ---- fixed values: skill vocabulary, canonical name -> further names
 SKILLS = {
     "Python": [], "SQL": [], "Java": [], "JavaScript": ["js"], "TypeScript": [], "Go": ["golang"],
@@ -76,7 +78,13 @@ HEADINGS = (
     r"requirement|qualification|you have|you bring|what you.?ll need|your profile|skills|experience with|"
     r"must have|nice to have|tech stack|we.?re looking for|anforderung|dein profil|ihr profil|das bringst du"
 )
+HEADING_WORTH, PARAGRAPH_GAP = 3, 2
+PARAGRAPH_END = re.compile(r"\n\s*\n|\n(?=- )")
+
+# ---- fixed values: HTML. What counts as a tag, the tags that start a line, and what the text is tidied by
+TAG = r"<\s*/?\s*[a-zA-Z][^>]*>"
 BLOCK_TAGS = ("p", "div", "br", "li", "ul", "ol", "h1", "h2", "h3", "h4", "tr")
+TIDY = ((r"[ \t\xa0]+", " "), (r"\n\s*\n+", "\n\n"))
 
 # ---- fixed values: enrichment
 ROLE_FAMILIES = (
@@ -86,6 +94,9 @@ ROLE_FAMILIES = (
 SENIORITIES = ("intern", "junior", "mid", "senior", "lead", "unknown")
 REMOTE_POLICIES = ("remote", "hybrid", "onsite", "unknown")
 PROMPT_VERSION, JOBS_PER_CALL, JOBS_PER_RUN, TOKENS_PER_MINUTE = "v1", 4, 120, 7000
+#: Tokens that an answer takes for a job; calls tried for a batch; seconds that a provider may ask to wait, that it is
+#: taken to ask for if it doesn't say, and to wait after a lost connection, times the number of tries.
+ANSWER_TOKENS, TRIES, LONGEST_WAIT, DEFAULT_WAIT, CONNECTION_WAIT = 120, 4, 120, 20, 5
 
 # ---- fixed values: order of sources for duplicates
 SOURCE_PRIORITY = {"adzuna_in": 1, "remotive": 2, "remoteok": 3}

@@ -35,10 +35,24 @@ def matcher():
     return lambda text: {c for c, p in _compiled() if p.search(text)}
 
 
+def overlapping(names: list[str]) -> bool:
+    """Whether a name may begin within another and end after it, so that finding one may hide the other."""
+    return any(a.lower().endswith(b.lower()[:k]) for a in names for b in names for k in range(1, len(b)) if re.match(r"[^\w+#&]", b[k:]) and re.search(r"(?<![\w+#&.])$", a[: len(a) - k]) and k < len(a))
+
+
 def keyword_skills(text: Column, vocabulary=None, exact=None) -> Column:
-    """Sorted canonical names found in the text."""
-    hits = [F.when(text.rlike(("(?U)" if case else "(?iU)") + p), F.lit(c)) for c, p, case in patterns(vocabulary, exact)]
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))) if hits else F.array().cast("array<string>")
+    """Sorted canonical names found in the text. One alternation, longest names first, goes through the whole text; the
+    rules of the single names then see only what it found."""
+    rules = patterns(vocabulary, exact)
+    if not rules:
+        return F.array().cast("array<string>")
+    find = lambda t: F.array_compact(F.array(*(F.when(t.rlike(("(?U)" if case else "(?iU)") + p), F.lit(c)) for c, p, case in rules)))
+    names = sorted({n for c, more in (vocabulary or fixed.SKILLS).items() for n in (c, *more)}, key=lambda n: (-len(n), n))
+    if not overlapping(names):
+        alternation = "(?iU)" + BEFORE + "(?:" + "|".join(map(re.escape, names)) + ")" + AFTER
+        text = F.array_join(F.array_distinct(F.regexp_extract_all(text, F.lit(alternation), F.lit(0))), "\n")
+    # The lambda names what was found, so that the alternation is in the plan once.
+    return F.array_sort(F.array_distinct(F.coalesce(F.get(F.transform(F.array(text), find), F.lit(0)), F.array().cast("array<string>"))))
 
 
 def canonicalise(names: Column, vocabulary=None) -> Column:

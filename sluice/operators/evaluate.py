@@ -40,7 +40,7 @@ def per_skill_errors(rows: DataFrame, gold: str = "gold", pred: str = "pred", to
 
 def seeded_sample(rows: DataFrame, n: int, seed: int = 42, key: str = "job_id") -> DataFrame:
     """min(n, rows) rows, the same for a seed whatever the partitioning."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), key).limit(n)
 
 
 def compare(labels: DataFrame, keyword: str, model: str) -> dict:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,83 +20,73 @@ PAYLOADS = {
 }
 
 
-def _null(kind: str = "string") -> Column:
-    return F.lit(None).cast(kind)
+#: What a mapping gives.
+MAPPED = "title string, company string, location string, country string, is_remote boolean, employment_type string, salary_min double, salary_max double, salary_currency string, salary_period string, posted string, url string, html string, bad_amount boolean"
+NO_MAPPER = "no mapping of this source"
 
 
 def _truthy(value: Column) -> Column:
     return F.coalesce(~F.lower(value).isin("", "false", "0", "0.0", "null", "[]", "{}"), F.lit(False))
 
 
-def _salary(lo: Column, hi: Column, currency: Column, period: Column) -> dict[str, Column]:
-    return {"salary_min": lo, "salary_max": hi, "salary_currency": currency, "salary_period": period}
-
-
-def from_remotive(rows: DataFrame) -> DataFrame:
-    rows = rows.withColumn("pay", salary.parse_salary(F.col("p.salary")))
-    where = F.col("p.candidate_required_location")
-    return rows.select(
-        *_ids(), F.col("p.title").alias("title"), F.col("p.company_name").alias("company"), where.alias("location"),
-        place.guess_country(where, "REMOTE").alias("country"), F.lit(True).alias("is_remote"),
-        place.employment_type(F.array("p.job_type")).alias("employment_type"),
-        *_named(_salary(F.col("pay.lo"), F.col("pay.hi"), F.col("pay.currency"), F.col("pay.period"))),
-        F.col("p.publication_date").alias("posted"), F.col("p.url").alias("url"), F.col("p.description").alias("html"),
-        F.lit(False).alias("bad_amount"),
-    )
-
-
-def from_arbeitnow(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        *_ids(), F.col("p.title").alias("title"), F.col("p.company_name").alias("company"), F.col("p.location").alias("location"),
-        place.guess_country(F.col("p.location"), "DE").alias("country"), _truthy(F.col("p.remote")).alias("is_remote"),
-        place.employment_type(F.col("p.job_types")).alias("employment_type"),
-        *_named(_salary(_null("double"), _null("double"), _null(), _null())),
-        F.col("p.created_at").alias("posted"), F.col("p.url").alias("url"), F.col("p.description").alias("html"),
-        F.lit(False).alias("bad_amount"),
-    )
-
-
-def from_remoteok(rows: DataFrame) -> DataFrame:
-    lo, hi = salary.stated(F.col("p.salary_min")), salary.stated(F.col("p.salary_max"))
-    small = F.coalesce(lo < 1000, F.lit(False))  # an hourly rate in a yearly field
-    lo, hi = F.when(~small, lo), F.when(~small, hi)
-    return rows.select(
-        *_ids(), F.coalesce("p.position", F.lit("")).alias("title"), F.col("p.company").alias("company"),
-        F.coalesce(F.nullif(F.col("p.location"), F.lit("")), F.lit("Remote")).alias("location"),
-        place.guess_country(F.col("p.location"), "REMOTE").alias("country"), F.lit(True).alias("is_remote"),
-        place.employment_type(F.col("p.tags")).alias("employment_type"),
-        *_named(_salary(lo, hi, F.when(lo.isNotNull(), "USD"), F.when(lo.isNotNull(), "year"))),
-        F.col("p.date").alias("posted"), F.col("p.url").alias("url"), F.col("p.description").alias("html"),
-        _unread(F.col("p.salary_min"), F.col("p.salary_max")).alias("bad_amount"),
-    )
-
-
-def from_adzuna(rows: DataFrame) -> DataFrame:
-    real = F.coalesce(F.col("p.salary_is_predicted") != "1", F.lit(True))
-    lo, hi = (F.when(real, F.col(f"p.{c}").try_cast("double")) for c in ("salary_min", "salary_max"))
-    hi = F.when(~lo.eqNullSafe(hi), hi)
-    given = F.coalesce(lo != 0, F.lit(False))
-    words = F.lower(F.concat(F.coalesce("p.title", F.lit("")), F.coalesce("p.description", F.lit(""))))
-    return rows.select(
-        *_ids(), F.coalesce("p.title", F.lit("")).alias("title"), F.col("p.company.display_name").alias("company"),
-        F.col("p.location.display_name").alias("location"), F.lit("IN").alias("country"),
-        words.rlike(fixed.REMOTE_WORDS).alias("is_remote"),
-        place.employment_type(F.array("p.contract_time", "p.contract_type")).alias("employment_type"),
-        *_named(_salary(lo, hi, F.when(given, "INR"), F.when(given, "year"))),
-        F.col("p.created").alias("posted"), F.col("p.redirect_url").alias("url"), F.col("p.description").alias("html"),
-        (real & _unread(F.col("p.salary_min"), F.col("p.salary_max"))).alias("bad_amount"),
-    )
+def from_remotive(p: Column) -> dict[str, Column]:
+    where, pay = p["candidate_required_location"], salary.parse_salary(p["salary"])
+    return {
+        "title": p["title"], "company": p["company_name"], "location": where, "country": place.guess_country(where, "REMOTE"), "is_remote": F.lit(True),
+        "employment_type": place.employment_type(F.array(p["job_type"])),
+        "salary_min": pay["lo"], "salary_max": pay["hi"], "salary_currency": pay["currency"], "salary_period": pay["period"],
+        "posted": p["publication_date"], "url": p["url"], "html": p["description"],
+    }
 
 
-MAPPERS = {"remotive": from_remotive, "arbeitnow": from_arbeitnow, "remoteok": from_remoteok, "adzuna_in": from_adzuna}
+def from_arbeitnow(p: Column) -> dict[str, Column]:
+    return {
+        "title": p["title"], "company": p["company_name"], "location": p["location"], "country": place.guess_country(p["location"], "DE"),
+        "is_remote": _truthy(p["remote"]), "employment_type": place.employment_type(p["job_types"]),
+        "posted": p["created_at"], "url": p["url"], "html": p["description"],
+    }
+
+
+def from_remoteok(p: Column) -> dict[str, Column]:
+    lo, hi = salary.stated(p["salary_min"]), salary.stated(p["salary_max"])
+    hourly = F.coalesce(lo < 1000, F.lit(False))  # an hourly rate in a yearly field
+    lo, hi = F.when(~hourly, lo), F.when(~hourly, hi)
+    return {
+        "title": F.coalesce(p["position"], F.lit("")), "company": p["company"], "location": F.coalesce(F.nullif(p["location"], F.lit("")), F.lit("Remote")),
+        "country": place.guess_country(p["location"], "REMOTE"), "is_remote": F.lit(True), "employment_type": place.employment_type(p["tags"]),
+        "salary_min": lo, "salary_max": hi, "salary_currency": F.when(lo.isNotNull(), "USD"), "salary_period": F.when(lo.isNotNull(), "year"),
+        "posted": p["date"], "url": p["url"], "html": p["description"], "bad_amount": _unread(p["salary_min"], p["salary_max"]),
+    }
 
 
-def _ids() -> list[Column]:
-    return [F.col(c) for c in ("raw_id", "source", "source_job_id")]
+def from_adzuna(p: Column) -> dict[str, Column]:
+    real = F.coalesce(p["salary_is_predicted"] != "1", F.lit(True))
+    lo, hi = (F.when(real, p[c].try_cast("double")) for c in ("salary_min", "salary_max"))
+    given = F.coalesce(lo != 0, F.lit(False))
+    words = F.lower(F.concat(F.coalesce(p["title"], F.lit("")), F.coalesce(p["description"], F.lit(""))))
+    return {
+        "title": F.coalesce(p["title"], F.lit("")), "company": p["company"]["display_name"], "location": p["location"]["display_name"], "country": F.lit("IN"),
+        "is_remote": words.rlike(fixed.REMOTE_WORDS), "employment_type": place.employment_type(F.array(p["contract_time"], p["contract_type"])),
+        "salary_min": lo, "salary_max": F.when(~lo.eqNullSafe(hi), hi), "salary_currency": F.when(given, "INR"), "salary_period": F.when(given, "year"),
+        "posted": p["created"], "url": p["redirect_url"], "html": p["description"], "bad_amount": real & _unread(p["salary_min"], p["salary_max"]),
+    }
+
 
+#: A parsed payload to the columns of MAPPED; those that a mapping leaves out are null.
+MAPPERS = {"remotive": from_remotive, "arbeitnow": from_arbeitnow, "remoteok": from_remoteok, "adzuna_in": from_adzuna}
 
-def _named(columns: dict[str, Column]) -> list[Column]:
-    return [c.alias(n) for n, c in columns.items()]
+
+def mapped(payload: Callable[[str], Column]) -> list[Column]:
+    """MAPPED's columns, each as the mapping of a row's source makes it of its payload."""
+    made = {source: mapper(payload(source)) for source, mapper in MAPPERS.items()}
+    out = []
+    for name, kind in (f.split() for f in MAPPED.split(", ")):
+        value = F.lit(None)
+        for source, columns in made.items():
+            if name in columns:
+                value = F.when(F.col("source") == source, columns[name].cast(kind)).otherwise(value)
+        out.append(value.cast(kind).alias(name))
+    return out
 
 
 def _unread(*raw: Column) -> Column:
@@ -106,14 +98,13 @@ def _unread(*raw: Column) -> Column:
 
 
 def to_silver(bronze: DataFrame, clean_title: bool = False, drop_script: bool = False) -> DataFrame:
-    """Typed records with parse_errors (empty where all could be read)."""
-    mapped = None
-    for source, mapper in MAPPERS.items():
-        own = bronze.where(F.col("source") == source).withColumn("p", F.from_json("payload", PAYLOADS[source]))
-        rows = mapper(own)
-        mapped = rows if mapped is None else mapped.unionByName(rows)
+    """Typed records with parse_errors (empty where all could be read). Bronze is scanned once: a row's payload is
+    parsed and mapped as its source says; rows of a source without mapping get that as their error."""
+    parsed = bronze.withColumns({f"__{s}": F.when(F.col("source") == s, F.from_json("payload", keys)) for s, keys in PAYLOADS.items()})
+    unmapped = ~F.coalesce(F.col("source").isin(*MAPPERS), F.lit(False))
+    rows = parsed.select("raw_id", "source", "source_job_id", unmapped.alias("unmapped"), *mapped(lambda s: F.col(f"__{s}")))
     reader = text.html_to_text_without_scripts if drop_script else text.html_to_text
-    read = mapped.withColumn("description", text.fix_mojibake(reader(F.col("html"))))
+    read = rows.withColumn("description", text.fix_mojibake(reader(F.col("html"))))
     title = F.regexp_replace(F.col("title"), "<[^>]*>", "") if clean_title else F.col("title")
     read = read.withColumns({
         "title": text.unescape_entities(text.fix_mojibake(title)),
@@ -123,8 +114,8 @@ def to_silver(bronze: DataFrame, clean_title: bool = False, drop_script: bool =
     })
     unreadable = F.coalesce(~F.col("posted").isin("", "0") & F.col("posted_at").isNull(), F.lit(False))
     reasons = F.array(
-        F.when(F.col("title").isNull(), "title missing"),
-        F.when(F.col("bad_amount"), "salary is no number"),
+        F.when(F.col("unmapped"), NO_MAPPER).when(F.col("title").isNull(), "title missing"),
+        F.when(F.coalesce("bad_amount", F.lit(False)), "salary is no number"),
         F.when(unreadable, "date can't be read"),
     )
     usd = lambda c: salary.to_usd_year(F.col(c), F.col("salary_currency"), F.col("salary_period"))
@@ -140,7 +131,7 @@ def to_silver(bronze: DataFrame, clean_title: bool = False, drop_script: bool =
         "keyword_skills": skills.keyword_skills(F.concat(F.col("title"), F.lit("\n"), F.col("description"))),
         "parse_errors": F.array_compact(reasons),
     })
-    return done.drop("posted", "html", "bad_amount")
+    return done.drop("posted", "html", "bad_amount", "unmapped")
 
 
 def split_quarantine(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -160,9 +151,10 @@ def flag_duplicates(records: DataFrame, key: str = "dedupe_key", order=None) ->
     return records.withColumn("is_duplicate", F.row_number().over(W.partitionBy(key).orderBy(*order)) > 1)
 
 
-def build_silver(bronze: DataFrame, previous: DataFrame, at: Column, **options) -> tuple[DataFrame, DataFrame]:
-    """(next silver snapshot, quarantine). updated_at moves only where a record changed."""
-    good, bad = split_quarantine(to_silver(bronze, **options))
+def build_silver(bronze: DataFrame, previous: DataFrame, at: Column, keep: Callable[[DataFrame], DataFrame] = lambda frame: frame, **options) -> tuple[DataFrame, DataFrame]:
+    """(next silver snapshot, quarantine). updated_at moves only where a record changed. ``keep`` may write the mapped
+    records down, so that both are made from one reading."""
+    good, bad = split_quarantine(keep(to_silver(bronze, **options)))
     flagged = flag_duplicates(good)
     compared = [c for c in flagged.columns if c not in ("job_id", "raw_id")]
     state = F.xxhash64(*compared)

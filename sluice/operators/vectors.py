@@ -7,7 +7,6 @@ number of weighted, signed dimensions and scales to length 1, all in built-in fu
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from sluice.functions import fixed, skills, text
 
 DIMENSIONS = 256
-#: Queries that search_all() sends to every task at once.
+#: Queries that are sent to every task at once.
 BLOCK = 5000
 Embedder = Callable[[DataFrame, str, str], DataFrame]
 
@@ -71,24 +70,22 @@ def sync(existing: DataFrame, wanted: DataFrame, embed: Embedder = hashed_embedd
     return kept.unionByName(fresh), counts
 
 
-def search(vectors: DataFrame, queries: DataFrame, n: int = 10, where: Column | None = None, key: str = "job_id", query_key: str = "query_id") -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, n: int = 10, where: Column | None = None, key: str = "job_id", query_key: str = "query_id", block: int = BLOCK) -> DataFrame:
     """(query_key, key, rank, similarity): for each query the n nearest by exact cosine, ties to the smaller key.
 
-    The queries are a stated set, small by nature (a search, the chunks of one text); each task scores its vectors
-    against them and the top n of each task meet in the final ranking."""
+    The queries are a stated set. They are counted and dealt into blocks of about ``block``, which bounds what goes to
+    every task; each task scores its vectors against a block, and the top n of each task meet in the final ranking."""
     vectors = vectors if where is None else vectors.where(where)
     asked = queries.select(query_key, F.col("embedding").alias("__q"))
-    pairs = vectors.select(key, "embedding").join(F.broadcast(asked)).select(query_key, key, cosine(F.col("embedding"), F.col("__q")).alias("exact"))
-    order = W.partitionBy(query_key).orderBy(F.desc("exact"), key)
-    ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
-    return ranked.select(query_key, key, "rank", F.round("exact", 3).alias("similarity"), "exact")
-
-
-def search_all(vectors: DataFrame, queries: DataFrame, n: int = 10, key: str = "job_id", query_key: str = "query_id", block: int = BLOCK) -> DataFrame:
-    """search() for any number of queries: they are dealt into blocks of about ``block``, each compared with all vectors."""
-    blocks = max(1, -(-queries.count() // block))
-    dealt = F.pmod(F.xxhash64(query_key), F.lit(blocks))
-    return reduce(DataFrame.union, [search(vectors, queries.where(dealt == b), n, key=key, query_key=query_key) for b in range(blocks)])
+    blocks = max(1, -(-asked.count() // block))
+    dealt, found = F.pmod(F.xxhash64(query_key), F.lit(blocks)), None
+    for b in range(blocks):
+        pairs = vectors.select(key, "embedding").join(F.broadcast(asked.where(dealt == b) if blocks > 1 else asked))
+        pairs = pairs.select(query_key, key, cosine(F.col("embedding"), F.col("__q")).alias("exact"))
+        order = W.partitionBy(query_key).orderBy(F.desc("exact"), key)
+        ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+        found = ranked if found is None else found.unionByName(ranked)
+    return found.select(query_key, key, "rank", F.round("exact", 3).alias("similarity"), "exact")
 
 
 def semantic_scores(hits: DataFrame, key: str = "job_id", query_key: str = "query_id") -> DataFrame:

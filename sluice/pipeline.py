@@ -35,6 +35,23 @@ class Store:
             return self.spark.createDataFrame([], ddl)
         return self.spark.read.schema(ddl).parquet(f"{self.root}/{name}/v{version}")
 
+    def append(self, name: str, frame: DataFrame) -> None:
+        """Rows kept from now on, whatever becomes of the run; the next version takes them in."""
+        frame.write.mode("append").parquet(f"{self.root}/{name}/log")
+
+    def stage(self, name: str, frame: DataFrame) -> DataFrame:
+        """The frame, written down and read back."""
+        frame.write.mode("overwrite").parquet(f"{self.root}/staging/{name}")
+        return self.spark.read.schema(frame.schema).parquet(f"{self.root}/staging/{name}")
+
+    def log(self, name: str, ddl: str) -> DataFrame:
+        try:
+            return self.spark.read.schema(ddl).parquet(f"{self.root}/{name}/log")
+        except Exception as error:
+            if "PATH_NOT_FOUND" in str(error):
+                return self.spark.createDataFrame([], ddl)
+            raise
+
     def write(self, name: str, frame: DataFrame, ddl: str) -> DataFrame:
         """A new version; the one before stays readable while this one is made from it."""
         version = (self._current(name) or 0) + 1
@@ -53,16 +70,17 @@ def run(spark: SparkSession, root: str, paths: dict[str, str | None] | None = No
     try:
         raw = store.read("bronze", schema.BRONZE)
         if paths is not None:
-            batch, stats["sources"] = landing.read_sources(spark, paths)
+            batch, stats["sources"] = landing.read_sources(spark, paths, staging=f"{root}/staging/run{run_id}")
             upserted = bronze.upsert_raw(raw, batch, run_id, as_of)
             stats["ingest"] = bronze.change_counts(upserted).first().asDict()
             raw = store.write("bronze", upserted, schema.BRONZE)
-        records, quarantine = silver.build_silver(raw, store.read("silver", schema.SILVER), as_of)
+        records, quarantine = silver.build_silver(raw, store.read("silver", schema.SILVER), as_of, keep=lambda frame: store.stage(f"mapped{run_id}", frame))
         records = store.write("silver", records, schema.SILVER)
         stats |= {"silver": records.count(), "quarantined": quarantine.count(), "duplicates": records.where("is_duplicate").count(), "unique_tech": records.where("is_tech and not is_duplicate").count()}
-        done = store.read("extractions", schema.EXTRACTIONS)
-        found, stats["enrichment"] = enrich.extract(enrich.work_queue(records, done, limit=llm_limit), model, model_name, as_of)
-        done = store.write("extractions", enrich.save(done, found), schema.EXTRACTIONS)
+        done = enrich.save(store.read("extractions", schema.EXTRACTIONS), store.log("extractions", schema.EXTRACTIONS))
+        queue = enrich.work_queue(records, done, limit=llm_limit)
+        _, stats["enrichment"] = enrich.extract(queue, model, model_name, as_of, commit=lambda rows: store.append("extractions", rows))
+        done = store.write("extractions", enrich.save(done, store.log("extractions", schema.EXTRACTIONS)), schema.EXTRACTIONS)
         results = quality.run_checks(records, done, run_id, as_of)
         checked = store.write("dq", quality.record(store.read("dq", schema.DQ), results), schema.DQ)
         stats["blocked_by"] = quality.blocking(checked.where(F.col("run_id") == run_id))

@@ -13,38 +13,43 @@ from pyspark.sql import functions as F
 RAW = "source string, source_job_id string, payload string, ordinal long"
 
 
-def _documents(spark: SparkSession, path: str) -> DataFrame:
-    """A row a file, in file order."""
-    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+class MalformedFile(ValueError):
+    """A landed file is no JSON array, nor an object that holds one."""
 
 
-def _exploded(files: DataFrame, items: str | None) -> DataFrame:
-    """Items of a JSON array: the whole file, or the one under a key of an object."""
-    body = F.get_json_object("value", f"$.{items}") if items else F.col("value")
-    return files.select("file", F.posexplode(F.from_json(body, "array<string>")).alias("pos", "payload"))
+class MissingKey(ValueError):
+    """An item has no key."""
 
 
-def _raw(rows: DataFrame, source: str, key: str) -> DataFrame:
-    keyed = rows.withColumn("source_job_id", F.get_json_object("payload", f"$.{key}")).where("source_job_id is not null")
-    order = F.xxhash64("file").bitwiseAND(F.lit((1 << 30) - 1)) * F.lit(1 << 30) + F.col("pos")
-    return keyed.select(F.lit(source).alias("source"), "source_job_id", "payload", order.alias("ordinal"))
+def _items(spark: SparkSession, path: str, under: str, source: str, key: str) -> DataFrame:
+    """RAW of the files at ``path``, each a page: a JSON array, or an object with one ``under`` a key. Files go in the
+    order of their names, so the last of a key is that of the last page. A malformed file is one row without payload."""
+    landed = spark.read.text(path, wholetext=True)
+    pages = spark.createDataFrame(list(enumerate(sorted(landed.inputFiles()), 1)), "page long, file string")  # what the scan has listed
+    files = landed.select(F.col("_metadata.file_path").alias("file"), "value").join(F.broadcast(pages), "file", "left")
+    body = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.get_json_object("value", f"$.{under}"))
+    body = F.when(F.json_array_length(body).isNotNull(), body)
+    listed = F.coalesce(F.from_json(body, "array<string>"), F.array(F.lit(None).cast("string")))
+    rows = files.select("page", F.posexplode(listed).alias("pos", "payload"))
+    ordinal = F.col("page") * F.lit(1 << 32) + F.col("pos")
+    return rows.select(F.lit(source).alias("source"), F.get_json_object("payload", f"$.{key}").alias("source_job_id"), "payload", ordinal.alias("ordinal"))
 
 
 def read_remotive(spark: SparkSession, path: str) -> DataFrame:
-    return _raw(_exploded(_documents(spark, path), None), "remotive", "id")
+    return _items(spark, path, "jobs", "remotive", "id")
 
 
 def read_arbeitnow(spark: SparkSession, path: str) -> DataFrame:
-    return _raw(_exploded(_documents(spark, path), None), "arbeitnow", "slug")
+    return _items(spark, path, "data", "arbeitnow", "slug")
 
 
 def read_remoteok(spark: SparkSession, path: str) -> DataFrame:
     """Items without id (the legal notice) go."""
-    return _raw(_exploded(_documents(spark, path), None), "remoteok", "id")
+    return _items(spark, path, "jobs", "remoteok", "id").where("payload is null or source_job_id is not null")
 
 
 def read_adzuna(spark: SparkSession, path: str) -> DataFrame:
-    return _raw(_exploded(_documents(spark, path), None), "adzuna_in", "id")
+    return _items(spark, path, "results", "adzuna_in", "id")
 
 
 READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -55,15 +60,27 @@ READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def read_sources(spark: SparkSession, paths: dict[str, str | None], readers=None) -> tuple[DataFrame, dict[str, str]]:
-    """All sources that can be read, and what became of each: ok, skipped (no path) or failed (with the reason)."""
+def read_sources(spark: SparkSession, paths: dict[str, str | None], readers=None, staging: str | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """All sources that can be read, and what became of each: ok, skipped (no path) or failed (with the reason).
+
+    Each source is read through before it counts as ok, so a failure in a task, a malformed file or an item without
+    key is its own and the others go on. With ``staging`` (a folder) its rows are written there and read once."""
     readers, frames, status = readers or READERS, [], {}
     for name, path in paths.items():
         if path is None:
             status[name] = "skipped"
             continue
         try:
-            frames.append(readers[name](spark, path))
+            rows = readers[name](spark, path)
+            if staging is not None:
+                rows.write.mode("overwrite").parquet(f"{staging}/{name}")
+                rows = spark.read.schema(RAW).parquet(f"{staging}/{name}")
+            files, items = rows.agg(F.count_if(F.col("payload").isNull()), F.count_if(F.col("payload").isNotNull() & F.col("source_job_id").isNull())).first()
+            if files:
+                raise MalformedFile(f"{files} files")
+            if items:
+                raise MissingKey(f"{items} items")
+            frames.append(rows)
             status[name] = "ok"
         except Exception as error:  # one source's failure is recorded, the others go on
             status[name] = f"failed: {type(error).__name__}"

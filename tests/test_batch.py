@@ -97,14 +97,86 @@ def test_enrichment(spark):
     assert enrich.extract(queue, None, "none", F.current_timestamp())[1]["stopped"] == "no model"
 
 
-def test_token_window():
+def test_allowance():
     now = [0.0]
-    window = enrich.TokenWindow(100, lambda: now[0])
+    window = enrich.Allowance(100, lambda: now[0])
     assert window.delay(500) == 0
     window.record(80)
     assert window.delay(20) == 0 and window.delay(21) == 60
     now[0] = 61
     assert window.delay(100) == 0
+    for n in (30, 30, 30):
+        window.record(n)
+        now[0] += 10
+    assert window.delay(10) == 0 and window.delay(40) == 30 and window.delay(60) == 40 and window.delay(900) == 50
+
+
+def test_calls_wait_and_are_tried_again():
+    slept, now = [], [0.0]
+
+    def sleep(seconds):
+        slept.append(seconds)
+        now[0] += seconds
+
+    def model(answers):
+        def reply(jobs):
+            answer = answers.pop(0)
+            if isinstance(answer, Exception):
+                raise answer
+            return answer
+
+        return reply
+
+    def asked(*answers, tokens=1000):
+        return enrich.ask(model(list(answers)), [{"job_id": 1}], enrich.Allowance(tokens, lambda: now[0], sleep))
+
+    assert asked("no json", None, ('{"jobs": []}', 7)) == '{"jobs": []}' and sum(slept) == 0
+    slept.clear()
+    assert asked(ConnectionError(), ConnectionError(), "{}") == "{}" and [s for s in slept if s] == [5, 10]
+    slept.clear()
+    assert asked(enrich.RateLimited(30), "{}") == "{}" and [s for s in slept if s] == [30, 30]  # the window was full
+    assert asked(enrich.ModelRefused()) is None and asked("x", "x", "x", "x") is None
+    with pytest.raises(enrich.QuotaExhausted):
+        asked(enrich.RateLimited(121))
+
+
+def test_batches_are_kept_when_a_run_breaks_off(spark, tmp_path, landed):
+    root, calls = str(tmp_path / "data"), []
+
+    def model(jobs):
+        calls.append(jobs)
+        if len(calls) == 2:
+            raise OSError("gone")
+        return json.dumps({"jobs": [{"id": j["job_id"], "role_family": "qa"} for j in jobs]})
+
+    many = [LANDED["remoteok"][1] | {"id": str(k), "position": f"Developer {k}"} for k in range(6)]
+    (tmp_path / "remoteok.json").write_text(json.dumps(many))
+    with pytest.raises(OSError):
+        pipeline.run(spark, root, {"remoteok": landed["remoteok"]}, model=model, as_of=as_of())
+    assert pipeline.Store(spark, root).log("extractions", schema.EXTRACTIONS).count() == 4
+    stats = pipeline.run(spark, root, None, model=model, as_of=as_of())
+    assert stats["enrichment"] == {"extracted": 2, "missing": 0, "stopped": None} and len(calls) == 3
+    assert pipeline.Store(spark, root).read("extractions", schema.EXTRACTIONS).count() == 6
+
+
+def test_landed_pages(spark, tmp_path):
+    """Pages as objects, the last of a key by page and position; malformed files and items without key fail their source."""
+    for name, pages in {"arbeitnow": [{"data": [{"slug": "a", "v": 1}, {"slug": "b"}], "links": {"next": 1}}, {"data": [{"slug": "a", "v": 2}, {"slug": "a", "v": 3}]}], "remotive": [[{"id": 1}], '[{"id": 2}'], "adzuna_in": [{"results": [{"id": 1}, {"x": 1}]}]}.items():
+        (tmp_path / name).mkdir()
+        for k, page in enumerate(pages):
+            (tmp_path / name / f"page{k}.json").write_text(page if isinstance(page, str) else json.dumps(page))
+    paths = {n: str(tmp_path / n) for n in ("arbeitnow", "remotive", "adzuna_in")} | {"remoteok": str(tmp_path / "none")}
+    for staging in (None, str(tmp_path / "staged")):
+        rows, status = landing.read_sources(spark, paths, staging=staging)
+        assert status == {"arbeitnow": "ok", "remotive": "failed: MalformedFile", "adzuna_in": "failed: MissingKey", "remoteok": "failed: AnalysisException"}
+        last = {r.source_job_id: r.payload for r in bronze.latest_in_batch(rows).collect()}
+        assert json.loads(last["a"])["v"] == 3 and set(last) == {"a", "b"}
+
+
+def test_unknown_sources_go_to_the_quarantine(spark):
+    raw = spark.createDataFrame([(1, "elsewhere", "1", "{}")], "raw_id long, source string, source_job_id string, payload string")
+    good, bad = silver.split_quarantine(silver.to_silver(raw))
+    assert good.count() == 0 and bad.first().parse_errors == [silver.NO_MAPPER]
 
 
 def test_metrics(spark):
@@ -160,8 +232,8 @@ def test_search_of_every_twentieth_row(spark, tmp_path):
     frame.write.parquet(f"{tmp_path}/embeddings.parquet")
     unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
     want = {(q, int(j), r + 1) for q in range(0, 300, 20) for r, j in enumerate(np.argsort(-(unit @ unit[q]), kind="stable")[:10])}
-    got = catalogue.QUERIES["knn_cosine_twentieth"](spark, str(tmp_path)).collect()
+    got = catalogue.QUERIES["knn_cosine"](spark, str(tmp_path)).collect()
     assert {(r.query_id, r.job_id, r["rank"]) for r in got} == want and len(got) == 150
     found = frame.withColumnRenamed("vec_id", "job_id")
-    blocks = vectors.search_all(found, found.where("job_id % 20 = 0").withColumnRenamed("job_id", "query_id"), 10, block=4).collect()
+    blocks = vectors.search(found, found.where("job_id % 20 = 0").withColumnRenamed("job_id", "query_id"), 10, block=4).collect()
     assert {(r.query_id, r.job_id, r["rank"]) for r in blocks} == want

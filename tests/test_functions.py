@@ -71,12 +71,14 @@ def test_keys(spark):
     assert [r[0] for r in frame.select(text.dedupe_key(F.col("c"), F.col("t"))).collect()] == ["acme kg|data engineer c++", "d sseldorf|tester", "|"]
 
 
-def test_excerpts_and_chunks():
+def test_excerpts_and_chunks(spark):
     long = "We are great. " * 40
     posting = f"{long}\n\nRequirements: Python and SQL\n\n{long}\n- Kafka"
     assert text.best_paragraphs(posting, 60) == "Requirements: Python and SQL\n\n- Kafka" and text.best_paragraphs("short", 60) == "short"
     assert text.best_paragraphs("x" * 100, 10) == "x" * 10
-    assert text.line_chunks("a" * 500 + "\n\n" + "b" * 300 + "\nc") == ["a" * 500 + "\n", "b" * 300 + "\nc\n"] and text.line_chunks("") == [""]
+    texts = ["a" * 500 + "\n\n" + "b" * 300 + "\nc", "", None, " \n ", "x" * 900, "y" * 701 + "\n"]
+    want = [["a" * 500 + "\n", "b" * 300 + "\nc\n"], [""], [""], [" \n "], ["x" * 900 + "\n"], ["y" * 701 + "\n"]]
+    assert values(spark, texts, "string", text.chunk_text) == want
 
 
 def test_moments(spark):
