@@ -5,12 +5,13 @@ of least hash among the REACH + 1 in each), so equal strings have an anchor at t
 in 16 bytes. An anchor's surroundings are the REACH bytes before it and the SPAN bytes from it on, which hold every
 SPAN-byte string that contains it.
 
-1. Anchors are grouped by their gram's hash. Of those with equal surroundings (two hashes, over 80 bits) all but the
-   smallest document's are covered whole; each task settles this for its own texts before it sends anything. Grams of
-   one document are dropped. What remains are the edges of repeats.
+1. Anchors are grouped by their gram's hash. Of those with equal surroundings all but the smallest document's are
+   covered whole; each task settles this for its own texts before it sends anything. Surroundings count as equal if
+   their BLAKE2b digests of 128 bits are, so that no text, not even one made for it, can lose bytes to a chance hash.
+   Grams of one document are dropped. What remains are the edges of repeats.
 2. For those the bytes are fetched, and their suffixes (from the anchor onwards) and reversed prefixes are sorted deep-
-   shallow: multikey quicksort with eight bytes as a character to a shallow depth, then a blind trie for each group of
-   longer common prefixes. For each of the REACH + 1 strings through an anchor, suffix and prefix order with their
+   shallow: multikey quicksort (partition by smaller than, equal to and larger than a pivot; eight bytes are a
+   character) to a shallow depth, then a blind trie for each group of longer common prefixes. For each of the REACH + 1 strings through an anchor, suffix and prefix order with their
    common prefixes give the classes of equal strings, and each class its smallest document.
 3. Grams with over ``HOT`` edges (a passage in very many documents) are taken apart into their strings, which are dealt
    out by their own hashes after each task has settled its equal ones.
@@ -18,15 +19,20 @@ SPAN-byte string that contains it.
 Texts move packed and compressed, in groups of about ``GROUP`` bytes; a longer text is a group of its own, and its
 anchors are found in overlapping pieces.
 
+A row is told apart by its id and a tag of its text, so rows that share an id are judged each by its own text, and
+neither they nor rows without id gather in one task.
+
 Defined cases: null and empty texts have no bytes and lose none; rows with null id lose nothing and cost others
 nothing; rows repeated with one id never count against each other; texts that are equal keep the smallest id's copy
-(texts under SPAN bytes are kept); an empty table gives an empty result; other columns pass through.
+(texts under SPAN bytes are kept); an empty table gives an empty result; input columns named kept or removed are
+replaced; all others pass through.
 """
 
 from __future__ import annotations
 
 import hashlib
 import struct
+import zlib
 from functools import lru_cache, partial
 
 import numpy as np
@@ -41,12 +47,14 @@ from sluice.llm.common import stored
 
 SPAN, GRAM = 50, 20
 REACH = SPAN - GRAM
-GROUP, PIECE, HOT = 8 << 20, 1 << 20, 20_000
+GROUP, PIECE, HOT = 4 << 20, 1 << 20, 20_000
 MARGIN = 2 * SPAN
 SHALLOW = 3  # words of eight bytes
 MAX = np.uint64(2**64 - 1)
 BASE, UNBASE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 COVER, EDGES, STRINGS = 0, 1, 2
+#: A position holds the tag of its text above so many bits.
+TAGGED, TAGS = 40, (1 << 22) - 1
 
 
 # ---------------------------------------------------------------- packing
@@ -90,7 +98,20 @@ def batch_of(rows: list) -> pa.RecordBatch:
 
 
 ROWS = "key int, kind int, blob binary"
-COVERS, ANCHORS, ASKED = ("<i8", "<i8", "<i8"), ("<u8", "<u8", "<i8", "<i8"), ("<i8", "<i8", "<u8", "<u1")
+COVERS, ANCHORS, ASKED = ("<i8", "<i8", "<i8"), ("<u8", "V16", "<i8", "<i8"), ("<i8", "<i8", "<u8", "<u1")
+
+
+def tag(text: bytes) -> int:
+    return zlib.crc32(text) & TAGS
+
+
+def place(doc: np.ndarray, tags: np.ndarray, groups: int) -> np.ndarray:
+    """The group of texts that a text is in."""
+    return np.mod(np.mod(doc, groups) + tags, groups)
+
+
+def digests(strings) -> np.ndarray:
+    return np.frombuffer(b"".join([hashlib.blake2b(x, digest_size=16).digest() for x in strings]), "V16")
 
 
 # ---------------------------------------------------------------- anchors
@@ -113,8 +134,8 @@ def sliding(fold, x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of pieces data[cuts[i]:cuts[i + 1]], each of at least SPAN bytes: positions of the anchors, their pieces, and
-    the hashes of gram and surroundings."""
+    """Of pieces data[cuts[i]:cuts[i + 1]], each of at least SPAN bytes: positions of the anchors, their pieces, the
+    hashes of their grams, and the digests of their surroundings and place in them."""
     size = 1 << max(16, int(len(data) + 1).bit_length())
     p, q = powers(BASE, size), powers(UNBASE, size)
     sums = np.zeros(len(data) + 1, np.uint64)
@@ -129,21 +150,21 @@ def anchors(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     at = np.flatnonzero((sliding(np.maximum, least, REACH + 1) == h) & (h != MAX))
     piece = np.searchsorted(cuts, at, "right") - 1
     lo, hi = np.maximum(at - REACH, cuts[piece]), np.minimum(at + SPAN, cuts[piece + 1])
-    around = (sums[hi] - sums[lo]) * q[lo] + (hi - at).astype(np.uint64) * np.uint64(0x94D049BB133111EB) + (at - lo).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    around ^= around >> np.uint64(31)
-    around *= np.uint64(0xFF51AFD7ED558CCD)
+    raw, places = data.tobytes(), [bytes([k]) for k in range(REACH + 1)]
+    around = digests(raw[a:b] + places[k - a] for a, k, b in zip(lo.tolist(), at.tolist(), hi.tolist(), strict=True))
     return at, piece, h[at], around
 
 
 def pieces(ids: list[int], texts: list[bytes]):
-    """Lots of (id, bytes, offset in the text, first and last anchor position to keep), of about PIECE bytes."""
+    """Lots of (id, bytes, offset in the text, first and last anchor position to keep, tag), of about PIECE bytes."""
     lot, held = [], 0
     for i, t in zip(ids, texts, strict=True):
+        own = tag(t) if len(t) >= SPAN else 0
         for lo in range(0, len(t), PIECE):
             hi = min(len(t), lo + PIECE)
             a, b = max(0, lo - MARGIN), min(len(t), hi + MARGIN)
             if b - a >= SPAN:
-                lot.append((i, t[a:b], a, lo, hi))
+                lot.append((i, t[a:b], a, lo, hi, own))
                 held += b - a
             if held >= PIECE:
                 yield lot
@@ -159,24 +180,26 @@ def _map(groups: int, buckets: int, batches):
         for lot in pieces(batch.column(0).to_pylist(), [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]):
             cuts = np.cumsum([0] + [len(x[1]) for x in lot])
             at, piece, gram, around = anchors(np.frombuffer(b"".join(x[1] for x in lot), np.uint8), cuts)
-            ids, offsets, first, last = (np.array([x[k] for x in lot], np.int64) for k in (0, 2, 3, 4))
+            ids, offsets, first, last, tags = (np.array([x[k] for x in lot], np.int64) for k in (0, 2, 3, 4, 5))
             pos = at - cuts[piece] + offsets[piece]
             own = (pos >= first[piece]) & (pos < last[piece])
+            pos += tags[piece] << TAGGED
             doc, pos, gram, around = ids[piece][own], pos[own], gram[own], around[own]
-            keep = smallest(gram, around, doc)
+            keep = smallest(around, doc)
             cover(doc[~keep], pos[~keep], groups, buckets, rows)
             columns = [gram[keep], around[keep], doc[keep], pos[keep]]
             dealt((columns[0] % np.uint64(buckets)).astype(np.int64), EDGES, columns, rows)
         yield batch_of(rows)
 
 
-def smallest(gram: np.ndarray, around: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Whether a row's document is the smallest of those with its gram and surroundings."""
-    keep = np.zeros(len(gram), bool)
-    if len(gram):
-        order = (gram * np.uint64(3) + around).argsort(kind="stable")
-        g, a, d = gram[order], around[order], doc[order]
-        cuts = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (a[1:] != a[:-1])])
+def smallest(around: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether a row's document is the smallest of those with its digest."""
+    keep = np.zeros(len(doc), bool)
+    if len(doc):
+        halves = np.ascontiguousarray(around).view("<u8").reshape(-1, 2)
+        order = halves[:, 0].argsort(kind="stable")
+        x, d = halves[order], doc[order]
+        cuts = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]).any(1)])
         keep[order] = d == np.repeat(np.minimum.reduceat(d, cuts), np.diff(np.r_[cuts, len(d)]))
     return keep
 
@@ -192,7 +215,7 @@ def intervals(doc, lo, hi, groups: int, rows: list, buckets: int = 0) -> None:
     if len(doc):
         new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1])])
         doc, lo, hi = doc[new], lo[new], np.maximum.reduceat(hi, new)
-        group = np.mod(doc, groups)
+        group = place(doc, (hi - 1) >> TAGGED, groups)
         dealt(np.mod(group, buckets) if buckets else group, COVER, [doc, lo, hi], rows)
 
 
@@ -213,19 +236,19 @@ def _meet(groups, hot, table):
     pass_on(table, groups, rows)
     gram, around, doc, pos = gathered(parts(table, EDGES), *ANCHORS)
     if len(gram):
-        keep = smallest(gram, around, doc)
+        keep = smallest(around, doc)
         order = np.lexsort((pos[~keep], doc[~keep]))
         d, p = doc[~keep][order], pos[~keep][order]
         intervals(d, p - REACH, p + SPAN, groups, rows)
         gram, around, doc, pos = gram[keep], around[keep], doc[keep], pos[keep]
-        order = np.lexsort((around, gram))
-        gram, around, doc, pos = gram[order], around[order], doc[order], pos[order]
+        order = gram.argsort(kind="stable")
+        gram, around, doc, pos = gram[order], around[order].view("<u8")[::2], doc[order], pos[order]
         cuts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
         size = np.diff(np.r_[cuts, len(gram)])
         several = (np.minimum.reduceat(doc, cuts) != np.maximum.reduceat(doc, cuts)) & (np.minimum.reduceat(around, cuts) != np.maximum.reduceat(around, cuts))
         edge = np.repeat(several, size)
         columns = [doc[edge], pos[edge], gram[edge], np.repeat(size > hot, size)[edge].astype(np.uint8)]
-        dealt(np.mod(columns[0], groups), EDGES, columns, rows)
+        dealt(place(columns[0], columns[1] >> TAGGED, groups), EDGES, columns, rows)
     return pa.Table.from_batches([batch_of(rows)])
 
 
@@ -234,7 +257,7 @@ def _pack_texts(groups: int, batches):
     for batch in batches:
         batch = batch.filter(pc.is_valid(batch.column(0)))
         ids, texts = batch.column(0).to_numpy(), batch.column(1).cast(pa.binary()).to_pylist()
-        own, rows = np.mod(ids, groups), []
+        own, rows = place(ids, np.array([tag(t or b"") for t in texts], np.int64), groups), []
         order = own.argsort(kind="stable")
         squeeze = zstandard.ZstdCompressor(level=1)
         for lo, hi in ranges(own[order]):
@@ -259,11 +282,11 @@ def _fetch(buckets: int, groups: int, texts: pa.Table, asked: pa.Table) -> pa.Ta
             head, at = np.frombuffer(raw, np.int64, 2 * n).reshape(n, 2), 16 * n
             for i, size in head.tolist():
                 lo, hi = np.searchsorted(doc, [i, i + 1])
-                if hi > lo:
+                base = tag(raw[at : at + size]) << TAGGED if hi > lo else 0
+                fits = (pos[lo:hi] >= base) & (pos[lo:hi] < base + size)  # of rows that share an id each has its own
+                if fits.any():
                     own = np.frombuffer(raw, np.uint8, size, at)
-                    p = pos[lo:hi]
-                    fits = p + GRAM <= size  # of rows repeated with one id each holds its own
-                    p, span = p[fits], np.arange(-REACH, SPAN)
+                    p, span = pos[lo:hi][fits] - base, np.arange(-REACH, SPAN)
                     where = p[:, None] + span
                     around.append(np.where((where >= 0) & (where < size), own[np.clip(where, 0, size - 1)], 0).astype(np.uint8))
                     keep.append(np.arange(lo, hi)[fits])
@@ -286,9 +309,9 @@ def _take_apart(doc, pos, before, after, around, buckets: int, groups: int, rows
         whole = (before >= j) & (after >= SPAN - j)
         if whole.any():
             strings = np.ascontiguousarray(around[whole, REACH - j : REACH - j + SPAN])
-            hashes = np.array([int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), "little") & (1 << 64) - 1 for x in strings], np.uint64)
+            hashes = digests(map(np.ndarray.tobytes, strings))
             d, p = doc[whole], pos[whole] - j
-            keep = smallest(hashes, hashes, d)
+            keep, hashes = smallest(hashes, d), hashes.view("<u8")[::2]
             order = np.lexsort((p[~keep], d[~keep]))
             intervals(d[~keep][order], p[~keep][order], p[~keep][order] + SPAN, groups, rows, buckets)
             dealt((hashes[keep] % np.uint64(buckets)).astype(np.int64), STRINGS, [hashes[keep], d[keep], p[keep], strings[keep].view(f"V{SPAN}").ravel()], rows)
@@ -349,6 +372,36 @@ def blind_trie(strings: list[bytes]) -> tuple[list[int], list[int]]:
     return order, lcp
 
 
+def multikey_quicksort(order: np.ndarray, lo: np.ndarray, hi: np.ndarray, words: np.ndarray, depth: int) -> list[tuple[int, int]]:
+    """Sorts the groups order[lo:hi] by their first ``depth`` words, in place; returns those left equal in all of them.
+
+    A group is parted by a pivot, the median of three of its words, into smaller, equal and larger; the equal part goes
+    on with the next word. All groups of a round are parted at once."""
+    at, equal = np.zeros(len(lo), np.int64), []
+    while len(lo):
+        size = hi - lo
+        base = np.cumsum(size) - size
+        g = np.repeat(np.arange(len(lo)), size)
+        slots = np.arange(len(g)) - base[g] + lo[g]
+        rows = order[slots]
+        w = words[rows, at[g]]
+        a, b, c = w[base], w[base + size // 2], w[base + size - 1]
+        pivot = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))[g]
+        start, ends = lo, []
+        for part in (w < pivot, w == pivot, w > pivot):
+            before = np.cumsum(part) - part
+            order[(start[g] + before - before[base][g])[part]] = rows[part]
+            start = start + np.add.reduceat(part, base)
+            ends.append(start)
+        parts = [(lo, ends[0], at), (ends[0], ends[1], at + 1), (ends[1], ends[2], at)]
+        lo, hi, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+        open_ = hi - lo > 1
+        deep = open_ & (at == depth)
+        equal += zip(lo[deep].tolist(), hi[deep].tolist(), strict=True)
+        lo, hi, at = (x[open_ & ~deep] for x in (lo, hi, at))
+    return equal
+
+
 def deep_shallow(keys: np.ndarray, strings: np.ndarray, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows of ``strings`` (bytes, of one width) by key, then string; and each row's common prefix with
     the one before in that order (-1 where the key changes)."""
@@ -357,25 +410,25 @@ def deep_shallow(keys: np.ndarray, strings: np.ndarray, shallow: int = SHALLOW)
     padded[:, :width] = strings
     words = padded.view(">u8").astype(np.uint64)
     order = keys.argsort(kind="stable")
-    first = np.r_[True, keys[order][1:] != keys[order][:-1]] if n else np.zeros(0, bool)
-    lcp, group = np.where(first, -1, width), np.cumsum(first)
-    for depth in range(min(shallow, words.shape[1])):  # all groups go down one word at a time
-        again = group[1:] == group[:-1]
-        slots = np.flatnonzero(np.r_[again, False] | np.r_[False, again])
-        if not len(slots):
-            return order, lcp
-        w, g = words[order[slots], depth], group[slots]
-        inner = np.lexsort((w, g))
-        order[slots], w = order[slots][inner], w[inner]
-        split = (g[1:] == g[:-1]) & (w[1:] != w[:-1])
-        lcp[slots[1:][split]] = np.minimum(width, 8 * depth + common_bytes(w[1:][split] ^ w[:-1][split]))
-        first[slots[1:][split]] = True
-        group = np.cumsum(first)
-    for lo, hi in ranges(np.cumsum(first)):
-        if hi - lo > 1:
-            rows = order[lo:hi]
-            inner, common = blind_trie([x.tobytes() for x in strings[rows]])
-            order[lo:hi], lcp[lo + 1 : hi] = rows[inner], common[1:]
+    if not n:
+        return order, np.zeros(0, np.int64)
+    first = np.r_[True, keys[order][1:] != keys[order][:-1]]
+    lo, hi = np.flatnonzero(first), np.r_[np.flatnonzero(first)[1:], n]
+    several = hi - lo > 1
+    tries = multikey_quicksort(order, lo[several], hi[several], words, min(shallow, words.shape[1]))
+    lcp, inner = np.where(first, -1, width), {}
+    for a, b in tries:
+        rows = order[a:b]
+        within, common = blind_trie([x.tobytes() for x in strings[rows]])
+        order[a:b] = rows[within]
+        inner[a] = common[1:]
+    differ = words[order[1:]] ^ words[order[:-1]]
+    at = (differ != 0).argmax(1)
+    x = differ[np.arange(n - 1), at]
+    found = (x != 0) & ~first[1:]
+    lcp[1:][found] = np.minimum(width, 8 * at[found] + common_bytes(x[found]))
+    for a, common in inner.items():
+        lcp[a + 1 : a + 1 + len(common)] = common
     return order, lcp
 
 
@@ -408,7 +461,7 @@ def _sort(groups, table):
         found = high >= 0
         d, lo, hi = doc[found], (pos - high)[found], (pos - low + SPAN)[found]
         order = np.lexsort((lo, d))
-        dealt(np.mod(d[order], groups), COVER, [d[order], lo[order], hi[order]], rows)
+        dealt(place(d[order], (hi[order] - 1) >> TAGGED, groups), COVER, [d[order], lo[order], hi[order]], rows)
     hashes, doc, pos, strings = gathered(parts(table, STRINGS), "<u8", "<i8", "<i8", f"V{SPAN}")
     if len(hashes):
         strings = np.ascontiguousarray(strings).view(np.uint8).reshape(-1, SPAN)
@@ -419,7 +472,7 @@ def _sort(groups, table):
         least = np.empty(len(kind), np.int64)
         least[by] = np.repeat(np.minimum.reduceat(doc[by], cuts), np.diff(np.r_[cuts, len(kind)]))
         found = least < doc
-        dealt(np.mod(doc[found], groups), COVER, [doc[found], pos[found], pos[found] + SPAN], rows)
+        dealt(place(doc[found], pos[found] >> TAGGED, groups), COVER, [doc[found], pos[found], pos[found] + SPAN], rows)
     return pa.Table.from_batches([batch_of(rows)])
 
 
@@ -434,7 +487,7 @@ def cut_out(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[bytes, list[tu
     return np.frombuffer(text, np.uint8)[~gone].tobytes(), list(zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True))
 
 
-def _finish(id_at: int, text_at: int, docs: pa.Table, covers: pa.Table) -> pa.Table:
+def _finish(id_at: int, text_at: int, key: str, docs: pa.Table, covers: pa.Table) -> pa.Table:
     doc, lo, hi = gathered(covers["blob"].to_pylist(), *COVERS)
     order = doc.argsort(kind="stable")
     doc, lo, hi = doc[order], lo[order], hi[order]
@@ -443,12 +496,14 @@ def _finish(id_at: int, text_at: int, docs: pa.Table, covers: pa.Table) -> pa.Ta
         text, runs = text or b"", []
         a, b = np.searchsorted(doc, [i, i + 1]) if i is not None else (0, 0)
         if b > a and len(text) >= SPAN:
-            text, runs = cut_out(text, lo[a:b], hi[a:b])
+            base = tag(text) << TAGGED
+            own = (hi[a:b] > base) & (lo[a:b] < base + len(text))  # of rows that share an id each has its own
+            text, runs = cut_out(text, lo[a:b][own] - base, hi[a:b][own] - base)
         left.append(text)
         spans.append(runs)
     kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
     runs = pa.array([[{"lo": a, "hi": b} for a, b in x] for x in spans], kind)
-    return docs.drop_columns(["key"]).append_column("kept", pa.array(left, pa.binary())).append_column("removed", runs)
+    return docs.drop_columns([key]).append_column("kept", pa.array(left, pa.binary())).append_column("removed", runs)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
@@ -463,9 +518,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     fetched = packed.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(partial(_fetch, groups, groups), ROWS)
     sorted_out = stored(fetched.groupBy("key").applyInArrow(partial(_sort, groups), ROWS), "covers")
     covers = met.where(F.col("kind") == COVER).union(sorted_out)
-    docs = docs.drop("kept", "removed", "key").withColumn("key", F.coalesce(F.pmod(F.col(id_col).cast("long"), F.lit(groups)), F.lit(0)).cast("int"))
+    docs, key = docs.drop("kept", "removed"), "__key"
+    while key in docs.columns:
+        key += "_"
+    own = F.crc32(F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))).bitwiseAND(F.lit(TAGS))
+    group = F.pmod(F.coalesce(F.pmod(F.col(id_col).cast("long"), F.lit(groups)), F.lit(0)) + own, F.lit(groups))
     run = T.StructType([T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())])
-    fields = [f for f in docs.schema.fields if f.name != "key"]
-    schema = T.StructType([*fields, T.StructField("kept", T.BinaryType()), T.StructField("removed", T.ArrayType(run))])
-    finish = partial(_finish, docs.columns.index(id_col), docs.columns.index(text_col))
-    return docs.groupBy("key").cogroup(covers.groupBy("key")).applyInArrow(finish, schema)
+    schema = T.StructType([*docs.schema.fields, T.StructField("kept", T.BinaryType()), T.StructField("removed", T.ArrayType(run))])
+    finish = partial(_finish, docs.columns.index(id_col), docs.columns.index(text_col), key)
+    covers = covers.withColumnRenamed("key", key)
+    return docs.withColumn(key, group.cast("int")).groupBy(key).cogroup(covers.groupBy(key)).applyInArrow(finish, schema)
