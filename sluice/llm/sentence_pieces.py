@@ -1,9 +1,11 @@
 """SentencePiece encoding and decoding as a weighted finite-state transduction.
 
-Three transducers are compiled from a model file: the normaliser (a dummy blank in front, blanks to the mark), the
-lexicon (a trie of the pieces; a character outside it goes to the bytes of its UTF-8 form) and the weights. Composed
-with an input they give a lattice of its segmentations, whose shortest path in the tropical semiring (sums along a
-path, least over paths) is the encoding.
+Two transducers are compiled from a model file: the normaliser (a blank in front, blanks and marks to one symbol,
+superfluous ones to nothing; states for the start, for text and for a blank that waits) and the lexicon (a trie of the
+pieces that emits a piece at its end and goes back to the root; a character outside it goes to the bytes of its UTF-8
+form). The normaliser is deterministic, so composed with an input it leaves one string of symbols; composed with the
+lexicon that gives the lattice of its segmentations, whose shortest path in the tropical semiring (sums along a path,
+least over paths) is the encoding.
 
 For unigram models an arc weighs its piece's negative score. A BPE model's scores are merge ranks that don't add up
 along a path; its weights are on pairs of neighbouring pieces instead: 0 if merging the two pieces' characters gives
@@ -11,7 +13,8 @@ these two pieces back, else infinite. A segmentation is the BPE encoding exactly
 prefix has one such path, so the lattice has one live state at a position.
 
 No piece crosses the end of a word (a mark after another character) or a character that no longer piece holds, so all
-paths pass there: the lattice is cut at these places and each different part is solved once and kept, up to ``KEPT``.
+paths pass there: the lattice is cut at these places and each different part is solved once and kept. What is kept is
+bounded (``KEPT`` parts and ``PAIRS`` pairs in two generations), as it stays in a worker's memory.
 
 Defined cases: null and empty texts have no tokens and decode to an empty text; texts of any length are taken whole
 (a very long word is one lattice, of steps in proportion); repeated rows each get a row; an empty table gives an empty
@@ -35,7 +38,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, DEFINED, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
-KEPT, LONGEST_KEPT = 300_000, 64
+KEPT, LONGEST_KEPT, PAIRS = 60_000, 48, 150_000
 
 
 # ---------------------------------------------------------------- model file
@@ -71,6 +74,43 @@ def fields(raw: bytes):
             at += n
 
 
+class Normaliser:
+    """A deterministic transducer on two kinds of symbols: blanks (and marks) and others.
+
+    ``arcs`` has, by state and kind, the next state and what is written before the symbol, and whether the symbol
+    itself is written. START is where nothing is written yet, WAITING where a blank is held back."""
+
+    START, TEXT, WAITING = range(3)
+
+    def __init__(self, dummy: bool, squeeze: bool):
+        front = " " if dummy else ""
+        blank, other = True, False
+        self.arcs = {
+            (self.START, other): (self.TEXT, front, True),
+            (self.START, blank): (self.START, "", False) if squeeze else (self.TEXT, front, True),
+            (self.TEXT, other): (self.TEXT, "", True),
+            (self.TEXT, blank): (self.WAITING, "", False) if squeeze else (self.TEXT, "", True),
+            (self.WAITING, other): (self.TEXT, " ", True),
+            (self.WAITING, blank): (self.WAITING, "", False),
+        }
+        # Where a state's arcs all lead back to it and write the symbol, what is left of a text is copied at once.
+        self.copies = {s for s in range(3) if all(self.arcs[s, k] == (s, "", True) for k in (blank, other))}
+        self.runs = re.compile("[^ ]+| ")
+
+    def compose(self, text: str) -> str:
+        """The one output for an input; every state is final, a blank held back at the end is not written."""
+        text, state, at, out = text.replace(MARK, " "), self.START, 0, []
+        while at < len(text):
+            if state in self.copies:
+                out.append(text[at:])
+                break
+            end = self.runs.match(text, at).end()
+            state, before, kept = self.arcs[state, text[at] == " "]
+            out.append(before + text[at:end] if kept else before)
+            at = end
+        return "".join(out)
+
+
 class Transducer:
     def __init__(self, raw: bytes):
         pieces, kind, self.dummy, self.squeeze, charsmap = [], UNIGRAM, True, True, b""
@@ -83,6 +123,7 @@ class Transducer:
             elif number == 3:
                 spec = dict(fields(value))
                 charsmap, self.dummy, self.squeeze = spec.get(2, b""), bool(spec.get(3, 1)), bool(spec.get(4, 1))
+        self.normaliser = Normaliser(self.dummy, self.squeeze)
         if charsmap or kind not in (UNIGRAM, BPE):
             raise ValueError("models with a character map, and of kinds other than unigram and BPE, aren't supported")
         self.kind, self.pieces = kind, [p.replace(MARK, " ") for p, _, _ in pieces]
@@ -103,9 +144,9 @@ class Transducer:
         joint = f"[{re.escape(joint)}]" if joint else r"(?!)."
         self.part = re.compile(rf" *{joint}+| +|.", re.DOTALL)
         self.worst = min((s for s, k in zip(self.scores, self.kinds, strict=True) if k == NORMAL), default=0.0) - 10
-        self.pairs: dict = {}
-        self.kept: dict = {}
-        self.older: dict = {}
+        self.pairs: dict[int, bool] = {}
+        self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.surface = [self._surface(i) for i in range(len(pieces))]
 
     # ------------------------------------------------------------ weights
@@ -121,10 +162,13 @@ class Transducer:
 
     def fits(self, a: int, b: int) -> bool:
         """Whether the pair weighs 0. A negative piece stands for the start or a character of its own."""
-        known = self.pairs.get((a, b))
+        key = a << 32 | b
+        known = self.pairs.get(key)
         if known is None:
+            if len(self.pairs) >= PAIRS:
+                self.pairs.clear()
             p, q = self.pieces[a] if a >= 0 else "", self.pieces[b]
-            known = self.pairs[a, b] = self.merged(p + q) == ([p, q] if p else [q])
+            known = self.pairs[key] = self.merged(p + q) == ([p, q] if p else [q])
         return known
 
     # ------------------------------------------------------------ shortest paths
@@ -143,7 +187,7 @@ class Transducer:
                 if k is None:
                     continue
                 if bpe:
-                    if cost[i] is None and (self.pairs.get((here, k)) or self.fits(here, k)):
+                    if cost[i] is None and (self.pairs.get(here << 32 | k) or self.fits(here, k)):
                         cost[i], last[i], back[i] = 0.0, k, j
                 elif cost[i] is None or cost[j] - self.scores[k] < cost[i]:
                     cost[i], last[i], back[i] = cost[j] - self.scores[k], k, j
@@ -160,12 +204,7 @@ class Transducer:
         return [self.bytes_at[b] for b in character.encode()] if self.bytes_at else [self.unknown]
 
     def encode(self, text: str) -> np.ndarray:
-        text = text.replace(MARK, " ")
-        if self.squeeze:
-            text = re.sub(" +", " ", text).strip(" ")
-        if not text:
-            return np.zeros(0, np.int32)
-        parts, kept = self.part.findall(" " + text if self.dummy else text), self.kept
+        parts, kept = self.part.findall(self.normaliser.compose(text)), self.kept
         try:
             return np.frombuffer(b"".join([kept[p] for p in parts]), np.int32)
         except KeyError:
@@ -177,7 +216,6 @@ class Transducer:
         out = b"".join([kept[p] if p in kept else solved[p] for p in parts])
         if len(kept) > KEPT:  # what is used goes on into the next generation
             self.older, self.kept = kept, {}
-            self.pairs = self.pairs if len(self.pairs) < 4 * KEPT else {}
         self.kept.update(x for x in solved.items() if len(x[0]) <= LONGEST_KEPT)
         return np.frombuffer(out, np.int32)
 
