@@ -24,7 +24,6 @@ source_size, target, taken, copies) is replaced; other columns pass through.
 
 from __future__ import annotations
 
-from functools import partial
 from math import gcd
 
 import numpy as np
@@ -114,7 +113,7 @@ def _parts(turns, lengths, counts, take, width: int):
                 n *= 2
 
 
-def _fit(whole: int, pdf: pd.DataFrame) -> pd.DataFrame:
+def _fit(pdf: pd.DataFrame, whole: int) -> pd.DataFrame:
     pdf = pdf.sort_values("size", ignore_index=True)
     size, target = int(pdf["source_size"].iloc[0]), float(pdf["target"].iloc[0])
     copies = int(target // size)
@@ -127,7 +126,11 @@ def plan(narrow: DataFrame, aims: DataFrame, whole: int = WHOLE) -> DataFrame:
     of the ``ties`` documents at cut, ``due`` are. ``narrow`` has source, size and hash of every document."""
     counts = narrow.groupBy("source", "size").agg(F.count("*").alias("n")).where("size > 0")
     aimed = counts.alias("c").join(small(aims).alias("t"), F.expr("c.source <=> t.source")).select("idx", "size", "n", "source_size", "target")
-    fitted = stored(aimed.groupBy("idx").applyInPandas(partial(_fit, whole), "idx long, size long, n long, base long, extra long"), "fitted")
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _fit(pdf, whole)
+
+    fitted = stored(aimed.groupBy("idx").applyInPandas(fit, "idx long, size long, n long, base long, extra long"), "fitted")
     rows = narrow.alias("d").join(small(aims.select("source", "idx")).alias("t"), F.expr("d.source <=> t.source")).select("idx", "size", "hash")
     some = fitted.where("extra > 0 and extra < n").select("idx", "size", F.col("extra").alias("due"))
     keys = ["idx", "size"]

@@ -4,6 +4,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from sluice.llm import mixing, multi_index, simhash
 from sluice.llm.graph import connected_components
@@ -179,6 +180,54 @@ def test_budgets():
         assert sum(t * n for t, n in zip(take, lengths, strict=True)) == max(r for r in reach if r <= budget)
 
 
+def test_budgets_of_any_lengths():
+    """Against the best sum that can be reached, by a bitset."""
+    rng = random.Random(11)
+    for _ in range(300):
+        lengths = rng.sample(range(20_000, 90_000), 6)
+        counts = [rng.randint(1, 4) for _ in lengths]
+        budget = rng.randint(0, sum(n * c for n, c in zip(lengths, counts, strict=True)))
+        reach = 1
+        for n, c in zip(lengths, counts, strict=True):
+            for _ in range(c):
+                reach |= reach << n
+        take = mixing.fit_budget(lengths, counts, budget)
+        assert all(0 <= t <= c for t, c in zip(take, counts, strict=True))
+        assert sum(t * n for t, n in zip(take, lengths, strict=True)) == (reach & (1 << budget + 1) - 1).bit_length() - 1
+    for _ in range(40):  # sums beyond the window
+        lengths = rng.sample(range(100, 900), 30)
+        counts = [rng.randint(50, 400) for _ in lengths]
+        budget = rng.randint(0, sum(n * c for n, c in zip(lengths, counts, strict=True)))
+        take = mixing.fit_budget(lengths, counts, budget, whole=5000)
+        assert all(0 <= t <= c for t, c in zip(take, counts, strict=True))
+        assert budget - 100 < sum(t * n for t, n in zip(take, lengths, strict=True)) <= budget
+
+
+def test_mix_of_rows_that_are_hard_to_tell_apart(spark):
+    """Null ids, ids that repeat, and equal rows: each source comes within a document of its target."""
+    rows = [(None, "w " * (k % 7 + 1), "a") for k in range(90)] + [(5, "x " * (k % 5 + 1), "b") for k in range(70)] + [(None, "same " * 4, "c")] * 130 + [(1, "same " * 4, "d")] * 50
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = mixing.mix_sources(frame).collect()
+    sizes, taken = {}, {}
+    for r in got:
+        sizes[r.source] = sizes.get(r.source, 0) + r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    want = brute_targets(sizes)
+    assert len(got) == len(rows) and all(r.taken <= 3 * r.size for r in got)
+    assert all(0 <= float(want[s]) - taken[s] + 0.5 <= 5 for s in sizes)
+
+
+def test_running_sums(spark):
+    from sluice.llm.common import running
+
+    rng = random.Random(2)
+    rows = [(k, rng.randint(0, 9)) for k in range(500)]
+    frame = spark.createDataFrame(rows, "k long, n long").repartition(3)
+    got = {r.k: (r["rank"], r.s) for r in running(frame, [F.col("k").desc()], s="n").collect()}
+    assert got == {k: (500 - k, sum(n for j, n in rows if j > k)) for k, _ in rows}
+    assert running(frame.limit(0), [F.col("k")], s="n").count() == 0
+
+
 def test_budgets_of_long_documents():
     """Lengths above SPAN, and more distinct ones than SHORTEST."""
     taken = lambda lengths, counts, budget: sum(t * n for t, n in zip(mixing.fit_budget(lengths, counts, budget), lengths, strict=True))
@@ -206,7 +255,7 @@ def test_nearest_matches_brute_force(spark):
     rows = [(i, v.tolist(), "e") for i, v in enumerate(x)]
     odd = [(5000, None, "x"), (5001, [0.0] * 8, "x"), (5002, [1.0, None] + [0.0] * 6, "x"), (5003, [float("nan")] * 8, "x"), (5004, [float("inf")] * 8, "x"), (5005, [1.0], "x"), (None, x[0].tolist(), "x")]
     frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, score string")
-    got = multi_index.nearest(frame, frame.where("vec_id % 100 = 0"), 10, candidates=400, fraction=0.2).collect()
+    got = multi_index.nearest(frame, frame.where("vec_id % 100 = 0"), 10).collect()
     found, hits = {}, 0
     for r in got:
         found.setdefault(r.query_id, []).append((r["rank"], r.id, r.score))
@@ -224,3 +273,20 @@ def test_nearest_matches_brute_force(spark):
     few = frame.where("vec_id in (0, 100, 5001)")
     assert [(r.query_id, r.id) for r in multi_index.nearest(few, few, 10).orderBy("query_id").collect()] == [(0, 100), (100, 0)]
     assert multi_index.nearest(frame.limit(0), frame.limit(0)).count() == 0
+
+
+def test_few_candidates_where_vectors_are_clustered(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(200, 16)) * 4
+    x = (centres[rng.integers(0, 200, 20_000)] + rng.normal(size=(20_000, 16))).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    index = multi_index.Index(frame, 10, None, 0.97, "vec_id", "embedding", multi_index.SAMPLE, multi_index.PROBES)
+    assert index.candidates < 0.1 * index.counts.sum() == 2000
+    found, hits, d = {}, 0, x.astype(float)
+    for r in multi_index.search(index, frame.where("vec_id % 100 = 0"), 10).collect():
+        found.setdefault(r.query_id, set()).add(r.id)
+    for q in range(0, 20_000, 100):
+        exact = ((d - d[q]) ** 2).sum(1)
+        exact[q] = np.inf
+        hits += len(found[q] & set(np.argsort(exact)[:10].tolist()))
+    assert hits / 2000 >= 0.9

@@ -47,8 +47,9 @@ def repeats():
 @pytest.mark.parametrize("hot", [20000, 2])
 def test_suffix_dedup_matches_brute_force(spark, hot):
     rows = repeats()
-    frame = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, kept string")
+    frame = spark.createDataFrame([(i, t, "x", 3, 4) for i, t in rows], "doc_id long, text string, kept string, key int, __key int")
     cut = suffix_dedup.remove_repeats(frame, hot=hot)
+    assert cut.columns == ["doc_id", "text", "key", "__key", "kept", "removed"] and {(r.key, r["__key"]) for r in cut.collect()} == {(3, 4)}
     got = cut.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) - F.octet_length("kept")), F.size("removed"), F.sha2("kept", 256))
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_cut(rows)
 
