@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import language_id, license_scan, mixing, multi_index, quality_rules, sentence_pieces, simhash, suffix_dedup, url_filter, warc
-from sluice.llm.common import NOT_SPACE, scratch
+from sluice.llm.common import scratch
 
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
@@ -56,12 +56,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files of a tree: source/lang/hundred/doc_id.txt; a text of under 40 words with a notice is the
-    licence file of its folder."""
+    """Documents as files of a tree: source/lang/hundred/doc_id.txt; every tenth is named as its folder's licence file."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     folder = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.floor(F.col("doc_id") / 100).cast("string"))
-    notice = F.coalesce(F.col("text").rlike("(?i)licen[cs]e"), F.lit(False)) & (F.regexp_count("text", F.lit(NOT_SPACE + "+")) < 40)
-    path = F.concat(folder, F.when(notice, "/LICENSE.").otherwise("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    path = F.concat(folder, F.when(F.col("doc_id") % 10 == 0, "/LICENSE.").otherwise("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
     return license_scan.scan(docs.select("doc_id", path.alias("path"), "text")).drop("text")
 
 
