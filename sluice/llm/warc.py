@@ -10,7 +10,7 @@ Archives are written by Spark's own text sink, a record a row and the record end
 they go to any file system Spark knows and appear only when a task commits.
 
 Defined cases: a null payload is empty; payloads under ``least`` bytes are never revisits; of records repeated with the
-chosen key and payload all stay responses; a null key counts as smaller than any, and records with only null keys all
+chosen key and payload all stay responses and share the id that revisits refer to; a null key counts as smaller than any, and records with only null keys all
 stay responses; control characters in URIs are percent-encoded; an empty table writes an empty archive and reads back
 none; other columns are not written.
 """
@@ -25,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import small, stored
+from sluice.llm.common import lean, small, stored
 
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-LEAST = 1000
+LEAST, DATE = 1000, "2000-01-01T00:00:00Z"
+#: Records of an archive: it is read as a whole, so it must stay well under 2 GB compressed.
+RECORDS = 20_000
 RECORD = "record_id string, record_type string, target_uri string, key long, refers_to_id string, header_digest string, payload_bytes long, payload_digest string"
 CHUNK = 1 << 20
 
@@ -45,13 +47,16 @@ def choose(records: DataFrame, least: int = LEAST) -> DataFrame:
     chosen = small(stored(chosen.where("n > 1 and original is not null").drop("n"), "originals"))
     joined = named.join(chosen, ["payload_digest", "payload_bytes"], "left")
     again = F.col("original").isNotNull() & ~F.col("key").eqNullSafe(F.col("original"))
-    joined = joined.withColumns({"record_type": F.when(again, "revisit").otherwise("response"), "original": F.when(again, F.col("original"))})
-    own, other = record_id(F.col("key"), F.col("payload_digest")), record_id(F.col("original"), F.col("payload_digest"))
-    return joined.withColumns({"record_id": own, "refers_to_id": F.when(again, other)})
+    joined = joined.withColumns({"record_type": F.when(again, "revisit").otherwise("response"), "referred": F.col("original").isNotNull() & ~again, "original": F.when(again, F.col("original"))})
+    # Only a record that others refer to needs an id that they can make too; the others' tell rows apart.
+    each = record_id(F.col("key"), F.col("payload_digest"), F.col("uri"), F.monotonically_increasing_id())
+    own = F.when(F.col("referred"), record_id(F.col("key"), F.col("payload_digest"))).otherwise(each)
+    other = record_id(F.col("original"), F.col("payload_digest"))
+    return joined.withColumns({"record_id": own, "refers_to_id": F.when(again, other)}).drop("referred")
 
 
-def record_id(key, digest):
-    h = F.md5(F.concat_ws(":", F.coalesce(key.cast("string"), F.lit("null")), digest).cast("binary"))
+def record_id(*of):
+    h = F.md5(F.concat_ws(":", *(F.coalesce(c.cast("string"), F.lit("null")) for c in of)).cast("binary"))
     parts = [F.substring(h, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("urn:uuid:"), F.concat_ws("-", *parts))
 
@@ -65,8 +70,8 @@ def one_line(text):
     return out
 
 
-def write_archives(chosen: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z") -> None:
-    """Writes what choose() gives; a row a record."""
+def rendered(chosen: DataFrame, date: str = DATE) -> DataFrame:
+    """(value): each record of what choose() gives, without its end."""
     revisit = F.col("record_type") == "revisit"
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload").cast("string"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit(END))
@@ -83,7 +88,16 @@ def write_archives(chosen: DataFrame, path: str, date: str = "2000-01-01T00:00:0
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
     ]
-    chosen.select(F.concat(F.concat_ws("\r\n", *lines), F.lit(END), block).alias("value")).write.option("lineSep", END).option("compression", "gzip").text(path)
+    return chosen.select(F.concat(F.concat_ws("\r\n", *lines), F.lit(END), block).alias("value"))
+
+
+def write_archives(chosen: DataFrame, path: str, date: str = DATE, records: int = RECORDS) -> None:
+    """Writes what choose() gives, at most so many records to an archive."""
+    write_records(rendered(chosen, date), path, records)
+
+
+def write_records(values: DataFrame, path: str, records: int = RECORDS) -> None:
+    values.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
 
 
 # ---------------------------------------------------------------- reading
@@ -135,15 +149,18 @@ class Stream:
 
 def parse(content: bytes, payloads: bool = False):
     """Records of an archive: header names (lower case) to values, with payload_bytes, payload_digest and, if asked
-    for, payload."""
+    for, payload and raw (the record as it is, without its end)."""
     stream = Stream(content)
     while (head := stream.until(END.encode())) is not None:
-        head = head.lstrip(b"\r\n").decode("utf-8", "replace")
+        top = head.lstrip(b"\r\n")
+        head = top.decode("utf-8", "replace")
         if not head.startswith("WARC/"):
             raise ValueError("not a WARC record: " + head[:60])
         record = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in head.split("\r\n")[1:])}
-        digest, n, block, body, kept = hashlib.sha1(), 0, b"", record.get("content-type", "")[:16] != "application/http", []
+        digest, n, block, body, kept, whole = hashlib.sha1(), 0, b"", record.get("content-type", "")[:16] != "application/http", [], []
         for piece in stream.take(int(record["content-length"])):
+            if payloads:
+                whole.append(piece)
             if not body:
                 block += piece
                 k = block.find(END.encode())
@@ -154,12 +171,13 @@ def parse(content: bytes, payloads: bool = False):
             n += len(piece)
             if payloads:
                 kept.append(piece)
-        record |= {"payload_bytes": n, "payload_digest": digest.hexdigest(), "payload": b"".join(kept)}
+        record |= {"payload_bytes": n, "payload_digest": digest.hexdigest(), "payload": b"".join(kept), "raw": top + END.encode() + b"".join(whole) if payloads else b""}
         yield record
         for _ in stream.take(4):  # the record end
             pass
 
 
+@lean
 def _read(payloads: bool, batches):
     for batch in batches:
         for content in batch.column(0):
@@ -167,7 +185,9 @@ def _read(payloads: bool, batches):
             for r in parse(content.as_py(), payloads):
                 key = r.get("x-order-key")
                 row = [r["warc-record-id"].strip("<>"), r["warc-type"], r.get("warc-target-uri"), int(key) if key else None, (r.get("warc-refers-to") or "").strip("<>") or None, r.get("warc-payload-digest"), r["payload_bytes"], r["payload_digest"]]
-                rows.append([*row, r["payload"]] if payloads else row)
+                if payloads:  # of records that are written anew the payload, of others all
+                    row += [r["payload"], None if r["warc-type"] == "response" else r["raw"]]
+                rows.append(row)
                 if len(rows) == (64 if payloads else 4096):
                     yield _batch(rows, payloads)
                     rows = []
@@ -175,15 +195,15 @@ def _read(payloads: bool, batches):
 
 
 def _batch(rows: list, payloads: bool) -> pa.RecordBatch:
-    kinds = [pa.string()] * 3 + [pa.int64()] + [pa.string()] * 2 + [pa.int64(), pa.string()] + [pa.binary()] * payloads
-    names = [x.split()[0] for x in RECORD.split(", ")] + ["payload"] * payloads
+    kinds = [pa.string()] * 3 + [pa.int64()] + [pa.string()] * 2 + [pa.int64(), pa.string()] + [pa.binary()] * 2 * payloads
+    names = [x.split()[0] for x in RECORD.split(", ")] + ["payload", "raw"] * payloads
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
     """A row a record; payload_bytes and payload_digest are of the bytes found in it."""
     files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(partial(_read, payloads), RECORD + ", payload binary" * payloads)
+    return files.mapInArrow(partial(_read, payloads), RECORD + ", payload binary, raw binary" * payloads)
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
@@ -201,9 +221,15 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
 def deduplicate_archives(spark: SparkSession, source: str, target: str, least: int = LEAST) -> None:
     """Rewrites archives: equal payloads are stored once, revisits get fresh headers. Revisits of the source whose
-    original is there are resolved to it first, and so decided anew like any other record."""
+    original is there are resolved to it first, and so decided anew like any other record. Revisits whose original is
+    elsewhere and records of other types are written as they are. Records of other writers, which have no order key, are
+    ordered by a hash of their id."""
     records = stored(read_archives(spark, source, payloads=True), "records")
     bodies = records.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id")).agg(F.max("payload").alias("body"))
-    whole = records.join(bodies, "refers_to_id", "left").where("record_type = 'response' or body is not null")
-    whole = whole.select("key", F.col("target_uri").alias("uri"), F.coalesce("body", "payload").alias("payload"))
-    write_archives(choose(whole, least), target)
+    # Records without a reference join by their own id, so they don't gather where NULL keys go.
+    named = records.withColumn("refers_to_id", F.when(F.col("record_type") == "revisit", F.coalesce("refers_to_id", "record_id")).otherwise(F.col("record_id")))
+    whole = named.join(bodies, "refers_to_id", "left")
+    anew = (F.col("record_type") == "response") | (F.col("record_type") == "revisit") & F.col("body").isNotNull()
+    key = F.coalesce("key", F.xxhash64("record_id"))
+    chosen = choose(whole.where(anew).select(key.alias("key"), F.col("target_uri").alias("uri"), F.coalesce("body", "payload").alias("payload")), least)
+    write_records(rendered(chosen).union(whole.where(~anew).select(F.col("raw").cast("string").alias("value"))), target)
