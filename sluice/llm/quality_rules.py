@@ -7,6 +7,11 @@ so verdicts don't depend on rounding.
 Repeats of 5-word windows are found by sorting 64-bit hashes of a text's own windows, which takes n log n steps
 for any text; two different windows of one text hash alike once in about 2^64 pairs.
 
+The limits, as percentages: words are 2 to 20 characters long on average; symbols are at most 10 and exclamation marks
+at most 50 for 100 words; of a text's lines at most half repeat an earlier one and at most 90 in 100 are bullets; one
+word in 100 is a stop word of the four languages, asked only of texts of 60 words and more, as shorter ones (titles,
+captions, lists) often hold none. They are meant to reject junk and keep short clean texts; the table is a parameter.
+
 Defined cases: a null text has no words (all counts 0, not kept); very long texts are taken whole; repeated rows
 each get a row; an empty table gives an empty result; input columns named like an output are replaced.
 """
@@ -43,10 +48,6 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MORE = ("n_lines", "n_bullet_lines", "n_exclamations", "n_stop_words")
 
 
-def without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def repeat_words(hashes: str, sorted_windows: str) -> Column:
     """How many word positions are in a window that occurs at least twice."""
     starts = F.array_sort(
@@ -79,29 +80,29 @@ def apply_quality_rules(docs: DataFrame, text_col: str = "text", table=THRESHOLD
     made = made.withColumns(
         {
             "__lines": F.filter(F.split("__t", "\n"), lambda x: x.rlike(NOT_SPACE)),
-            "__h": F.when(
-                F.size("__w") >= WINDOW,
-                F.transform(F.sequence(F.lit(1), F.size("__w") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("__w", i, WINDOW))),
-            ).otherwise(F.array().cast("array<bigint>")),
+            "__wh": F.transform("__w", lambda w: F.xxhash64(w)),
         }
     )
+    # A window's hash is that of its words' hashes: each word is hashed once, and nothing is sliced.
+    window = lambda i: F.xxhash64(*(F.get("__wh", i + k) for k in range(WINDOW)))
+    some = F.transform(F.sequence(F.lit(0), F.size("__wh") - WINDOW), window)
+    made = made.withColumn("__h", F.when(F.size("__wh") >= WINDOW, some).otherwise(F.array().cast("array<bigint>")))
     windows = F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     made = made.withColumn(
         "__s",
         F.when(F.size(F.array_distinct("__h")) < F.size("__h"), F.array_sort(windows)).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")),
     )
-    trimmed = F.transform("__lines", lambda x: F.regexp_replace(x, "^" + SPACE + "+", ""))
     counts = {
         "n_words": F.size("__w"),
-        "word_chars": F.char_length(without(F.col("__t"), " \t\n\x0b\x0c\r")),
-        "n_symbols": F.char_length("__t") - F.char_length(without(F.col("__t"), SYMBOLS)),
+        "word_chars": F.aggregate("__w", F.lit(0), lambda n, w: n + F.char_length(w)),
+        "n_symbols": F.regexp_count("__t", F.lit(f"[{SYMBOLS}]")),
         "n_dup_lines": F.size("__lines") - F.size(F.array_distinct("__lines")),
         "n_repeat_words": repeat_words("__h", "__s"),
         "n_lines": F.size("__lines"),
-        "n_bullet_lines": F.size(F.filter(trimmed, lambda x: x.rlike("^[-*•]"))),
-        "n_exclamations": F.char_length("__t") - F.char_length(without(F.col("__t"), "!")),
+        "n_bullet_lines": F.size(F.filter("__lines", lambda x: x.rlike(f"^{SPACE}*[-*•]"))),
+        "n_exclamations": F.char_length("__t") - F.char_length(F.replace("__t", F.lit("!"), F.lit(""))),
         "n_stop_words": F.size(F.filter(F.split(lower_ascii(F.col("__t")), "[^a-zà-ÿ]+"), lambda w: w.isin(*stop_words))),
     }
     made = made.withColumns({k: v.cast("long") for k, v in counts.items()})
     made = made.withColumn("base_failed", (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20))
-    return made.withColumn("kept", ~F.col("base_failed") & compile_thresholds(table)).drop("__t", "__w", "__lines", "__h", "__s")
+    return made.withColumn("kept", ~F.col("base_failed") & compile_thresholds(table)).drop("__t", "__w", "__lines", "__wh", "__h", "__s")
