@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import wraps
+from inspect import isgeneratorfunction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,6 +24,7 @@ NOT_SPACE = r"[^\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What a broadcast may hold.
 MOST_ROWS, MOST_BYTES = 200_000, 32 << 20
+_C = ctypes.CDLL(None)
 
 
 # ---------------------------------------------------------------- shared folders
@@ -124,6 +129,43 @@ def running(frame: DataFrame, order: list[Column], **sums: str) -> DataFrame:
     return ranged.join(F.broadcast(starts), "__part").withColumns(made).drop("__part", *names)
 
 
+# ---------------------------------------------------------------- Python tasks
+def release() -> None:
+    """Gives memory that is free, but held by the allocators, back to the system."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_C, "malloc_trim"):
+        _C.malloc_trim(0)
+
+
+def lean(task):
+    """A task's function that releases memory at its end: Python workers live on, from one stage to the next."""
+    if isgeneratorfunction(task):
+
+        @wraps(task)
+        def run(*args):
+            try:
+                yield from task(*args)
+            finally:
+                release()
+    else:
+
+        @wraps(task)
+        def run(*args):
+            try:
+                return task(*args)
+            finally:
+                release()
+
+    return run
+
+
+def slices(batches, rows: int = 1024):
+    """The batches in slices, so that few rows at a time are Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 # ---------------------------------------------------------------- words
 def lower_ascii(column):
     """A-Z lower-cased, nothing else."""

@@ -22,6 +22,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.llm.common import lean, slices
+
 WINDOW, HIDDEN = 64, 8
 #: Sample: documents of a language, windows of each, languages (the most frequent).
 PER_LANGUAGE, WINDOWS, MOST_LANGUAGES = 400, 4, 200
@@ -146,11 +148,11 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[Network | None, list[str]]:
+def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most_languages: int = MOST_LANGUAGES) -> tuple[Network | None, list[str]]:
     """The network and its languages, from a bounded sample of the labelled rows that are not held out."""
     labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     labelled = labelled.where(F.col("id").isNotNull() & ~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = labelled.select("lang").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()  # at most so many
+    counts = labelled.select("lang").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()  # at most so many
     names = sorted(r["lang"] for r in counts)
     if not names:
         return None, []
@@ -169,8 +171,9 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[N
     return train([w for w, _ in pairs], [k for _, k in pairs], len(names)), names
 
 
+@lean
 def _predict(net, names, at, batches):
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column(at)
         lettered = [t is not None and bool(LETTER.search(t)) for t in texts.to_pylist()]
         lang, score = [UNKNOWN] * len(lettered), np.zeros(len(lettered))
@@ -184,9 +187,10 @@ def _predict(net, names, at, batches):
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score)], [*batch.schema.names, "lang_pred", "score"])
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` with held_out, lang_pred and score."""
-    net, names = learn(docs, id_col, text_col, lang_col)
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_languages: int = MOST_LANGUAGES) -> DataFrame:
+    """``docs`` with held_out, lang_pred and score. The ``most_languages`` most frequent ones are learned; of equally
+    probable languages the first by name is predicted."""
+    net, names = learn(docs, id_col, text_col, lang_col, most_languages)
     docs = docs.drop("held_out", "lang_pred", "score")
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     predicted = docs.mapInArrow(partial(_predict, net, names, docs.columns.index(text_col)), schema)

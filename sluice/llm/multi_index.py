@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluice.llm.common import small, stored
+from sluice.llm.common import lean, small, stored
 
 SAMPLE, ROUNDS, SEED = 20_000, 12, 7
 #: Rows that the number of candidates is measured on, and the share of their true neighbours that it has to reach.
@@ -113,6 +113,7 @@ def deal(counts: np.ndarray, k_b: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(first), np.array(parts)
 
 
+@lean
 def _assign(books, batches):
     half = books[0].shape[1]
     for batch in batches:
@@ -121,6 +122,7 @@ def _assign(books, batches):
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.asarray(cell, np.int32))], ["id", "v", "cell"])
 
 
+@lean
 def _probe(books, counts, dealt, candidates, batches):
     """A row for each query and block that holds visited cells, with those cells."""
     half, (first, parts) = books[0].shape[1], dealt
@@ -142,6 +144,7 @@ def _probe(books, counts, dealt, candidates, batches):
         yield pa.RecordBatch.from_arrays([*taken, pa.array(blocks, pa.int32()), pa.array(visits, pa.binary())], ["id", "v", "block", "cells"])
 
 
+@lean
 def _rank(k, entries: pa.Table, probes: pa.Table) -> pa.Table:
     ids, cells = entries["id"].to_numpy(), entries["cell"].to_numpy()
     order = np.lexsort((ids, cells))
@@ -163,6 +166,7 @@ def _rank(k, entries: pa.Table, probes: pa.Table) -> pa.Table:
     return pa.table({"query_id": parts[0].astype(np.int64), "id": parts[1].astype(np.int64), "score": parts[2].astype(np.float64)})
 
 
+@lean
 def _true_neighbours(k, ids, points, batches):
     """The k nearest rows of a partition to each probe."""
     best: list = []

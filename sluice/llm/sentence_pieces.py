@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from sluice.llm.common import lean, slices
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, DEFINED, UNUSED, BYTE = range(1, 7)
@@ -237,9 +239,10 @@ def compiled(raw: bytes) -> Transducer:
     return Transducer(raw)
 
 
+@lean
 def _encode(model: bytes, at: int, batches):
     net = compiled(model)
-    for batch in batches:
+    for batch in slices(batches):
         texts = [t or "" for t in batch.column(at).to_pylist()]
         found = [net.encode(t) for t in texts]
         offsets = np.cumsum([0] + [len(x) for x in found])
@@ -264,9 +267,10 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL) -> DataF
     return docs.mapInArrow(partial(_encode, raw, docs.columns.index(text_col)), schema)
 
 
+@lean
 def _decode(model: bytes, at: int, batches):
     net = compiled(model)
-    for batch in batches:
+    for batch in slices(batches):
         text = pa.array([None if x is None else net.decode(x).decode("utf-8", "replace") for x in batch.column(at).to_pylist()], pa.string())
         yield pa.RecordBatch.from_arrays([*batch.columns, text], [*batch.schema.names, "decoded"])
 

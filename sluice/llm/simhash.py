@@ -32,13 +32,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import small, stored
+from sluice.llm.common import lean, slices, small, stored
 from sluice.llm.graph import connected_components
 
 SEED = 42
 BLOCK = 1 << 15
 #: Fingerprints of one variant that go to one task.
 LIMIT = 20_000
+#: Rows that a Python task reads as one table.
+TASK_ROWS = 250_000
 
 
 def shingles(words: list[bytes], size: int):
@@ -61,8 +63,9 @@ def fingerprint(text: bytes | None, size: int) -> int:
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
+@lean
 def _fingerprints(size: int, batches):
-    for batch in batches:
+    for batch in slices(batches):
         found = [fingerprint(t, size) for t in batch.column(1).cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], ["id", "fp"])
 
@@ -124,6 +127,7 @@ def _spanned(node: np.ndarray, groups, near) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
 
 
+@lean
 def _forest(whole, distance, batches):
     """A partition of variants -> edges of a spanning forest of each variant's links."""
     if not (batches := list(batches)):
@@ -143,6 +147,12 @@ def paired(rows: DataFrame, keys: list[str], blocks: Column) -> DataFrame:
     return each.withColumn("part", F.xxhash64(*keys, F.least("__b", "__o"), F.greatest("__b", "__o"))).drop("__n", "__b", "__o")
 
 
+def enough(rows: DataFrame, times: int = 1) -> int:
+    """Partitions that hold at most about ``TASK_ROWS`` of the rows, or twice the session's number."""
+    least = 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-rows.count() * times // TASK_ROWS))
+
+
 def candidate_links(nodes: DataFrame, distance: int = 2, limit: int = LIMIT) -> DataFrame:
     """Edges (a, b) between ``nodes`` (node, fp; node is fp), whose components are those of all links."""
     if not 0 <= distance <= 3:
@@ -167,7 +177,7 @@ def candidate_links(nodes: DataFrame, distance: int = 2, limit: int = LIMIT) ->
         hot_keys = stored(counted.where(F.col("n") > limit).drop("n"), "hot")
         hot_keys = None if hot_keys.isEmpty() else small(hot_keys)
     cold = variants if hot_keys is None else named.join(hot_keys, ["k", "part"], "left_anti").select("kind", "part", "node")
-    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = enough(nodes, len(kinds))
     dealt = cold.repartition(parts, F.shiftright("kind", 1), "part")
     cold = dealt.mapInArrow(partial(_forest, whole, distance), "a long, b long").distinct()
     if hot_keys is None:
@@ -224,8 +234,9 @@ def _node(texts: list) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(t or b"", 1) for t in texts], np.uint64).view(np.int64)
 
 
+@lean
 def _marks(size: int, batches):
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column(1).cast(pa.binary()).to_pylist()
         least = [least_hashes(shingle_hashes(t, size)) for t in texts]
         columns = [pa.array(_node(texts)), pa.array([len(t or b"") for t in texts], pa.int64()), pa.array([bands(*x) for x in least], pa.list_(pa.int64())), pa.array([_bytes(*x) for x in least], pa.binary())]
@@ -239,6 +250,7 @@ def _runs(part: np.ndarray) -> tuple[np.ndarray, list]:
     return order, [x for x in np.split(order, cuts) if len(x) > 1]
 
 
+@lean
 def _sketched(least, batches):
     """A partition of (part, node, sketch) -> a spanning forest of each part's pairs whose sketches agree to ``least``."""
     if not (batches := list(batches)):
@@ -250,10 +262,11 @@ def _sketched(least, batches):
     yield _spanned(table["node"].to_numpy(), _runs(table["part"].to_numpy())[1], lambda x, left: similar(sketches[x], sketches[left]) >= least)
 
 
+@lean
 def _texts(batches):
     """(node, text), once in each partition."""
     seen: set[int] = set()
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column(0).cast(pa.binary())
         node = _node(texts.to_pylist())
         new = []
@@ -264,6 +277,7 @@ def _texts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(node[new]), texts.take(pa.array(new, pa.int64()))], ["node", "text"])
 
 
+@lean
 def _exact(size, similarity, batches):
     """A partition of (part, node, text), ordered by part -> a spanning forest of each part's links."""
     part, found = None, {}
@@ -304,7 +318,6 @@ def _linked(found: dict[int, np.ndarray], similarity: float) -> pa.RecordBatch:
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, limit: int = LIMIT, text_limit: int = TEXT_LIMIT) -> DataFrame:
     """One row for each document: id and component_id (the smallest id of its group of exact and near copies).
     Candidates are meant for a ``similarity`` of about 0.8 and more."""
-    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     marked = stored(narrow.mapInArrow(partial(_marks, shingle), "id long, node long, bytes long, bands array<long>, sketch binary"), "marks")
     nodes = stored(marked.groupBy("node").agg(F.min("id").alias("least"), *(F.first(x).alias(x) for x in ("bytes", "bands", "sketch"))), "nodes")
@@ -315,7 +328,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     dealt = shared.where(F.col("n") <= limit).select("part", "node")
     if not many.isEmpty():
         dealt = dealt.union(paired(many, ["part"], F.ceil(2 * F.col("n") / limit)).select("part", "node"))
-    sketched = dealt.join(nodes.select("node", "sketch"), "node").repartition(parts, "part")
+    dealt = stored(dealt, "dealt")
+    sketched = dealt.join(nodes.select("node", "sketch"), "node").repartition(enough(dealt), "part")
     loose = connected_components(sketched.mapInArrow(partial(_sketched, min(LOOSE, similarity)), "a long, b long"))
     members = stored(loose.withColumnRenamed("v", "node").join(nodes.select("node", "bytes"), "node"), "members")
     size = members.groupBy("root").agg(F.sum("bytes").alias("all"))
@@ -325,7 +339,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         groups = groups.union(paired(large, ["root"], F.greatest(F.lit(3), F.ceil(2 * F.col("all") / text_limit))).select("node", "part"))
     groups = stored(groups, "groups")
     texts = narrow.select("text").mapInArrow(_texts, "node long, text binary").join(small(groups), "node").select("part", "node", "text")
-    links = texts.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(partial(_exact, shingle, similarity), "a long, b long")
+    links = texts.repartition(enough(groups), "part").sortWithinPartitions("part").mapInArrow(partial(_exact, shingle, similarity), "a long, b long")
     roots = connected_components(links)
     return _named(marked.select("id", "node"), nodes.select("node", "least"), roots).select(F.col("id").alias(id_col), "component_id")
 

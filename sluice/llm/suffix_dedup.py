@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import stored
+from sluice.llm.common import lean, slices, stored
 
 SPAN, GRAM = 50, 20
 REACH = SPAN - GRAM
@@ -173,8 +173,9 @@ def pieces(ids: list[int], texts: list[bytes]):
         yield lot
 
 
+@lean
 def _map(groups: int, buckets: int, batches):
-    for batch in batches:
+    for batch in slices(batches, 4096):
         batch = batch.filter(pc.is_valid(batch.column(0)))
         rows: list = []
         for lot in pieces(batch.column(0).to_pylist(), [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]):
@@ -230,6 +231,7 @@ def pass_on(table: pa.Table, groups: int, rows: list) -> None:
     intervals(doc[order], lo[order], hi[order], groups, rows)
 
 
+@lean
 def _meet(groups, hot, table):
     """A bucket of anchors -> covered intervals, and the edges whose bytes are needed."""
     rows: list = []
@@ -253,6 +255,7 @@ def _meet(groups, hot, table):
 
 
 # ---------------------------------------------------------------- bytes of the edges
+@lean
 def _pack_texts(groups: int, batches):
     for batch in batches:
         batch = batch.filter(pc.is_valid(batch.column(0)))
@@ -268,6 +271,7 @@ def _pack_texts(groups: int, batches):
         yield batch_of(rows)
 
 
+@lean
 def _fetch(buckets: int, groups: int, texts: pa.Table, asked: pa.Table) -> pa.Table:
     """Surroundings of the edges, dealt out by gram; of hot grams the single strings."""
     doc, pos, gram, hot = gathered(asked["blob"].to_pylist(), *ASKED)
@@ -438,6 +442,7 @@ def classes(order: np.ndarray, lcp: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
+@lean
 def _sort(groups, table):
     """A bucket of edges -> covered intervals."""
     rows: list = []
@@ -487,6 +492,7 @@ def cut_out(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[bytes, list[tu
     return np.frombuffer(text, np.uint8)[~gone].tobytes(), list(zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True))
 
 
+@lean
 def _finish(id_at: int, text_at: int, key: str, docs: pa.Table, covers: pa.Table) -> pa.Table:
     doc, lo, hi = gathered(covers["blob"].to_pylist(), *COVERS)
     order = doc.argsort(kind="stable")
