@@ -1,5 +1,7 @@
 import hashlib
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -166,6 +168,33 @@ def test_revisits(spark):
     assert warc.read_archives(spark, none).count() == 0
 
 
+def test_record_ids_and_many_archives(spark):
+    rows = [(None, "a", "x"), (None, "b", "x"), (1, "c", "y" * 2000), (2, "c", "y" * 2000), (1, "c", "y" * 2000)]
+    path = scratch(spark, "archives")
+    warc.write_archives(warc.choose(spark.createDataFrame(rows, "key long, uri string, payload string")), path, records=1)
+    got = warc.read_archives(spark, path).collect()
+    assert len({r.record_id for r in got}) == 5 and sum(r.record_type == "revisit" for r in got) == 2
+    import glob
+
+    assert len(glob.glob(path.removeprefix("file:") + "/*.gz")) == 5
+
+
+def test_records_that_are_passed_on(spark, tmp_path):
+    """Other types, and revisits of other archives, stay as they are; equal responses of another writer are stored once."""
+    body = b"HTTP/1.1 200 OK\r\n\r\n" + b"z" * 1200
+    record = lambda kind, name, block, more=b"": b"WARC/1.0\r\nWARC-Type: %s\r\nWARC-Record-ID: <urn:%s>\r\n%sContent-Type: application/http; msgtype=response\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (kind, name, more, len(block), block)
+    kept = [record(b"request", b"q", b"GET / HTTP/1.1\r\n\r\n\xff\xfe"), record(b"revisit", b"far", b"HTTP/1.1 200 OK\r\n\r\n", b"WARC-Refers-To: <urn:elsewhere>\r\n"), record(b"warcinfo", b"i", b"software: x")]
+    near = record(b"revisit", b"near", b"HTTP/1.1 200 OK\r\n\r\n", b"WARC-Refers-To: <urn:one>\r\n")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.warc").write_bytes(record(b"response", b"one", body) + kept[0] + record(b"response", b"two", body) + kept[1] + near + kept[2])
+    out = scratch(spark, "archives")
+    warc.deduplicate_archives(spark, str(tmp_path / "in"), out)
+    found = warc.read_archives(spark, out, payloads=True).collect()
+    assert sorted(r.raw + b"\r\n\r\n" for r in found if r.record_type != "response" and r.target_uri is None) == sorted(kept)
+    fresh = warc.resolve_revisits(warc.read_archives(spark, out)).where("key is not null").collect()
+    assert sorted(r.record_type for r in fresh) == ["response", "revisit", "revisit"] and {r.payload_bytes for r in fresh} == {1200}
+
+
 def test_archives_of_other_writers():
     import gzip
 
@@ -201,6 +230,107 @@ def test_licence_of_a_null_path(spark):
     assert sorted((str(r.text), r.license, r.origin) for r in got) == [("Licensed under CC BY 4.0.", "CC-BY-4.0", "own"), ("None", None, "none"), ("Released under the MIT License.", "MIT", "own"), ("plain", None, "none"), ("plain", None, "none")]
 
 
+def test_headers_and_licence_files(spark):
+    """Whole notices as headers and files have them, wrapped, commented and with other text about them."""
+    t = license_scan
+    wrap = lambda text, n, mark="": "\n".join(mark + " ".join(text.split()[i : i + n]) for i in range(0, len(text.split()), n))
+    gpl = t.GNU.format("This program", "General Public License", "3")
+    rows = {
+        "gpl/a.c": ("/* a.c\n" + wrap(gpl, 9, " * ") + "\n */\nint main() {}", "GPL-3.0"),
+        "gpl2/a.c": (wrap(gpl.replace("version 3", "version 2"), 7, "# "), "GPL-2.0"),
+        "lgpl/a.c": (wrap(t.GNU.format("This library", "Lesser General Public License", "2.1"), 8, "// "), "LGPL-2.1"),
+        "agpl/a.c": (wrap(t.GNU.format("This program", "Affero General Public License", "3"), 8), "AGPL-3.0"),
+        "lgpl/COPYING": ("GNU LESSER GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\n Copyright (C) 2007", "LGPL-3.0"),
+        "isc/LICENSE": ("Copyright (c) 2020 A. Person\n\n" + wrap(t.ISC_TEXT, 12), "ISC"),
+        "mit/LICENSE": ("MIT License\n\nCopyright (c) 2020 A. Person\n\n" + wrap(t.MIT_TEXT, 11), "MIT"),
+        "bsd2/LICENSE": ("Copyright 2020\n\n" + wrap(t.BSD_CONDITIONS, 10) + "\n\n" + wrap(t.BSD_DISCLAIMER, 10), "BSD-2-Clause"),
+        "bsd3/LICENSE": ("Copyright 2020\n\n" + wrap(t.BSD_CONDITIONS + " 3. " + t.BSD_NAMES, 10) + "\n\n" + wrap(t.BSD_DISCLAIMER, 10), "BSD-3-Clause"),
+        "spdx/a.rs": ("// SPDX-License-Identifier: Apache-2.0\nfn main() {}", "Apache-2.0"),
+        "odd/terms.txt": (t.MIT_TEXT, "MIT"),  # a licence file by what it is
+        "odd/x.py": ("code", "MIT"),
+        "no/a": ("Licensed under the terms of our house. The permission of the author is asked for every version of this software.", None),
+        "no/b": ("Released under the BOGUS License.", None),
+        "long/a": ("word " * 30000 + "Released under the MIT License. " + "word " * 30000, "MIT"),
+    }
+    frame = spark.createDataFrame([(p, x) for p, (x, _) in rows.items()], "path string, text string")
+    got = {r.path: r for r in license_scan.scan(frame).collect()}
+    assert {p: r.license for p, r in got.items()} == {p: x for p, (_, x) in rows.items()}
+    assert got["odd/x.py"].origin == "inherited" and got["mit/LICENSE"].score > 0.9 and got["bsd3/LICENSE"].origin == "own"
+
+
+def test_licences_of_one_path_and_of_clashing_columns(spark):
+    rows = [("a/x", "Released under the MIT License.", 1), ("a/x", "code only", 2), ("a/x", "code only", 2), ("a/LICENSE", "Licensed under CC BY 4.0.", 3), ("a/LICENSE", "Licensed under the MIT License.", 4)]
+    frame = spark.createDataFrame(rows, "path string, text string, folder int").withColumn("own", F.lit("o"))
+    got = sorted((r.path, r.text, r.license, r.origin, r.folder, r.own) for r in license_scan.scan(frame).collect())
+    # Both licence files meet a template with a cosine of 1: the first licence by name is inherited.
+    assert got == [("a/LICENSE", "Licensed under CC BY 4.0.", "CC-BY-4.0", "own", None, "o"), ("a/LICENSE", "Licensed under the MIT License.", "MIT", "own", None, "o"), ("a/x", "Released under the MIT License.", "MIT", "own", None, "o"), *[("a/x", "code only", "CC-BY-4.0", "inherited", "a", "o")] * 2]
+
+
+def words_in(text):
+    return re.findall("[a-z0-9]+", text.lower())
+
+
+def brute_licences(texts, templates, least=license_scan.LEAST):
+    """(licence, score) of each text: all its units against all templates, without any filter."""
+    n, vectors = len(texts), [(x, words_in(t)) for x, t in templates]
+    vocabulary, licences = {w for _, t in vectors for w in t}, {x for x, _ in templates}
+    df = {w: sum(w in set(words_in(t or "")) for t in texts) for w in vocabulary}
+    spread = {w: len({x for x, t in vectors if w in t}) for w in vocabulary}
+    idf = lambda total, held: math.log((1 + total) / (1 + held)) + 1
+    weight = lambda w: idf(n, df.get(w, 1)) * idf(len(licences), spread.get(w, 0))
+    vector = lambda words: {w: words.count(w) * weight(w) for w in set(words)}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    made, anchors = [(x, t, vector(t)) for x, t in vectors], {}
+    for k, (_, _, v) in enumerate(made):
+        tail = 0.0
+        for w in sorted(v, key=lambda w: (v[w], w)):
+            tail += v[w] ** 2
+            if math.sqrt(tail) >= norm(v) * (least - 1e-9):
+                anchors.setdefault(w, []).append(k)
+    out = []
+    for text in texts:
+        words, units = words_in(text or ""), set()
+        for block in [text or "", *re.split(r"\n[ \t]*\r?\n", text or "")]:
+            own = words_in(block)
+            if 2 * sum(w in vocabulary for w in own) >= len(own):
+                units.add(tuple(own))
+        units |= {tuple(words_in(x)) for x in (text or "").split("\n")}
+        for i, w in enumerate(words):
+            for k in anchors.get(w, []):
+                t = vectors[k][1]
+                units |= {tuple(words[max(0, i - at) : max(0, i - at) + len(t)]) for at, x in enumerate(t) if x == w and len(t) <= license_scan.WINDOWED}
+        met = {}
+        for u in filter(None, units):
+            v = vector(list(u))
+            for x, _, t in made:
+                c = round(sum(t[w] * v[w] for w in t if w in v) / norm(t) / norm(v), 4)
+                if c >= least:
+                    met[x] = max(c, met.get(x, 0))
+        for strong, weak in license_scan.SUPERSEDES:
+            if strong in met:
+                met.pop(weak, None)
+        out.append(min(((-c, x) for x, c in met.items()), default=None))
+    return [(x[1], -x[0]) if x else (None, None) for x in out]
+
+
+def test_licences_match_brute_force(spark):
+    rng, texts = random.Random(13), [None, ""]
+    for _ in range(60):
+        notice = rng.choice(license_scan.TEMPLATES)[1].split()
+        for _ in range(rng.randint(0, 4)):  # wear the notice a little
+            k = rng.randrange(len(notice))
+            notice[k : k + 1] = rng.choice([[], ["the"], ["permission", "granted"], [notice[k], "of"]])
+        around = lambda: " ".join(rng.choices("the of license software version and word text is under".split(), k=rng.randint(0, 12)))
+        text = f"{around()}{rng.choice([' ', chr(10), chr(10) * 2])}{' '.join(notice)}{rng.choice([' ', chr(10)])}{around()}"
+        texts.append(re.sub(" ", lambda m: rng.choice(["\n", " ", " ", " "]), text) if rng.random() < 0.4 else text)
+    frame = spark.createDataFrame([(f"d{i}/f", t) for i, t in enumerate(texts)], "path string, text string")
+    got = {r.path: (r.license, r.score) for r in license_scan.scan(frame).collect()}
+    want = {f"d{i}/f": x for i, x in enumerate(brute_licences(texts, license_scan.TEMPLATES))}
+    assert {p: x[0] for p, x in got.items()} == {p: x[0] for p, x in want.items()}
+    assert all(x[1] == pytest.approx(want[p][1], abs=1.01e-4) for p, x in got.items() if x[0])
+    assert sum(x[0] is not None for x in want.values()) > 30
+
+
 # ---------------------------------------------------------------- language ID
 def test_gradients():
     rng = np.random.default_rng(1)
@@ -224,6 +354,42 @@ def test_gradients():
         assert g[name][at] == pytest.approx((up - down) / 2 / step, rel=0.03, abs=2e-4)
 
 
+def test_pooled_probabilities_match_a_plain_network():
+    """One byte after another, forwards and backwards in each window, without any array of windows."""
+    rng = np.random.default_rng(5)
+    net, texts = language_id.Network(3, hidden=4), [rng.integers(0, 256, n).astype(np.uint8).tobytes() for n in (1, 63, 64, 65, 200)] + [b""]
+    e, u, w, b = (net.a[k].astype(float) for k in ("e", "u", "w", "b"))
+    sigma = lambda x: 1 / (1 + np.exp(-x))
+
+    def read(codes, side):
+        h, out = np.zeros(4), []
+        for c in codes:
+            put, got = e[c + 256 * side], h @ u[side]
+            hold, reset = sigma(put[:4] + got[:4]), sigma(put[4:8] + got[4:8])
+            h = hold * h + (1 - hold) * np.tanh(put[8:] + reset * got[8:])
+            out.append(h)
+        return out
+
+    for text, mine in zip(texts, language_id.pooled(net, texts), strict=True):
+        total = np.zeros(3)
+        for lo in range(0, len(text), language_id.WINDOW):
+            window = list(text[lo : lo + language_id.WINDOW].ljust(language_id.WINDOW, b"\0"))
+            both = zip(read(window, 0), read(window[::-1], 1)[::-1], strict=True)
+            for k, (f, r) in enumerate(both):
+                if lo + k < len(text):
+                    z = np.exp(np.r_[f, r] @ w + b)
+                    total += z / z.sum()
+        assert mine == pytest.approx(total / max(1, len(text)), abs=1e-5)
+
+
+def test_languages_that_tie_and_those_left_out(spark):
+    rows = [(i, "the and with that", lang) for i, lang in enumerate(["b", "a"] * 30)] + [(100 + i, "zz", "rare") for i in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.identify(frame, most_languages=2).collect()
+    assert {r.lang_pred for r in got} <= {"a", "b"} and len({r.lang_pred for r in got if r.doc_id < 100}) == 1
+    assert language_id.learn(frame, "doc_id", "text", "lang", 2)[1] == ["a", "b"] and language_id.learn(frame, "doc_id", "text", "lang", 9)[1] == ["a", "b", "rare"]
+
+
 def test_languages(spark):
     rng, rows = random.Random(1), []
     words = {"en": ["the", "and", "with", "that", "thing"], "de": ["der", "und", "für", "nicht", "straße"], "fr": ["que", "les", "été", "pour", "ça"]}
