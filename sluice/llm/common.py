@@ -10,7 +10,6 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from functools import wraps
-from inspect import isgeneratorfunction
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -138,23 +137,14 @@ def release() -> None:
 
 
 def lean(task):
-    """A task's function that releases memory at its end: Python workers live on, from one stage to the next."""
-    if isgeneratorfunction(task):
-
-        @wraps(task)
-        def run(*args):
-            try:
-                yield from task(*args)
-            finally:
-                release()
-    else:
-
-        @wraps(task)
-        def run(*args):
-            try:
-                return task(*args)
-            finally:
-                release()
+    """A generator of a task that releases memory at its end: Python workers live on, from one stage to the next."""
+
+    @wraps(task)
+    def run(*args):
+        try:
+            yield from task(*args)
+        finally:
+            release()
 
     return run
 

@@ -179,8 +179,9 @@ def owned_licences(units: DataFrame, scored: DataFrame, supersedes) -> DataFrame
     met = units.join(small(scored), "unit").groupBy("key", "path", "license").agg(F.max("score").alias("score"), F.max("whole").alias("notice"))
     found = met.groupBy("key", "path").agg(F.collect_list(F.struct((-F.col("score")).alias("s"), "license")).alias("found"), F.max("notice").alias("notice"))  # a row a licence
     left, names = F.col("found"), F.transform("found", lambda x: x["license"])
-    for strong, weak in supersedes:
-        left = F.filter(left, lambda x, strong=strong, weak=weak: ~(F.array_contains(names, F.lit(strong)) & (x["license"] == weak)))
+    for pair in supersedes:
+        strong, weak = map(F.lit, pair)
+        left = F.when(F.array_contains(names, strong), F.filter(left, lambda x: x["license"] != weak)).otherwise(left)  # noqa: B023
     return stored(found.select("key", "path", "notice", F.array_min(left).alias("b")).select("key", "path", "b.license", (-F.col("b.s")).alias("score"), "notice"), "owned")
 
 

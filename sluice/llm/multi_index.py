@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluice.llm.common import lean, small, stored
+from sluice.llm.common import lean, release, small, stored
 
 SAMPLE, ROUNDS, SEED = 20_000, 12, 7
 #: Rows that the number of candidates is measured on, and the share of their true neighbours that it has to reach.
@@ -144,7 +144,6 @@ def _probe(books, counts, dealt, candidates, batches):
         yield pa.RecordBatch.from_arrays([*taken, pa.array(blocks, pa.int32()), pa.array(visits, pa.binary())], ["id", "v", "block", "cells"])
 
 
-@lean
 def _rank(k, entries: pa.Table, probes: pa.Table) -> pa.Table:
     ids, cells = entries["id"].to_numpy(), entries["cell"].to_numpy()
     order = np.lexsort((ids, cells))
@@ -163,6 +162,7 @@ def _rank(k, entries: pa.Table, probes: pa.Table) -> pa.Table:
         top = np.lexsort((ids[hit], exact))[:k]
         out.append((np.full(len(top), asked[i]), ids[hit][top], exact[top]))
     parts = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0)] * 3
+    release()
     return pa.table({"query_id": parts[0].astype(np.int64), "id": parts[1].astype(np.int64), "score": parts[2].astype(np.float64)})
 
 

@@ -40,7 +40,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, DEFINED, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
-KEPT, LONGEST_KEPT, PAIRS = 60_000, 48, 150_000
+KEPT, LONGEST_KEPT, PAIRS = 150_000, 48, 400_000
 
 
 # ---------------------------------------------------------------- model file

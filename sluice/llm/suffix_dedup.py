@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import lean, slices, stored
+from sluice.llm.common import lean, release, slices, stored
 
 SPAN, GRAM = 50, 20
 REACH = SPAN - GRAM
@@ -231,7 +231,6 @@ def pass_on(table: pa.Table, groups: int, rows: list) -> None:
     intervals(doc[order], lo[order], hi[order], groups, rows)
 
 
-@lean
 def _meet(groups, hot, table):
     """A bucket of anchors -> covered intervals, and the edges whose bytes are needed."""
     rows: list = []
@@ -251,6 +250,7 @@ def _meet(groups, hot, table):
         edge = np.repeat(several, size)
         columns = [doc[edge], pos[edge], gram[edge], np.repeat(size > hot, size)[edge].astype(np.uint8)]
         dealt(place(columns[0], columns[1] >> TAGGED, groups), EDGES, columns, rows)
+    release()
     return pa.Table.from_batches([batch_of(rows)])
 
 
@@ -271,7 +271,6 @@ def _pack_texts(groups: int, batches):
         yield batch_of(rows)
 
 
-@lean
 def _fetch(buckets: int, groups: int, texts: pa.Table, asked: pa.Table) -> pa.Table:
     """Surroundings of the edges, dealt out by gram; of hot grams the single strings."""
     doc, pos, gram, hot = gathered(asked["blob"].to_pylist(), *ASKED)
@@ -305,6 +304,7 @@ def _fetch(buckets: int, groups: int, texts: pa.Table, asked: pa.Table) -> pa.Ta
             dealt((gram[cold] % np.uint64(buckets)).astype(np.int64), EDGES, [c[cold] for c in columns], rows)
             if hot.any():
                 _take_apart(doc[hot], pos[hot], before[hot], after[hot], around[hot], buckets, groups, rows)
+    release()
     return pa.Table.from_batches([batch_of(rows)])
 
 
@@ -442,7 +442,6 @@ def classes(order: np.ndarray, lcp: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
-@lean
 def _sort(groups, table):
     """A bucket of edges -> covered intervals."""
     rows: list = []
@@ -478,6 +477,7 @@ def _sort(groups, table):
         least[by] = np.repeat(np.minimum.reduceat(doc[by], cuts), np.diff(np.r_[cuts, len(kind)]))
         found = least < doc
         dealt(place(doc[found], pos[found] >> TAGGED, groups), COVER, [doc[found], pos[found], pos[found] + SPAN], rows)
+    release()
     return pa.Table.from_batches([batch_of(rows)])
 
 
@@ -492,7 +492,6 @@ def cut_out(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[bytes, list[tu
     return np.frombuffer(text, np.uint8)[~gone].tobytes(), list(zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True))
 
 
-@lean
 def _finish(id_at: int, text_at: int, key: str, docs: pa.Table, covers: pa.Table) -> pa.Table:
     doc, lo, hi = gathered(covers["blob"].to_pylist(), *COVERS)
     order = doc.argsort(kind="stable")
@@ -509,6 +508,7 @@ def _finish(id_at: int, text_at: int, key: str, docs: pa.Table, covers: pa.Table
         spans.append(runs)
     kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
     runs = pa.array([[{"lo": a, "hi": b} for a, b in x] for x in spans], kind)
+    release()
     return docs.drop_columns([key]).append_column("kept", pa.array(left, pa.binary())).append_column("removed", runs)
 
 

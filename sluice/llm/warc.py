@@ -22,7 +22,7 @@ import zlib
 from functools import partial
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.common import lean, small, stored
@@ -37,22 +37,23 @@ CHUNK = 1 << 20
 
 
 # ---------------------------------------------------------------- deciding
-def choose(records: DataFrame, least: int = LEAST) -> DataFrame:
-    """``records`` (key, uri, payload) with payload_digest, payload_bytes, record_type, original (the response's key),
-    record_id and refers_to_id."""
+def choose(records: DataFrame, least: int = LEAST, order: Column | None = None) -> DataFrame:
+    """``records`` (key, uri, payload) with payload_digest, payload_bytes, record_type, original (the response's place
+    in the ``order``, which is the key unless given), record_id and refers_to_id."""
+    records = records.withColumn("__at", F.col("key") if order is None else order)
     payload = F.coalesce(F.col("payload"), F.lit("").cast(records.schema["payload"].dataType))
     named = records.withColumn("payload", payload).withColumns({"payload_digest": F.sha1(F.col("payload").cast("binary")), "payload_bytes": F.octet_length("payload").cast("long")})
-    heads = named.where(F.col("payload_bytes") >= least).select("key", "payload_digest", "payload_bytes")
-    chosen = heads.groupBy("payload_digest", "payload_bytes").agg(F.max("key").alias("original"), F.count("*").alias("n"))
+    heads = named.where(F.col("payload_bytes") >= least).select("__at", "payload_digest", "payload_bytes")
+    chosen = heads.groupBy("payload_digest", "payload_bytes").agg(F.max("__at").alias("original"), F.count("*").alias("n"))
     chosen = small(stored(chosen.where("n > 1 and original is not null").drop("n"), "originals"))
     joined = named.join(chosen, ["payload_digest", "payload_bytes"], "left")
-    again = F.col("original").isNotNull() & ~F.col("key").eqNullSafe(F.col("original"))
+    again = F.col("original").isNotNull() & ~F.col("__at").eqNullSafe(F.col("original"))
     joined = joined.withColumns({"record_type": F.when(again, "revisit").otherwise("response"), "referred": F.col("original").isNotNull() & ~again, "original": F.when(again, F.col("original"))})
     # Only a record that others refer to needs an id that they can make too; the others' tell rows apart.
-    each = record_id(F.col("key"), F.col("payload_digest"), F.col("uri"), F.monotonically_increasing_id())
-    own = F.when(F.col("referred"), record_id(F.col("key"), F.col("payload_digest"))).otherwise(each)
+    each = record_id(F.col("__at"), F.col("payload_digest"), F.col("uri"), F.monotonically_increasing_id())
+    own = F.when(F.col("referred"), record_id(F.col("__at"), F.col("payload_digest"))).otherwise(each)
     other = record_id(F.col("original"), F.col("payload_digest"))
-    return joined.withColumns({"record_id": own, "refers_to_id": F.when(again, other)}).drop("referred")
+    return joined.withColumns({"record_id": own, "refers_to_id": F.when(again, other)}).drop("referred", "__at")
 
 
 def record_id(*of):
@@ -222,14 +223,14 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 def deduplicate_archives(spark: SparkSession, source: str, target: str, least: int = LEAST) -> None:
     """Rewrites archives: equal payloads are stored once, revisits get fresh headers. Revisits of the source whose
     original is there are resolved to it first, and so decided anew like any other record. Revisits whose original is
-    elsewhere and records of other types are written as they are. Records of other writers, which have no order key, are
-    ordered by a hash of their id."""
+    elsewhere and records of other types are written as they are. Records without order key, as other writers'
+    are, come before those with one, by a hash of their id."""
     records = stored(read_archives(spark, source, payloads=True), "records")
     bodies = records.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id")).agg(F.max("payload").alias("body"))
     # Records without a reference join by their own id, so they don't gather where NULL keys go.
     named = records.withColumn("refers_to_id", F.when(F.col("record_type") == "revisit", F.coalesce("refers_to_id", "record_id")).otherwise(F.col("record_id")))
     whole = named.join(bodies, "refers_to_id", "left")
     anew = (F.col("record_type") == "response") | (F.col("record_type") == "revisit") & F.col("body").isNotNull()
-    key = F.coalesce("key", F.xxhash64("record_id"))
-    chosen = choose(whole.where(anew).select(key.alias("key"), F.col("target_uri").alias("uri"), F.coalesce("body", "payload").alias("payload")), least)
+    order = F.coalesce("key", -1 - F.xxhash64("__id").bitwiseAND(F.lit((1 << 63) - 1)))
+    chosen = choose(whole.where(anew).select("key", F.col("record_id").alias("__id"), F.col("target_uri").alias("uri"), F.coalesce("body", "payload").alias("payload")), least, order)
     write_records(rendered(chosen).union(whole.where(~anew).select(F.col("raw").cast("string").alias("value"))), target)
