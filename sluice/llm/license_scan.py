@@ -12,9 +12,9 @@ What is compared with them, of every whole text:
 Words weigh their count times the product of two inverse document frequencies ln((1 + N) / (1 + df)) + 1: over the N
 texts (a word outside the templates counts as held by one) and over the licences, so that "MIT" counts for more than
 "licensed under". A file's licences are those that one of its units meets with a cosine of at least ``least``;
-its own is the one with the best cosine, where a licence that contains another's text goes before that (SUPERSEDES). A
-file without one inherits from the nearest folder above it that has a licence file with a licence. Licence files are
-those named so (LICENSE, LICENCE, COPYING, NOTICE, UNLICENSE, any ending) and those whose whole text is a notice.
+its own is the one with the best cosine, where whole licences (templates above WINDOWED words) go before notices, as
+licences may open alike. A file without one inherits from the nearest folder above it that has a licence file (LICENSE,
+LICENCE, COPYING, NOTICE, UNLICENSE, any ending) with a licence.
 
 Units are found through anchors: a template's heaviest words, all but a tail whose norm is under ``least`` of the whole;
 by Cauchy-Schwarz what shares only tail words stays under ``least``. For the same reason a window goes on only if the
@@ -41,8 +41,6 @@ WORD_GAP = "[^a-z0-9]+"
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)[^/]*$"
 OUTPUTS = ("license", "score", "origin", "folder")
 IDS = ("AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense")
-#: Licences that contain the text of another.
-SUPERSEDES = (("BSD-3-Clause", "BSD-2-Clause"),)
 GNU = "{0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software Foundation, either version {2} of the License, or (at your option) any later version."
 MIT_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
 MIT_TEXT = MIT_GRANT + """ (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -82,7 +80,7 @@ TEMPLATES = (
     ("MIT", MIT_TEXT),
     ("ISC", ISC_GRANT),
     ("ISC", ISC_TEXT),
-    ("BSD-2-Clause", BSD_GRANT),
+    ("BSD-3-Clause", BSD_GRANT),
     ("BSD-2-Clause", BSD_CONDITIONS + "\n" + BSD_DISCLAIMER),
     ("BSD-3-Clause", BSD_NAMES),
     ("BSD-3-Clause", BSD_CONDITIONS + "\n3. " + BSD_NAMES + "\n" + BSD_DISCLAIMER),
@@ -124,7 +122,8 @@ class Vectors:
         spread = counted.groupBy("term").agg(F.count_distinct("license").alias("licences")).join(heard, "term", "left")
         self.idf = stored(spread.select("term", (idf(F.coalesce("n", F.lit(0))) * rarity(F.col("licences"))).alias("idf")), "idf")
         own = W.partitionBy("template")
-        words = counted.join(self.idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
+        full = self.templates.select("template", (F.size("terms") > WINDOWED).alias("full"))
+        words = counted.join(full, "template").join(self.idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
         words = words.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(own)))
         tail = F.sqrt(F.sum(F.col("w") * F.col("w")).over(own.orderBy("w", "term").rowsBetween(W.unboundedPreceding, 0)))
         self.words = stored(words.withColumn("anchor", tail >= F.col("norm") * (least - 1e-9)), "vectors")
@@ -140,17 +139,16 @@ class Vectors:
 
 
 def units_of(files: DataFrame, vectors: Vectors, path_col: str, text_col: str, least: float) -> DataFrame:
-    """(key, path, unit, whole): what is compared of each text that holds an anchor, as words joined by blanks."""
+    """(key, path, unit): what is compared of each text that holds an anchor, as words joined by blanks."""
     anchors, some = F.lit(vectors.anchors).cast("array<string>"), lambda words: F.arrays_overlap(words, F.lit(vectors.anchors).cast("array<string>"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     told = files.select(key_of(F.col(path_col), F.col(text_col)).alias("key"), F.col(path_col).alias("path"), text.alias("text"), terms(text).alias("words")).where(F.arrays_overlap("words", anchors))
     blocks = told.select("key", "path", F.explode(F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), F.lit(True).alias("block"), F.col("text"))),
-        F.transform(F.split("text", r"\n[ \t]*\r?\n"), lambda x: F.struct(F.lit(False).alias("whole"), F.lit(True).alias("block"), x.alias("text"))),
-        F.transform(F.split("text", "\n"), lambda x: F.struct(F.lit(False).alias("whole"), F.lit(False).alias("block"), x.alias("text"))),
-    )).alias("u")).select("key", "path", "u.whole", "u.block", terms(F.col("u.text")).alias("words")).where(some(F.col("words")))
+        F.transform(F.concat(F.array("text"), F.split("text", r"\n[ \t]*\r?\n")), lambda x: F.struct(F.lit(True).alias("block"), x.alias("text"))),
+        F.transform(F.split("text", "\n"), lambda x: F.struct(F.lit(False).alias("block"), x.alias("text"))),
+    )).alias("u")).select("key", "path", "u.block", terms(F.col("u.text")).alias("words")).where(some(F.col("words")))
     known = F.size(F.filter("words", lambda w: w.isin(vectors.vocabulary)))
-    blocks = blocks.where(~F.col("block") | (2 * known >= F.size("words"))).select("key", "path", F.array_join("words", " ").alias("unit"), "whole")
+    blocks = blocks.where(~F.col("block") | (2 * known >= F.size("words"))).select("key", "path", F.array_join("words", " ").alias("unit"))
     # Windows: only the words about an anchor go on.
     reach = WINDOWED - 1
     start = F.greatest(F.col("pos") - reach, F.lit(0))
@@ -159,35 +157,30 @@ def units_of(files: DataFrame, vectors: Vectors, path_col: str, text_col: str, l
     first = F.greatest(F.col("pos") - F.col("at"), F.lit(0))
     laid = hits.join(small(vectors.places()), "anchor").select("key", "path", "shares", F.slice("words", first + 1, F.col("n")).alias("words"))
     share = F.aggregate(F.filter("shares", lambda x: F.array_contains(F.col("words"), x["term"])), F.lit(0.0), lambda a, x: a + x["share"])
-    laid = laid.where(share >= least * least - 1e-9).select("key", "path", F.array_join("words", " ").alias("unit"), F.lit(False).alias("whole"))
+    laid = laid.where(share >= least * least - 1e-9).select("key", "path", F.array_join("words", " ").alias("unit"))
     return stored(blocks.union(laid).distinct(), "units")
 
 
 def scored_units(units: DataFrame, vectors: Vectors, least: float) -> DataFrame:
-    """(unit, license, score): the licences that a unit meets, with 4 decimals."""
+    """(unit, license, full, score): the licences that a unit meets, by a whole licence or a notice, with 4 decimals."""
     counted = units.select("unit").distinct().select("unit", F.explode(F.split("unit", " ")).alias("term")).groupBy("unit", "term").agg(F.count("*").alias("tf"))
     weighed = counted.join(small(vectors.idf), "term", "left").select("unit", "term", (F.col("tf") * F.coalesce("idf", vectors.other)).alias("w"))
     weighed = stored(weighed, "weighed")
     norms = weighed.groupBy("unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("unit_norm"))
-    dots = weighed.alias("u").join(small(vectors.words).alias("t"), "term").groupBy("unit", "license", "template", "norm").agg(F.sum(F.col("u.w") * F.col("t.w")).alias("dot"))
-    scored = dots.join(norms, "unit").select("unit", "license", F.round(F.col("dot") / (F.col("norm") * F.col("unit_norm")), 4).alias("score"))
-    return stored(scored.where(F.col("score") >= least).groupBy("unit", "license").agg(F.max("score").alias("score")), "scored")
+    dots = weighed.alias("u").join(small(vectors.words).alias("t"), "term").groupBy("unit", "license", "full", "template", "norm").agg(F.sum(F.col("u.w") * F.col("t.w")).alias("dot"))
+    scored = dots.join(norms, "unit").select("unit", "license", "full", F.round(F.col("dot") / (F.col("norm") * F.col("unit_norm")), 4).alias("score"))
+    return stored(scored.where(F.col("score") >= least).groupBy("unit", "license", "full").agg(F.max("score").alias("score")), "scored")
 
 
-def owned_licences(units: DataFrame, scored: DataFrame, supersedes) -> DataFrame:
-    """(key, path, license, score, notice): each file's own licence, and whether its whole text is a notice."""
-    met = units.join(small(scored), "unit").groupBy("key", "path", "license").agg(F.max("score").alias("score"), F.max("whole").alias("notice"))
-    found = met.groupBy("key", "path").agg(F.collect_list(F.struct((-F.col("score")).alias("s"), "license")).alias("found"), F.max("notice").alias("notice"))  # a row a licence
-    left, names = F.col("found"), F.transform("found", lambda x: x["license"])
-    for pair in supersedes:
-        strong, weak = map(F.lit, pair)
-        left = F.when(F.array_contains(names, strong), F.filter(left, lambda x: x["license"] != weak)).otherwise(left)  # noqa: B023
-    return stored(found.select("key", "path", "notice", F.array_min(left).alias("b")).select("key", "path", "b.license", (-F.col("b.s")).alias("score"), "notice"), "owned")
+def owned_licences(units: DataFrame, scored: DataFrame) -> DataFrame:
+    """(key, path, license, score): each file's own licence."""
+    best = F.min(F.struct((~F.col("full")).alias("notice"), (-F.col("score")).alias("s"), "license")).alias("b")
+    return stored(units.join(small(scored), "unit").groupBy("key", "path").agg(best).select("key", "path", "b.license", (-F.col("b.s")).alias("score")), "owned")
 
 
 def nearest_folders(files: DataFrame, owned: DataFrame, path_col: str) -> DataFrame:
     """(__own, g): for each folder with files the nearest above it, or itself, that has a licence file with a licence."""
-    given = owned.where(F.col("path").isNotNull() & (F.col("path").rlike(LICENSE_FILE) | F.col("notice"))).withColumn("folder", folder_of(F.col("path")))
+    given = owned.where(F.col("path").rlike(LICENSE_FILE)).withColumn("folder", folder_of(F.col("path")))
     given = given.groupBy("folder").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b")).select("folder", "b.license", (-F.col("b.s")).alias("score"))
     given = stored(given.withColumn("depth", F.size(F.split("folder", "/"))), "folders")
     deepest = given.agg(F.max("depth")).first()[0] or 0
@@ -199,7 +192,7 @@ def nearest_folders(files: DataFrame, owned: DataFrame, path_col: str) -> DataFr
     return stored(nearest.select(F.col("own").alias("__own"), "g"), "nearest")
 
 
-def scan(files: DataFrame, templates: DataFrame | None = None, path_col: str = "path", text_col: str = "text", least: float = LEAST, supersedes=SUPERSEDES) -> DataFrame:
+def scan(files: DataFrame, templates: DataFrame | None = None, path_col: str = "path", text_col: str = "text", least: float = LEAST) -> DataFrame:
     """``files`` with license, score (4 decimals), origin (own, inherited or none) and folder (that it inherits from)."""
     spark = files.sparkSession
     files = files.drop(*(c for c in OUTPUTS if c not in (path_col, text_col)))
@@ -207,7 +200,7 @@ def scan(files: DataFrame, templates: DataFrame | None = None, path_col: str = "
         templates = spark.createDataFrame(TEMPLATES, "license string, text string")
     vectors = Vectors(files, text_col, templates, least)
     units = units_of(files, vectors, path_col, text_col, least)
-    owned = owned_licences(units, scored_units(units, vectors, least), supersedes)
+    owned = owned_licences(units, scored_units(units, vectors, least))
     nearest = nearest_folders(files, owned, path_col)
     out = files.withColumns({"__key": key_of(F.col(path_col), F.col(text_col)), "__own": folder_of(F.col(path_col))})
     out = out.join(small(owned.select(F.col("key").alias("__key"), F.col("license").alias("__l"), F.col("score").alias("__s"))), "__key", "left").join(small(nearest), "__own", "left")
