@@ -47,7 +47,7 @@ from sluice.llm.common import lean, release, slices, stored
 
 SPAN, GRAM = 50, 20
 REACH = SPAN - GRAM
-GROUP, PIECE, HOT = 4 << 20, 1 << 20, 20_000
+GROUP, PIECE, HOT = 4 << 20, 1 << 18, 20_000
 MARGIN = 2 * SPAN
 SHALLOW = 3  # words of eight bytes
 MAX = np.uint64(2**64 - 1)
@@ -115,7 +115,7 @@ def digests(strings) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- anchors
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=8)
 def powers(base: int, n: int) -> np.ndarray:
     out, k = np.ones(n, np.uint64), 1
     while k < n:
@@ -136,7 +136,7 @@ def sliding(fold, x: np.ndarray, width: int) -> np.ndarray:
 def anchors(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of pieces data[cuts[i]:cuts[i + 1]], each of at least SPAN bytes: positions of the anchors, their pieces, the
     hashes of their grams, and the digests of their surroundings and place in them."""
-    size = 1 << max(16, int(len(data) + 1).bit_length())
+    size = 1 << max(19, int(len(data) + 1).bit_length())
     p, q = powers(BASE, size), powers(UNBASE, size)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * p[: len(data)], out=sums[1:])
@@ -173,24 +173,40 @@ def pieces(ids: list[int], texts: list[bytes]):
         yield lot
 
 
+def _anchored(lot: list) -> list[np.ndarray]:
+    """gram, around, doc and tagged position of a lot's anchors."""
+    cuts = np.cumsum([0] + [len(x[1]) for x in lot])
+    at, piece, gram, around = anchors(np.frombuffer(b"".join(x[1] for x in lot), np.uint8), cuts)
+    ids, offsets, first, last, tags = (np.array([x[k] for x in lot], np.int64) for k in (0, 2, 3, 4, 5))
+    pos = at - cuts[piece] + offsets[piece]
+    own = (pos >= first[piece]) & (pos < last[piece])
+    pos += tags[piece] << TAGGED
+    return [x[own] for x in (gram, around, ids[piece], pos)]
+
+
+def _settled(found: list[list[np.ndarray]], groups: int, buckets: int) -> pa.RecordBatch:
+    gram, around, doc, pos = (np.concatenate(x) for x in zip(*found, strict=True))
+    rows: list = []
+    keep = smallest(around, doc)
+    cover(doc[~keep], pos[~keep], groups, buckets, rows)
+    columns = [gram[keep], around[keep], doc[keep], pos[keep]]
+    dealt((columns[0] % np.uint64(buckets)).astype(np.int64), EDGES, columns, rows)
+    return batch_of(rows)
+
+
 @lean
 def _map(groups: int, buckets: int, batches):
-    for batch in slices(batches, 4096):
+    found, held = [], 0
+    for batch in slices(batches):
         batch = batch.filter(pc.is_valid(batch.column(0)))
-        rows: list = []
         for lot in pieces(batch.column(0).to_pylist(), [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]):
-            cuts = np.cumsum([0] + [len(x[1]) for x in lot])
-            at, piece, gram, around = anchors(np.frombuffer(b"".join(x[1] for x in lot), np.uint8), cuts)
-            ids, offsets, first, last, tags = (np.array([x[k] for x in lot], np.int64) for k in (0, 2, 3, 4, 5))
-            pos = at - cuts[piece] + offsets[piece]
-            own = (pos >= first[piece]) & (pos < last[piece])
-            pos += tags[piece] << TAGGED
-            doc, pos, gram, around = ids[piece][own], pos[own], gram[own], around[own]
-            keep = smallest(around, doc)
-            cover(doc[~keep], pos[~keep], groups, buckets, rows)
-            columns = [gram[keep], around[keep], doc[keep], pos[keep]]
-            dealt((columns[0] % np.uint64(buckets)).astype(np.int64), EDGES, columns, rows)
-        yield batch_of(rows)
+            found.append(_anchored(lot))
+            held += sum(len(x[1]) for x in lot)
+            if held >= GROUP:
+                yield _settled(found, groups, buckets)
+                found, held = [], 0
+    if found:
+        yield _settled(found, groups, buckets)
 
 
 def smallest(around: np.ndarray, doc: np.ndarray) -> np.ndarray:
