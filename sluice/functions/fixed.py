@@ -103,3 +103,6 @@ SOURCE_PRIORITY = {"adzuna_in": 1, "remotive": 2, "remoteok": 3}
 
 # ---- fixed values: matching
 SEMANTIC_WEIGHT, COVERAGE_PRIOR, CHUNK_CHARS, DOCUMENT_CHARS = 0.5, 2, 700, 700
+
+# ---- fixed values: evaluation
+LABELLED_CHARS = 200

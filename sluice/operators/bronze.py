@@ -25,38 +25,39 @@ def surrogate_id(*key: str) -> Column:
 
 
 def latest_in_batch(batch: DataFrame, key=KEY, order: str = "ordinal") -> DataFrame:
-    """The last row of each key."""
+    """The last row of each key; of rows with one place in the order that with the largest hash. Columns that nobody
+    reads afterwards are not shuffled."""
     rest = [c for c in batch.columns if c not in key]
-    last = batch.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("last"))
-    return last.select(*key, *(F.col(f"last.{c}").alias(c) for c in rest))
+    ordered = batch.withColumn("__at", F.struct(F.col(order).alias("o"), F.xxhash64(*rest).alias("h")))
+    return ordered.groupBy(*key).agg(*(F.max_by(c, "__at").alias(c) for c in rest))
 
 
 def diff(existing: DataFrame, batch: DataFrame, key=KEY) -> DataFrame:
-    """Full outer join of two snapshots (key, payload, payload_hash) with status new, changed, unchanged or absent."""
-    old = existing.select(*key, F.struct(*[c for c in existing.columns if c not in key]).alias("old"))
-    new = batch.select(*key, F.struct(*[c for c in batch.columns if c not in key]).alias("new"))
+    """Full outer join of two snapshots (key, payload, payload_hash), their columns as old_ and new_, with status new,
+    changed, unchanged or absent. Flat columns let a reader of the status leave the payloads behind."""
+    side = lambda frame, name: frame.select(*key, F.lit(True).alias(f"{name}"), *(F.col(c).alias(f"{name}_{c}") for c in frame.columns if c not in key))
     status = (
         F.when(F.col("new").isNull(), "absent")
         .when(F.col("old").isNull(), "new")
-        .when(F.col("old.payload_hash") != F.col("new.payload_hash"), "changed")
+        .when(F.col("old_payload_hash") != F.col("new_payload_hash"), "changed")
         .otherwise("unchanged")
     )
-    return old.join(new, list(key), "full_outer").withColumn("status", status)
+    return side(existing, "old").join(side(batch, "new"), list(key), "full_outer").withColumn("status", status)
 
 
 def upsert_raw(existing: DataFrame, batch: DataFrame, run_id: int, at: Column) -> DataFrame:
     """The next bronze snapshot: BRONZE's columns and status. First sight is kept, last sight is moved, the payload
     is replaced only where its hash differs."""
-    latest = latest_in_batch(batch).withColumn("payload_hash", payload_hash(F.col("payload"))).select(*KEY, "payload", "payload_hash")
+    latest = latest_in_batch(batch.withColumn("payload_hash", payload_hash(F.col("payload")))).select(*KEY, "payload", "payload_hash")
     seen, fresh = F.col("new").isNotNull(), F.col("status").isin("new", "changed")
     return diff(existing.drop("status"), latest).select(
-        F.coalesce("old.raw_id", surrogate_id(*KEY)).alias("raw_id"),
+        F.coalesce("old_raw_id", surrogate_id(*KEY)).alias("raw_id"),
         *KEY,
-        F.when(fresh, F.col("new.payload")).otherwise(F.col("old.payload")).alias("payload"),
-        F.when(fresh, F.col("new.payload_hash")).otherwise(F.col("old.payload_hash")).alias("payload_hash"),
-        F.coalesce("old.first_seen_at", at).alias("first_seen_at"),
-        F.when(seen, at).otherwise(F.col("old.last_seen_at")).alias("last_seen_at"),
-        F.coalesce("old.first_run_id", F.lit(run_id).cast("long")).alias("first_run_id"),
+        F.when(fresh, F.col("new_payload")).otherwise(F.col("old_payload")).alias("payload"),
+        F.when(fresh, F.col("new_payload_hash")).otherwise(F.col("old_payload_hash")).alias("payload_hash"),
+        F.coalesce("old_first_seen_at", at).alias("first_seen_at"),
+        F.when(seen, at).otherwise(F.col("old_last_seen_at")).alias("last_seen_at"),
+        F.coalesce("old_first_run_id", F.lit(run_id).cast("long")).alias("first_run_id"),
         "status",
     )
 

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions import fixed, skills, text
+from sluice.operators import enrich
+
 
 def set_scores(rows: DataFrame, gold: str = "gold", pred: str = "pred") -> DataFrame:
     """One row: micro-averaged precision, recall, f1 (3 decimals, 0 where undefined) and tp, fp, fn."""
@@ -43,13 +47,43 @@ def seeded_sample(rows: DataFrame, n: int, seed: int = 42, key: str = "job_id")
     return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), key).limit(n)
 
 
-def compare(labels: DataFrame, keyword: str, model: str) -> dict:
-    """Scores of two prediction columns against labels' skills, and of the model's fields."""
-    report: dict = {}
-    for name, column in (("keyword", keyword), ("model", model)):
-        report[name] = set_scores(labels, "skills", column).first().asDict()
-        errors = per_skill_errors(labels, "skills", column).collect()  # at most twice ten rows
-        report[name]["errors"] = [r.asDict() for r in errors]
+def sample_for_labels(silver: DataFrame, n: int = 50, seed: int = 42, least: int = fixed.LABELLED_CHARS) -> DataFrame:
+    """LABELS of a seeded sample of unique tech jobs whose description is long enough, with the excerpt a model sees."""
+    rows = silver.where(F.col("is_tech") & ~F.col("is_duplicate") & (F.char_length("description") > least))
+    rows = rows.withColumn("id", F.concat_ws(":", "source", "source_job_id"))
+    none = F.array().cast("array<string>")
+    return seeded_sample(rows, n, seed, "id").select(
+        "id", "title", "company", "location", text.llm_excerpt(F.col("description")).alias("text"), F.lit(False).alias("labelled"),
+        none.alias("skills"), F.lit("").alias("role_family"), F.lit("").alias("seniority"))
+
+
+def label(record: dict, ask: Callable[[str], str], known: Callable[[str], str | None]) -> dict:
+    """A record with the labels that ``ask`` gives; names that aren't ``known`` are passed over."""
+    def choice(what: str, options) -> str:
+        while (given := ask(f"{what} ({', '.join(options)}): ").strip()) not in options:
+            pass
+        return given
+
+    names = [known(x) for x in ask(f"{record['title']}\n\n{record['text']}\n\nskills, parted by commas: ").split(",")]
+    made = {"skills": sorted({x for x in names if x}), "role_family": choice("role family", fixed.ROLE_FAMILIES), "seniority": choice("seniority", fixed.SENIORITIES)}
+    return record | made | {"labelled": True}
+
+
+def evaluate(labels: DataFrame, model: Callable | None = None, model_name: str = "none", **options) -> dict:
+    """Scores of the dictionary and, if there is one, of ``model`` on the labelled records."""
+    rows = labels.where("labelled").withColumn("job_id", F.xxhash64("id").bitwiseAND(F.lit((1 << 63) - 1)))
+    rows = rows.withColumn("keyword", skills.keyword_skills(F.concat("title", F.lit("\n"), "text")))
+    queue = rows.select("job_id", F.lit("").alias("content_hash"), "title", "company", "location", F.col("text").alias("description"), F.lit(None).cast("timestamp").alias("posted_at"))
+    found, counts = enrich.extract(queue, model, model_name, F.current_timestamp(), **options)
+    found = found.select("job_id", F.col("skills").alias("model_skills"), F.col("role_family").alias("model_role"), F.col("seniority").alias("model_seniority"))
+    none = F.array().cast("array<string>")
+    both = rows.join(found, "job_id", "left").withColumn("model_skills", F.coalesce("model_skills", none)).withColumn("skills", F.coalesce("skills", none))
+    report: dict = {"jobs": both.count(), "model": model_name, "answered": counts["extracted"], "skills": {}, "errors": {}}
+    for name, column in (("keyword", "keyword"), ("model", "model_skills")):
+        report["skills"][name] = set_scores(both, "skills", column).first().asDict()
+        report["errors"][name] = [r.asDict() for r in per_skill_errors(both, "skills", column).collect()]  # at most twice ten rows
+    for name, column in (("role_family", "model_role"), ("seniority", "model_seniority")):
+        report[f"{name}_accuracy"] = accuracy(both, name, column).first()[0]
     return report
 
 
@@ -57,6 +91,9 @@ def write_report(report: dict, path: str) -> None:
     """results.json and results.md in a local folder."""
     with open(f"{path}/results.json", "w", encoding="utf-8") as out:
         json.dump(report, out, ensure_ascii=False, indent=2)
-    rows = [f"| {k} | {v['precision']} | {v['recall']} | {v['f1']} |" for k, v in report.items()]
+    lines = [f"{report['jobs']} labelled jobs, model {report['model']}, {report['answered']} answered.", "", "| extractor | precision | recall | F1 |", "|---|---|---|---|"]
+    lines += [f"| {k} | {v['precision']} | {v['recall']} | {v['f1']} |" for k, v in report["skills"].items()]
+    lines += ["", *(f"{n}: {report[f'{n}_accuracy']}" for n in ("role_family", "seniority")), ""]
+    lines += [f"{name}, {r['kind']}: {r['skill']} ({r['n']})" for name, rows in report["errors"].items() for r in rows]
     with open(f"{path}/results.md", "w", encoding="utf-8") as out:
-        out.write("\n".join(["| extractor | precision | recall | F1 |", "|---|---|---|---|", *rows]) + "\n")
+        out.write("\n".join(lines) + "\n")

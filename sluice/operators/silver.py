@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sluice import schema
@@ -145,10 +144,18 @@ def source_rank(source: Column, priority=None) -> Column:
     return F.coalesce(*(F.when(source == name, rank) for name, rank in pairs), F.lit(len(pairs) + 1))
 
 
+def newest_first(moment: Column) -> Column:
+    """Sorts upwards as the moment sorts downwards, missing ones last."""
+    return F.coalesce(-F.unix_micros(moment), F.lit((1 << 63) - 1))
+
+
 def flag_duplicates(records: DataFrame, key: str = "dedupe_key", order=None) -> DataFrame:
-    """is_duplicate: all but the first of a key by source priority, newest, id."""
-    order = order or [source_rank(F.col("source")), F.col("posted_at").desc_nulls_last(), F.col("job_id")]
-    return records.withColumn("is_duplicate", F.row_number().over(W.partitionBy(key).orderBy(*order)) > 1)
+    """is_duplicate: all but the first of a key by ``order`` (source priority, newest, id). The first is found by
+    aggregation, so a key that very many rows share doesn't meet in one task; keys meet as digests."""
+    order = order or [source_rank(F.col("source")), newest_first(F.col("posted_at")), F.col("job_id")]
+    marked = records.withColumns({"__key": F.sha2(F.coalesce(F.col(key), F.lit("")), 256), "__at": F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)))})
+    first = marked.groupBy("__key").agg(F.min("__at").alias("__first"))
+    return marked.join(first, "__key").withColumn("is_duplicate", F.col("__at") != F.col("__first")).drop("__key", "__at", "__first")
 
 
 def build_silver(bronze: DataFrame, previous: DataFrame, at: Column, keep: Callable[[DataFrame], DataFrame] = lambda frame: frame, **options) -> tuple[DataFrame, DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,13 +11,16 @@ from pyspark.sql import functions as F
 
 from sluice import schema
 from sluice.functions import fixed
-from sluice.operators import bronze, dashboard, enrich, gold, ledger, quality, silver, vectors
+from sluice.operators import bronze, dashboard, enrich, evaluate, gold, ledger, quality, silver, vectors
 from sluice.session import get_session
 from sluice.sources import landing
 
 
 class Store:
-    """Versioned Parquet snapshots under a root that Spark can write. A version counts once its marker is appended."""
+    """Versioned Parquet snapshots under a root that Spark can write. A version counts once its marker is appended; the
+    last ``KEPT`` are kept for their readers."""
+
+    KEPT = 3
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -57,6 +61,8 @@ class Store:
         version = (self._current(name) or 0) + 1
         frame.select(*(c.split()[0] for c in ddl.split(", "))).write.parquet(f"{self.root}/{name}/v{version}")
         self.spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").parquet(f"{self.root}/{name}/current")
+        old = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/v{version - self.KEPT}")
+        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
         return self.read(name, ddl)
 
 
@@ -108,6 +114,18 @@ def match(spark: SparkSession, root: str, resume: DataFrame, n: int = 15) -> Dat
     return vectors.match(resume, Store(spark, root).read("vectors", schema.VECTORS), gold.published(spark, f"{root}/gold", "jobs_enriched"), n)
 
 
+def label_file(path: str, ask=input) -> None:
+    """Labels what is not yet labelled in a local file of JSON lines; each answer is saved at once."""
+    canonical = {n.lower(): c for c, more in fixed.SKILLS.items() for n in (c, *more)}
+    with open(path, encoding="utf-8") as lines:
+        records = [json.loads(x) for x in lines if x.strip()]
+    for i, record in enumerate(records):
+        if not record["labelled"]:
+            records[i] = evaluate.label(record, ask, lambda name: canonical.get(name.strip().lower()))
+            with open(path, "w", encoding="utf-8") as out:
+                out.writelines(json.dumps(r, ensure_ascii=False) + "\n" for r in records)
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="sluice")
     parser.add_argument("--root", default="./sluice-data")
@@ -121,7 +139,19 @@ def main(argv: list[str] | None = None) -> int:
         sub = commands.add_parser(name)
         sub.add_argument(what)
         sub.add_argument("-n", type=int, default=most)
+    draw = commands.add_parser("sample", help="writes records to label as JSON lines")
+    draw.add_argument("out")
+    draw.add_argument("-n", type=int, default=50)
+    draw.add_argument("--seed", type=int, default=42)
+    asked = commands.add_parser("label", help="asks for the labels of a local file of JSON lines")
+    asked.add_argument("file")
+    scored = commands.add_parser("evaluate", help="writes results.json and results.md")
+    scored.add_argument("labels")
+    scored.add_argument("--out", default=".")
     args = parser.parse_args(argv)
+    if args.command == "label":
+        label_file(args.file)
+        return 0
     spark = get_session("sluice")
     if args.command == "run":
         paths = None if args.skip_ingest else {s: getattr(args, s) for s in landing.READERS}
@@ -132,6 +162,10 @@ def main(argv: list[str] | None = None) -> int:
             return 1
     elif args.command == "search":
         search(spark, args.root, args.query, args.n).select("rank", "similarity", "title", "company").show(args.n, False)
+    elif args.command == "sample":
+        landing.write_labels(evaluate.sample_for_labels(Store(spark, args.root).read("silver", schema.SILVER), args.n, args.seed), args.out)
+    elif args.command == "evaluate":
+        evaluate.write_report(evaluate.evaluate(landing.read_labels(spark, args.labels)), args.out)
     else:
         found = match(spark, args.root, landing.read_resume(spark, args.resume), args.n)
         found.show(args.n, False)

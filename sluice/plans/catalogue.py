@@ -282,7 +282,7 @@ WITH n AS (SELECT doc_id, trim(regexp_replace(lower(source), '[^a-z0-9]+', ' ',
 SELECT doc_id, row_number() OVER (PARTITION BY substr(k, instr(k, '|')) ORDER BY CASE source WHEN 'src3' THEN 1 WHEN 'src1' THEN 2 WHEN 'src0' THEN 3 ELSE 4 END, n_chars DESC NULLS LAST, doc_id) > 1 AS is_duplicate FROM n""")
 def dedupe_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", text.norm_title(F.col("text")).alias("key"))
-    order = [silver.source_rank(F.col("source"), {"src3": 1, "src1": 2, "src0": 3}), F.col("n_chars").desc_nulls_last(), F.col("doc_id")]
+    order = [silver.source_rank(F.col("source"), {"src3": 1, "src1": 2, "src0": 3}), F.coalesce(-F.col("n_chars"), F.lit((1 << 63) - 1)), F.col("doc_id")]
     return silver.flag_duplicates(docs, "key", order).select("doc_id", "is_duplicate")
 
 
@@ -528,8 +528,7 @@ def match_rerank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("job_id"), "embedding", "label")
-    asked = found.where("job_id % 20 = 0")  # the chunks of one text
-    asked = asked.select(F.col("job_id").alias("query_id"), "embedding")
+    asked = found.where("job_id % 20 = 0").select(F.col("job_id").alias("query_id"), "embedding")
     scores = vectors.semantic_scores(vectors.search(found, asked, 60)).orderBy(F.desc("semantic"), "job_id").limit(60)
     wanted = F.slice(F.array(*map(F.lit, "abcd")), F.lit(1), F.col("label") % 4 + 1)
     own = F.array(F.lit("a"), F.lit("c"))

@@ -25,8 +25,9 @@ def _items(spark: SparkSession, path: str, under: str, source: str, key: str) ->
     """RAW of the files at ``path``, each a page: a JSON array, or an object with one ``under`` a key. Files go in the
     order of their names, so the last of a key is that of the last page. A malformed file is one row without payload."""
     landed = spark.read.text(path, wholetext=True)
-    pages = spark.createDataFrame(list(enumerate(sorted(landed.inputFiles()), 1)), "page long, file string")  # what the scan has listed
-    files = landed.select(F.col("_metadata.file_path").alias("file"), "value").join(F.broadcast(pages), "file", "left")
+    named = lambda path: F.regexp_replace(path, "^file:/+", "file:/").alias("file")
+    pages = spark.createDataFrame(list(enumerate(sorted(landed.inputFiles()), 1)), "page long, path string")  # what the scan has listed
+    files = landed.select(named(F.col("_metadata.file_path")), "value").join(F.broadcast(pages.select("page", named(F.col("path")))), "file")
     body = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.get_json_object("value", f"$.{under}"))
     body = F.when(F.json_array_length(body).isNotNull(), body)
     listed = F.coalesce(F.from_json(body, "array<string>"), F.array(F.lit(None).cast("string")))

@@ -18,7 +18,8 @@ def upsert_stream(spark: SparkSession, landed: str, root: str, checkpoint: str):
 
     def apply(batch: DataFrame, number: int) -> None:
         store = Store(spark, root)
-        upserted = bronze.upsert_raw(store.read("bronze", schema.BRONZE), batch, number, F.current_timestamp())
+        # Run ids of batch runs are positive.
+        upserted = bronze.upsert_raw(store.read("bronze", schema.BRONZE), batch, -1 - number, F.current_timestamp())
         store.write("bronze", upserted, schema.BRONZE)
 
     rows = spark.readStream.schema(RAW).parquet(landed)

@@ -237,3 +237,27 @@ def test_search_of_every_twentieth_row(spark, tmp_path):
     found = frame.withColumnRenamed("vec_id", "job_id")
     blocks = vectors.search(found, found.where("job_id % 20 = 0").withColumnRenamed("job_id", "query_id"), 10, block=4).collect()
     assert {(r.query_id, r.job_id, r["rank"]) for r in blocks} == want
+
+
+def test_evaluation(spark, tmp_path):
+    rows = [(k, "s", str(k), "Data Engineer", "C", "L", "We use Python and SQL daily. " * 9, True, k == 3) for k in range(5)]
+    kinds = "job_id long, source string, source_job_id string, title string, company string, location string, description string, is_tech boolean, is_duplicate boolean"
+    labels = evaluate.sample_for_labels(spark.createDataFrame(rows, kinds), 3)
+    drawn = sorted(r.id for r in labels.collect())
+    assert len(drawn) == 3 and "s:3" not in drawn
+    path = tmp_path / "labels.jsonl"
+    path.write_text("".join(json.dumps(r.asDict()) + "\n" for r in labels.collect()))
+    answers = iter(["python, cobol", "no", "qa", "senior"] + ["Python, SQL", "data_engineer", "mid"] * 2)
+    pipeline.label_file(str(path), lambda question: next(answers))
+    done = landing.read_labels(spark, str(path))
+    assert done.where("labelled").count() == 3
+
+    def model(jobs):
+        return json.dumps({"jobs": [{"id": j["job_id"], "role_family": "qa", "seniority": "mid", "skills": ["python"]} for j in jobs]})
+
+    report = evaluate.evaluate(done, model, "m")
+    assert report["jobs"] == report["answered"] == 3 and report["role_family_accuracy"] == 0.333 and report["seniority_accuracy"] == 0.667
+    assert (report["skills"]["keyword"]["tp"], report["skills"]["keyword"]["fp"]) == (5, 1) and report["skills"]["model"]["recall"] == 0.6
+    evaluate.write_report(report, str(tmp_path))
+    assert "model" in (tmp_path / "results.md").read_text() and json.loads((tmp_path / "results.json").read_text())["jobs"] == 3
+    assert evaluate.evaluate(done)["answered"] == 0
