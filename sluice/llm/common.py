@@ -23,6 +23,8 @@ NOT_SPACE = r"[^\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What a broadcast may hold.
 MOST_ROWS, MOST_BYTES = 200_000, 32 << 20
+#: Texts that are sent to Python at a time.
+TEXTS = 1000
 _C = ctypes.CDLL(None)
 
 
@@ -129,6 +131,14 @@ def running(frame: DataFrame, order: list[Column], **sums: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Python tasks
+def few_rows(spark: SparkSession) -> None:
+    """Has Spark send texts to Python by at most ``TEXTS`` at a time, from now on in this session: 10,000 long texts make
+    buffers of tens of megabytes on both sides. A smaller setting stays."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= TEXTS:
+        spark.conf.set(setting, TEXTS)
+
+
 def release() -> None:
     """Gives memory that is free, but held by the allocators, back to the system."""
     pa.default_memory_pool().release_unused()

@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import lean, slices
+from sluice.llm.common import few_rows, lean, slices
 
 WINDOW, HIDDEN = 64, 8
 #: Sample: documents of a language, windows of each, languages (the most frequent).
@@ -190,6 +190,7 @@ def _predict(net, names, at, batches):
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_languages: int = MOST_LANGUAGES) -> DataFrame:
     """``docs`` with held_out, lang_pred and score. The ``most_languages`` most frequent ones are learned; of equally
     probable languages the first by name is predicted."""
+    few_rows(docs.sparkSession)
     net, names = learn(docs, id_col, text_col, lang_col, most_languages)
     docs = docs.drop("held_out", "lang_pred", "score")
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

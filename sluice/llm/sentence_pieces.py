@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from sluice.llm.common import lean, slices
+from sluice.llm.common import few_rows, lean, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -261,6 +261,7 @@ OUTPUTS = {"token_ids": T.ArrayType(T.IntegerType()), "n_tokens": T.IntegerType(
 def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL) -> DataFrame:
     """``docs`` with token_ids, n_tokens, ids_sha256 (of the ids as little-endian int32), decoded_sha256 (of the
     decoded ids' bytes) and lossless (the decoded text is the input)."""
+    few_rows(docs.sparkSession)
     docs = docs.drop(*(c for c in OUTPUTS if c in docs.columns))
     raw = open(model, "rb").read()  # on the driver; executors get the bytes
     schema = T.StructType([*docs.schema.fields, *(T.StructField(k, v) for k, v in OUTPUTS.items())])
@@ -277,6 +278,7 @@ def _decode(model: bytes, at: int, batches):
 
 def decode(tokens: DataFrame, ids_col: str = "token_ids", model: str = MODEL) -> DataFrame:
     """``tokens`` with decoded, the text of its ids; null ids give null."""
+    few_rows(tokens.sparkSession)
     tokens = tokens.drop("decoded")
     raw = open(model, "rb").read()
     schema = T.StructType([*tokens.schema.fields, T.StructField("decoded", T.StringType())])

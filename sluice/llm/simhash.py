@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import lean, slices, small, stored
+from sluice.llm.common import few_rows, lean, slices, small, stored
 from sluice.llm.graph import connected_components
 
 SEED = 42
@@ -72,6 +72,7 @@ def _fingerprints(size: int, batches):
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id, fp): fp is the fingerprint as a signed long."""
+    few_rows(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(partial(_fingerprints, shingle), "id long, fp long")
 
@@ -318,6 +319,7 @@ def _linked(found: dict[int, np.ndarray], similarity: float) -> pa.RecordBatch:
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, limit: int = LIMIT, text_limit: int = TEXT_LIMIT) -> DataFrame:
     """One row for each document: id and component_id (the smallest id of its group of exact and near copies).
     Candidates are meant for a ``similarity`` of about 0.8 and more."""
+    few_rows(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     marked = stored(narrow.mapInArrow(partial(_marks, shingle), "id long, node long, bytes long, bands array<long>, sketch binary"), "marks")
     nodes = stored(marked.groupBy("node").agg(F.min("id").alias("least"), *(F.first(x).alias(x) for x in ("bytes", "bands", "sketch"))), "nodes")

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import lean, release, slices, stored
+from sluice.llm.common import few_rows, lean, release, slices, stored
 
 SPAN, GRAM = 50, 20
 REACH = SPAN - GRAM
@@ -530,6 +530,7 @@ def _finish(id_at: int, text_at: int, key: str, docs: pa.Table, covers: pa.Table
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """``docs`` with kept (the bytes left, binary) and removed (array of runs lo, hi of the input's bytes)."""
+    few_rows(docs.sparkSession)
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = int(total // GROUP) | 1  # odd, so that strides in ids don't gather
