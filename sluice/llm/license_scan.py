@@ -139,7 +139,7 @@ class Vectors:
 
 
 def units_of(files: DataFrame, vectors: Vectors, path_col: str, text_col: str, least: float) -> DataFrame:
-    """(key, path, unit): what is compared of each text that holds an anchor, as words joined by blanks."""
+    """(key, path, uid, unit): what is compared of each text that holds an anchor, as words joined by blanks, and its digest."""
     anchors, some = F.lit(vectors.anchors).cast("array<string>"), lambda words: F.arrays_overlap(words, F.lit(vectors.anchors).cast("array<string>"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     told = files.select(key_of(F.col(path_col), F.col(text_col)).alias("key"), F.col(path_col).alias("path"), text.alias("text"), terms(text).alias("words")).where(F.arrays_overlap("words", anchors))
@@ -158,24 +158,24 @@ def units_of(files: DataFrame, vectors: Vectors, path_col: str, text_col: str, l
     laid = hits.join(small(vectors.places()), "anchor").select("key", "path", "shares", F.slice("words", first + 1, F.col("n")).alias("words"))
     share = F.aggregate(F.filter("shares", lambda x: F.array_contains(F.col("words"), x["term"])), F.lit(0.0), lambda a, x: a + x["share"])
     laid = laid.where(share >= least * least - 1e-9).select("key", "path", F.array_join("words", " ").alias("unit"))
-    return stored(blocks.union(laid).distinct(), "units")
+    return stored(blocks.union(laid).distinct().withColumn("uid", F.md5("unit")), "units")
 
 
 def scored_units(units: DataFrame, vectors: Vectors, least: float) -> DataFrame:
-    """(unit, license, full, score): the licences that a unit meets, by a whole licence or a notice, with 4 decimals."""
-    counted = units.select("unit").distinct().select("unit", F.explode(F.split("unit", " ")).alias("term")).groupBy("unit", "term").agg(F.count("*").alias("tf"))
-    weighed = counted.join(small(vectors.idf), "term", "left").select("unit", "term", (F.col("tf") * F.coalesce("idf", vectors.other)).alias("w"))
+    """(uid, license, full, score): the licences that a unit meets, by a whole licence or a notice, with 4 decimals."""
+    counted = units.select("uid", "unit").distinct().select("uid", F.explode(F.split("unit", " ")).alias("term")).groupBy("uid", "term").agg(F.count("*").alias("tf"))
+    weighed = counted.join(small(vectors.idf), "term", "left").select("uid", "term", (F.col("tf") * F.coalesce("idf", vectors.other)).alias("w"))
     weighed = stored(weighed, "weighed")
-    norms = weighed.groupBy("unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("unit_norm"))
-    dots = weighed.alias("u").join(small(vectors.words).alias("t"), "term").groupBy("unit", "license", "full", "template", "norm").agg(F.sum(F.col("u.w") * F.col("t.w")).alias("dot"))
-    scored = dots.join(norms, "unit").select("unit", "license", "full", F.round(F.col("dot") / (F.col("norm") * F.col("unit_norm")), 4).alias("score"))
-    return stored(scored.where(F.col("score") >= least).groupBy("unit", "license", "full").agg(F.max("score").alias("score")), "scored")
+    norms = weighed.groupBy("uid").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("unit_norm"))
+    dots = weighed.alias("u").join(small(vectors.words).alias("t"), "term").groupBy("uid", "license", "full", "template", "norm").agg(F.sum(F.col("u.w") * F.col("t.w")).alias("dot"))
+    scored = dots.join(norms, "uid").select("uid", "license", "full", F.round(F.col("dot") / (F.col("norm") * F.col("unit_norm")), 4).alias("score"))
+    return stored(scored.where(F.col("score") >= least).groupBy("uid", "license", "full").agg(F.max("score").alias("score")), "scored")
 
 
 def owned_licences(units: DataFrame, scored: DataFrame) -> DataFrame:
     """(key, path, license, score): each file's own licence."""
     best = F.min(F.struct((~F.col("full")).alias("notice"), (-F.col("score")).alias("s"), "license")).alias("b")
-    return stored(units.join(small(scored), "unit").groupBy("key", "path").agg(best).select("key", "path", "b.license", (-F.col("b.s")).alias("score")), "owned")
+    return stored(units.select("key", "path", "uid").join(small(scored), "uid").groupBy("key", "path").agg(best).select("key", "path", "b.license", (-F.col("b.s")).alias("score")), "owned")
 
 
 def nearest_folders(files: DataFrame, owned: DataFrame, path_col: str) -> DataFrame:
