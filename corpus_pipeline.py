@@ -52,7 +52,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 @keeping("component_id")
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of exact and near copies (five-word shingles, similarity of at least 0.8) the document with the
-    smallest id stays. Rows repeated with one id stay or go together; rows without id stay. Null and empty texts are
+    smallest id stays. Links of SimHash fingerprints, and min-hash bands for copies too far apart for those, say which texts
+    meet; the shingles decide. Rows repeated with one id stay or go together; rows without id stay. Null and empty texts are
     copies of one another, and so are texts with the same words. Very long texts are compared whole; an empty table gives an empty result."""
     groups = simhash.near_copies(docs)
     gone = stored(groups.where("doc_id <> component_id").select("doc_id").distinct(), "copies")

@@ -11,8 +11,10 @@ remaining bits are indexed with all the wildcards that the distance still allows
 are all within the distance, so each is linked to the key's smallest. No link between components is lost.
 
 near_copies() links texts by the Jaccard similarity of their sets of five-word shingles (64-bit hashes), decided on
-the shingles themselves. Candidates agree in one of BANDS bands of a one-permutation min-hash, whichever words they
-have, and to ``LOOSE`` in the whole sketch; a pair of similarity 0.8 misses all bands once in ten thousand times.
+the shingles themselves. Candidates are first the texts whose fingerprints the search above links. Fingerprints of texts
+of similarity 0.8 are about ten bits apart, which no index of variants reaches; such pairs are added where they agree in
+one of BANDS bands of a one-permutation min-hash, whichever words they have, and to ``LOOSE`` in the whole sketch; a
+pair of similarity 0.8 misses all bands once in ten thousand times, one of few shingles more often.
 Candidates only say which texts meet: in each component of candidates all pairs are searched for exact links, so that
 no pair hangs on a third text. Keys and components too large for one task are dealt into blocks, and each pair of blocks is searched.
 
@@ -55,8 +57,12 @@ def fingerprint(text: bytes | None, size: int) -> int:
     n = max(1, len(words) - size + 1) if words else 0
     if not n:
         return 0
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles(words, size), repeat(SEED)), np.uint64, n)
-    ones = np.zeros(64, np.int64)
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, shingles(words, size), repeat(SEED)), np.uint64, n))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    n, ones = len(hashes), np.zeros(64, np.int64)
     for k in range(0, n, BLOCK):
         part = hashes[k : k + BLOCK]
         ones += np.add.reduce(np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), axis=0, dtype=np.uint32)
@@ -201,10 +207,15 @@ LOOSE = 0.65
 TEXT_LIMIT = 64 << 20
 
 
+def all_hashes(text: bytes | None, size: int) -> np.ndarray:
+    """64-bit hashes of a text's shingles, repeats included."""
+    words = (text or b"").lower().split()
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles(words, size)), np.uint64)
+
+
 def shingle_hashes(text: bytes | None, size: int) -> np.ndarray:
     """The set of a text's shingles as sorted 64-bit hashes."""
-    words = (text or b"").lower().split()
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles(words, size)), np.uint64))
+    return np.unique(all_hashes(text, size))
 
 
 def least_hashes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,9 +250,13 @@ def _node(texts: list) -> np.ndarray:
 def _marks(size: int, batches):
     for batch in slices(batches):
         texts = batch.column(1).cast(pa.binary()).to_pylist()
-        least = [least_hashes(shingle_hashes(t, size)) for t in texts]
-        columns = [pa.array(_node(texts)), pa.array([len(t or b"") for t in texts], pa.int64()), pa.array([bands(*x) for x in least], pa.list_(pa.int64())), pa.array([_bytes(*x) for x in least], pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "node", "bytes", "bands", "sketch"])
+        least, fps = [], []
+        for t in texts:
+            hashes = all_hashes(t, size)
+            fps.append(majority(hashes))
+            least.append(least_hashes(np.unique(hashes)))
+        columns = [pa.array(_node(texts)), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array([len(t or b"") for t in texts], pa.int64()), pa.array([bands(*x) for x in least], pa.list_(pa.int64())), pa.array([_bytes(*x) for x in least], pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "node", "fp", "bytes", "bands", "sketch"])
 
 
 def _runs(part: np.ndarray) -> tuple[np.ndarray, list]:
@@ -316,13 +331,24 @@ def _linked(found: dict[int, np.ndarray], similarity: float) -> pa.RecordBatch:
     return _spanned(node, [np.arange(len(sets))], near)
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, limit: int = LIMIT, text_limit: int = TEXT_LIMIT) -> DataFrame:
+def fingerprint_links(nodes: DataFrame, distance: int, limit: int) -> DataFrame:
+    """Edges (a, b) between ``nodes`` (node, fp), whose components are those of all fingerprints at ``distance`` or nearer."""
+    firsts = stored(nodes.groupBy("fp").agg(F.min("node").alias("first")), "fingerprints")
+    links = candidate_links(firsts.select(F.col("fp").alias("node"), "fp"), distance, limit)
+    a, b = (firsts.select(F.col("fp").alias(x), F.col("first").alias(f"first_{x}")) for x in "ab")
+    near = links.join(a, "a").join(b, "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
+    equal = nodes.join(firsts, "fp").where("first <> node").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    return near.union(equal)
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, limit: int = LIMIT, text_limit: int = TEXT_LIMIT, distance: int = 2) -> DataFrame:
     """One row for each document: id and component_id (the smallest id of its group of exact and near copies).
-    Candidates are meant for a ``similarity`` of about 0.8 and more."""
+    Candidates, by fingerprints at ``distance`` or nearer and by bands, are meant for a ``similarity`` of about 0.8 and more."""
     few_rows(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    marked = stored(narrow.mapInArrow(partial(_marks, shingle), "id long, node long, bytes long, bands array<long>, sketch binary"), "marks")
-    nodes = stored(marked.groupBy("node").agg(F.min("id").alias("least"), *(F.first(x).alias(x) for x in ("bytes", "bands", "sketch"))), "nodes")
+    marked = stored(narrow.mapInArrow(partial(_marks, shingle), "id long, node long, fp long, bytes long, bands array<long>, sketch binary"), "marks")
+    nodes = stored(marked.groupBy("node").agg(F.min("id").alias("least"), *(F.first(x).alias(x) for x in ("fp", "bytes", "bands", "sketch"))), "nodes")
+    near = stored(fingerprint_links(nodes.select("node", "fp"), distance, limit), "near")
     keyed = nodes.select("node", F.explode("bands").alias("part"))
     counts = keyed.groupBy("part").agg(F.count("*").alias("n")).where("n > 1")
     shared = stored(keyed.join(small(stored(counts, "bands")), "part"), "shared")
@@ -332,7 +358,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         dealt = dealt.union(paired(many, ["part"], F.ceil(2 * F.col("n") / limit)).select("part", "node"))
     dealt = stored(dealt, "dealt")
     sketched = dealt.join(nodes.select("node", "sketch"), "node").repartition(enough(dealt), "part")
-    loose = connected_components(sketched.mapInArrow(partial(_sketched, min(LOOSE, similarity)), "a long, b long"))
+    loose = connected_components(near.union(sketched.mapInArrow(partial(_sketched, min(LOOSE, similarity)), "a long, b long")))
     members = stored(loose.withColumnRenamed("v", "node").join(nodes.select("node", "bytes"), "node"), "members")
     size = members.groupBy("root").agg(F.sum("bytes").alias("all"))
     members = stored(members.join(size, "root"), "members")

@@ -130,6 +130,37 @@ def test_near_copies(spark):
     assert all(got[3 * g + 2] == 3 * g + 2 for g in range(12)) and got[104] == 104
 
 
+def test_near_copies_by_fingerprints(spark):
+    """Short texts, whose shingles may all lie outside the min-hash bands, or differ in each band that they are in."""
+    rows = [(2 * i + j, t) for i in range(200) for j, t in enumerate((f"w{i} x y", f"W{i}  x y"))]
+    cycle = "mcm bqo zph wxu yvr " * 30
+    rows += [(400, cycle), (401, cycle + "more")]
+    hashes = [simhash.shingle_hashes(t.encode(), 5) for _, t in rows]
+    bands = [set(simhash.bands(*simhash.least_hashes(h))) for h in hashes]
+    assert not bands[400] & bands[401] and sum(not b for b in bands) > 2
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(frame).collect()}
+    assert got == {i: i // 2 * 2 for i, _ in rows}
+
+
+def test_fingerprint_links_match_brute_force(spark):
+    rng, rows = random.Random(8), []
+    for node in range(120):
+        near = rows and rng.random() < 0.6
+        fp = rng.choice(rows)[1] if near else simhash._long(rng.getrandbits(64))
+        for b in rng.sample(range(63), rng.randint(0, 4) if near else 0):
+            fp ^= 1 << b
+        rows.append((node, fp))
+    parent = {n: n for n, _ in rows}
+    for x, a in rows:
+        for y, b in rows[:x]:
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2:
+                union(parent, x, y)
+    links = simhash.fingerprint_links(spark.createDataFrame(rows, "node long, fp long"), 2, 20000)
+    got = {r.v: r.root for r in connected_components(links).collect()}
+    assert {n: got.get(n, n) for n in parent} == {n: find(parent, n) for n in parent}
+
+
 def brute_targets(sizes, weights=(1, 2, 3)):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
