@@ -25,6 +25,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MOST_ROWS, MOST_BYTES = 200_000, 32 << 20
 #: Texts that are sent to Python at a time.
 TEXTS = 1000
+#: Setting by which a finished execution's shuffle files go at once.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _C = ctypes.CDLL(None)
 
 
@@ -81,11 +83,24 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{run_dir(spark)}{_within.get()}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is executed inside go when it is done, and not when the driver happens to collect garbage."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREED) if before is None else spark.conf.set(FREED, before)
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
-    """The frame, written to the shared folder and read back: its lineage is cut and it is made once."""
+    """The frame, written to the shared folder and read back: its lineage is cut, it is made once, and the shuffle files
+    that it was made from are no longer needed."""
     spark = frame.sparkSession
     path = scratch(spark, name)
-    frame.write.parquet(path)
+    with freeing(spark):
+        frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

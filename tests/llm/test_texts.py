@@ -2,16 +2,35 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import language_id, license_scan, sentence_pieces, suffix_dedup, warc
+from sluice.llm import common, language_id, license_scan, sentence_pieces, suffix_dedup, warc
 from sluice.llm.common import scratch
 
 
 # ---------------------------------------------------------------- suffix dedup
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    """Steps of op4_suffix_dedup move more than the texts; their shuffle files must not pile up on one another."""
+    before = shuffle_files(spark)
+    texts = spark.range(20_000).select((F.col("id") % 97).alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    made = common.stored(texts.groupBy("key").agg(F.collect_list("text").alias("texts")), "grouped")
+    for _ in range(50):  # files go in the background
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before and made.count() == 97
+    assert spark.conf.get(common.FREED, None) is None
+
+
 def brute_cut(rows, span=50):
     seen = {}
     for i, t in rows:
