@@ -162,14 +162,15 @@ def units_of(files: DataFrame, vectors: Vectors, path_col: str, text_col: str, l
 
 
 def scored_units(units: DataFrame, vectors: Vectors, least: float) -> DataFrame:
-    """(uid, license, full, score): the licences that a unit meets, by a whole licence or a notice, with 4 decimals."""
-    counted = units.select("uid", "unit").distinct().select("uid", F.explode(F.split("unit", " ")).alias("term")).groupBy("uid", "term").agg(F.count("*").alias("tf"))
+    """(uid, license, full, score): the licences that a unit meets, by a whole licence or a notice, with 4 decimals.
+    Units move once, whole, to the task that counts, weighs and compares their words."""
+    once = units.groupBy("uid").agg(F.first("unit").alias("unit"))
+    counted = once.select("uid", F.explode(F.split("unit", " ")).alias("term")).groupBy("uid", "term").agg(F.count("*").alias("tf"))
     weighed = counted.join(small(vectors.idf), "term", "left").select("uid", "term", (F.col("tf") * F.coalesce("idf", vectors.other)).alias("w"))
-    weighed = stored(weighed, "weighed")
-    norms = weighed.groupBy("uid").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("unit_norm"))
-    dots = weighed.alias("u").join(small(vectors.words).alias("t"), "term").groupBy("uid", "license", "full", "template", "norm").agg(F.sum(F.col("u.w") * F.col("t.w")).alias("dot"))
-    scored = dots.join(norms, "uid").select("uid", "license", "full", F.round(F.col("dot") / (F.col("norm") * F.col("unit_norm")), 4).alias("score"))
-    return stored(scored.where(F.col("score") >= least).groupBy("uid", "license", "full").agg(F.max("score").alias("score")), "scored")
+    normed = weighed.withColumn("unit_norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("uid"))))
+    dots = normed.alias("u").join(small(vectors.words).alias("t"), "term").groupBy("uid", "unit_norm", "license", "full", "template", "norm").agg(F.sum(F.col("u.w") * F.col("t.w")).alias("dot"))
+    scored = dots.select("uid", "license", "full", F.round(F.col("dot") / (F.col("norm") * F.col("unit_norm")), 4).alias("score"))
+    return scored.where(F.col("score") >= least).groupBy("uid", "license", "full").agg(F.max("score").alias("score"))
 
 
 def owned_licences(units: DataFrame, scored: DataFrame) -> DataFrame:
@@ -200,7 +201,7 @@ def scan(files: DataFrame, templates: DataFrame | None = None, path_col: str = "
         templates = spark.createDataFrame(TEMPLATES, "license string, text string")
     vectors = Vectors(files, text_col, templates, least)
     units = units_of(files, vectors, path_col, text_col, least)
-    owned = owned_licences(units, scored_units(units, vectors, least))
+    owned = owned_licences(units, stored(scored_units(units, vectors, least), "scored"))
     nearest = nearest_folders(files, owned, path_col)
     out = files.withColumns({"__key": key_of(F.col(path_col), F.col(text_col)), "__own": folder_of(F.col(path_col))})
     out = out.join(small(owned.select(F.col("key").alias("__key"), F.col("license").alias("__l"), F.col("score").alias("__s"))), "__key", "left").join(small(nearest), "__own", "left")

@@ -331,6 +331,18 @@ def brute_licences(texts, templates, least=license_scan.LEAST):
     return [(x[2], -x[1]) if x else (None, None) for x in out]
 
 
+def test_units_move_once_to_be_scored(spark):
+    """op7_license_scan: the words of the units are not shuffled, which took more disk than the limit."""
+    files = spark.createDataFrame([(f"d{i}/f", t) for i, (_, t) in enumerate(license_scan.TEMPLATES)], "path string, text string")
+    templates = spark.createDataFrame(license_scan.TEMPLATES, "license string, text string")
+    vectors = license_scan.Vectors(files, "text", templates, license_scan.LEAST)
+    units = license_scan.units_of(files, vectors, "path", "text", license_scan.LEAST)
+    scored = license_scan.scored_units(units, vectors, license_scan.LEAST)
+    plan = scored._jdf.queryExecution().sparkPlan().toString() + scored._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", plan) == ["uid"]
+    assert {r.license for r in scored.collect()} == set(license_scan.IDS)
+
+
 def test_licences_match_brute_force(spark):
     rng, texts = random.Random(13), [None, ""]
     for _ in range(60):
