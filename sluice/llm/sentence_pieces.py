@@ -10,7 +10,9 @@ least over paths) is the encoding.
 For unigram models an arc weighs its piece's negative score. A BPE model's scores are merge ranks that don't add up
 along a path; its weights are on pairs of neighbouring pieces instead: 0 if merging the two pieces' characters gives
 these two pieces back, else infinite. A segmentation is the BPE encoding exactly if all its pairs weigh 0, and each
-prefix has one such path, so the lattice has one live state at a position.
+prefix has one such path, so the lattice has one live state at a position. Paths weigh 0 or infinite, so the first one
+to the end without an infinite arc is the shortest: it is searched depth first, longest pieces first, and enters few
+positions, none twice.
 
 No piece crosses the end of a word (a mark after another character) or a character that no longer piece holds, so all
 paths pass there: the lattice is cut at these places and each different part is solved once and kept. What is kept is
@@ -27,7 +29,9 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from array import array
 from functools import lru_cache, partial
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +45,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, DEFINED, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 KEPT, LONGEST_KEPT, PAIRS = 150_000, 48, 400_000
+NONE = float("-inf")
 
 
 # ---------------------------------------------------------------- model file
@@ -134,12 +139,15 @@ class Transducer:
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == UNKNOWN), 0)
         usable = {p: i for i, p in enumerate(self.pieces) if self.kinds[i] in (NORMAL, DEFINED)}
         self.ids = usable
-        self.trie: dict = {}
+        self.ranks = {p: self.scores[i] for p, i in usable.items()}
+        self.trie: dict[str, list] = {}  # by character: the piece that ends there or None, and the node below
         for p, i in usable.items():
-            node = self.trie
+            below = self.trie
             for c in p:
-                node = node.setdefault(c, {})
-            node[""] = i
+                arc = below.setdefault(c, [None, {}])
+                below = arc[1]
+            if p:
+                arc[0] = i
         if any(" " in p.lstrip(" ") for p in usable):
             raise ValueError("pieces that go on after a word's end aren't supported")
         joint = "".join(sorted({c for p in usable if len(p) > 1 for c in p} - {" "}))
@@ -154,12 +162,16 @@ class Transducer:
     # ------------------------------------------------------------ weights
     def merged(self, text: str) -> list[str]:
         """The pieces that merging by rank makes of a short text (the leftmost of equal ranks first)."""
-        parts = list(text)
-        while len(parts) > 1:
-            best = min(((-self.scores[k], i) for i in range(len(parts) - 1) if (k := self.ids.get(parts[i] + parts[i + 1])) is not None), default=None)
-            if best is None:
-                break
-            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+        parts, rank = list(text), self.ranks.get
+        ranks = [rank(a + b, NONE) for a, b in pairwise(parts)]
+        while ranks and (best := max(ranks)) != NONE:
+            i = ranks.index(best)
+            parts[i] += parts.pop(i + 1)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + parts[i], NONE)
+            if i < len(ranks):
+                ranks[i] = rank(parts[i] + parts[i + 1], NONE)
         return parts
 
     def fits(self, a: int, b: int) -> bool:
@@ -174,18 +186,42 @@ class Transducer:
         return known
 
     # ------------------------------------------------------------ shortest paths
+    def free_path(self, part: str) -> list[int] | None:
+        """The path of weight 0 through a BPE model's lattice, or None if there is none (a character is no piece)."""
+        n, pairs, out, todo, here, i = len(part), self.pairs, [], [], -1, 0
+        while i < n:
+            below, depth = self.trie, len(out)
+            while i < n and (arc := below.get(part[i])) is not None:
+                i += 1
+                k, below = arc
+                if k is not None:
+                    todo.append((depth, here, k, i))
+            while todo:
+                depth, here, k, i = todo.pop()
+                known = pairs.get(here << 32 | k)
+                if self.fits(here, k) if known is None else known:
+                    break
+            else:
+                return None
+            del out[depth:]
+            out.append(k)
+            here = k
+        return out
+
     def path(self, part: str) -> list[int]:
         """Shortest path through the lattice of a part."""
         n, bpe = len(part), self.kind == BPE
+        if bpe and (free := self.free_path(part)) is not None:
+            return free
         cost, last, back = [None] * n + [None], [-1] * (n + 1), [0] * (n + 1)
         cost[0] = 0.0
         for j in range(n):
             if cost[j] is None:
                 continue
-            node, i, here = self.trie, j, last[j]
-            while i < n and (node := node.get(part[i])) is not None:
+            below, i, here = self.trie, j, last[j]
+            while i < n and (arc := below.get(part[i])) is not None:
                 i += 1
-                k = node.get("")
+                k, below = arc
                 if k is None:
                     continue
                 if bpe:
@@ -207,15 +243,19 @@ class Transducer:
 
     def encode(self, text: str) -> np.ndarray:
         parts, kept = self.part.findall(self.normaliser.compose(text)), self.kept
-        try:
-            return np.frombuffer(b"".join([kept[p] for p in parts]), np.int32)
-        except KeyError:
-            pass
+        found = list(map(kept.get, parts))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if not new:
+            return np.frombuffer(b"".join(found), np.int32)
         solved, old = {}, self.older
-        for p in set(parts).difference(kept):
-            ids = old.get(p)
-            solved[p] = np.array(self.path(p), np.int32).tobytes() if ids is None else ids
-        out = b"".join([kept[p] if p in kept else solved[p] for p in parts])
+        for i in new:
+            p = parts[i]
+            ids = solved.get(p)
+            if ids is None:
+                ids = old.get(p)
+                solved[p] = ids = array("i", self.path(p)).tobytes() if ids is None else ids
+            found[i] = ids
+        out = b"".join(found)
         if len(kept) > KEPT:  # what is used goes on into the next generation
             self.older, self.kept = kept, {}
         self.kept.update(x for x in solved.items() if len(x[0]) <= LONGEST_KEPT)

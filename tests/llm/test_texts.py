@@ -136,6 +136,25 @@ def test_pieces_equal_the_library():
         assert net.decode(ids).decode("utf-8", "replace") == library.decode(ids)
 
 
+def test_lattices_are_searched_depth_first():
+    """op2_sentence_pieces spent most of its time in lattices: from each position of a word it looked for pieces."""
+    net, rng = sentence_pieces.Transducer(open(sentence_pieces.MODEL, "rb").read()), random.Random(2)
+
+    class Counted(dict):
+        entered = 0
+
+        def get(self, *of):
+            Counted.entered += 1
+            return super().get(*of)
+
+    net.trie = Counted(net.trie)
+    syllables = ["an", "ble", "wh", "tion", "he", "re", "ou", "st", "ea", "in", "d", "y"]
+    words = [" " + "".join(rng.choices(syllables, k=rng.randint(2, 6))) for _ in range(2000)]
+    found = [net.path(w) for w in words]
+    assert Counted.entered < 0.7 * sum(map(len, words))
+    assert [[net.pieces[k] for k in ids] for ids in found] == [net.merged(w) for w in words]
+
+
 def test_unigram_pieces_equal_the_library():
     from sentencepiece import sentencepiece_model_pb2 as pb
 
