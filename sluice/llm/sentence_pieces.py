@@ -148,6 +148,12 @@ class Transducer:
                 below = arc[1]
             if p:
                 arc[0] = i
+        self.shorter: list[int | None] = [None] * len(pieces)  # a piece's longest beginning that is a piece
+        for p, i in usable.items():
+            below = self.trie
+            for c in p[:-1]:
+                ends, below = below[c]
+                self.shorter[i] = self.shorter[i] if ends is None else ends
         if any(" " in p.lstrip(" ") for p in usable):
             raise ValueError("pieces that go on after a word's end aren't supported")
         joint = "".join(sorted({c for p in usable if len(p) > 1 for c in p} - {" "}))
@@ -188,23 +194,26 @@ class Transducer:
     # ------------------------------------------------------------ shortest paths
     def free_path(self, part: str) -> list[int] | None:
         """The path of weight 0 through a BPE model's lattice, or None if there is none (a character is no piece)."""
-        n, pairs, out, todo, here, i = len(part), self.pairs, [], [], -1, 0
+        n, trie, pairs, shorter, out, here, i = len(part), self.trie, self.pairs, self.shorter, [], -1, 0
         while i < n:
-            below, depth = self.trie, len(out)
-            while i < n and (arc := below.get(part[i])) is not None:
-                i += 1
-                k, below = arc
+            below, k, at = trie, None, i
+            while at < n and (arc := below.get(part[at])) is not None:
+                at += 1
+                ends, below = arc
+                if ends is not None:
+                    k = ends
+            while True:
+                while k is not None and not (self.fits(here, k) if (known := pairs.get(here << 32 | k)) is None else known):
+                    k = shorter[k]
                 if k is not None:
-                    todo.append((depth, here, k, i))
-            while todo:
-                depth, here, k, i = todo.pop()
-                known = pairs.get(here << 32 | k)
-                if self.fits(here, k) if known is None else known:
                     break
-            else:
-                return None
-            del out[depth:]
+                if not out:
+                    return None
+                last = out.pop()  # no piece goes on from here
+                i -= len(self.pieces[last])
+                here, k = out[-1] if out else -1, shorter[last]
             out.append(k)
+            i += len(self.pieces[k])
             here = k
         return out
 
