@@ -6,17 +6,19 @@ number of weighted, signed dimensions and scales to length 1, all in built-in fu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluice.functions import fixed, skills, text
+from sluice.functions import fixed, nearest, skills, text
 
 DIMENSIONS = 256
-#: Queries that are sent to every task at once.
-BLOCK = 5000
+#: Queries and vectors that meet in one task, about; pairs for which another task is worth while.
+BLOCK, VECTORS, PAIRS = 5000, 1 << 17, 1 << 22
 Embedder = Callable[[DataFrame, str, str], DataFrame]
 
 
@@ -36,15 +38,6 @@ def hashed_embedding(frame: DataFrame, text_col: str, out: str = "embedding", si
     return frame.withColumn("__v", summed).withColumn("__n", norm).withColumn(out, scaled).drop("__v", "__n")
 
 
-def dot(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
-
-
-def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
-
-
 def documents(jobs: DataFrame, silver: DataFrame) -> DataFrame:
     """(job_id, document, doc_hash) of what is to be embedded."""
     joined = jobs.join(silver.select("job_id", "description"), "job_id")
@@ -73,19 +66,32 @@ def sync(existing: DataFrame, wanted: DataFrame, embed: Embedder = hashed_embedd
 def search(vectors: DataFrame, queries: DataFrame, n: int = 10, where: Column | None = None, key: str = "job_id", query_key: str = "query_id", block: int = BLOCK) -> DataFrame:
     """(query_key, key, rank, similarity): for each query the n nearest by exact cosine, ties to the smaller key.
 
-    The queries are a stated set. They are counted and dealt into blocks of about ``block``, which bounds what goes to
-    every task; each task scores its vectors against a block, and the top n of each task meet in the final ranking."""
+    Queries and vectors are dealt into blocks of at most about ``block`` and ``VECTORS``; every block of the ones meets
+    every block of the others in a task of bounded memory, and the top n of each task meet in the final ranking."""
     vectors = vectors if where is None else vectors.where(where)
-    asked = queries.select(query_key, F.col("embedding").alias("__q"))
-    blocks = max(1, -(-asked.count() // block))
-    dealt, found = F.pmod(F.xxhash64(query_key), F.lit(blocks)), None
-    for b in range(blocks):
-        pairs = vectors.select(key, "embedding").join(F.broadcast(asked.where(dealt == b) if blocks > 1 else asked))
-        pairs = pairs.select(query_key, key, cosine(F.col("embedding"), F.col("__q")).alias("exact"))
-        order = W.partitionBy(query_key).orderBy(F.desc("exact"), key)
-        ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
-        found = ranked if found is None else found.unionByName(ranked)
-    return found.select(query_key, key, "rank", F.round("exact", 3).alias("similarity"), "exact")
+    found, asked = vectors.select(key, "embedding"), queries.select(query_key, F.col("embedding").alias("__q"))
+    across, down = blocks(found.count(), asked.count(), block, vectors.sparkSession.sparkContext.defaultParallelism)
+    part, each = lambda k, number: F.pmod(F.xxhash64(k), F.lit(number).cast("long")), lambda number: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(number - 1).cast("long")))
+    found = found.select(key, "embedding", part(key, across).alias("__across"), each(down).alias("__down"))
+    asked = asked.select(query_key, "__q", part(query_key, down).alias("__down"), each(across).alias("__across"))
+    kinds = dict(found.dtypes) | dict(asked.dtypes)
+
+    def task(some: pa.Table, others: pa.Table) -> pa.Table:
+        return nearest.nearest(some.select([query_key, "__q"]), others.select([key, "embedding"]), n).rename_columns([query_key, key, "exact"])
+
+    cells = asked.groupBy("__across", "__down").cogroup(found.groupBy("__across", "__down"))
+    pairs = cells.applyInArrow(task, f"`{query_key}` {kinds[query_key]}, `{key}` {kinds[key]}, exact double")
+    order = W.partitionBy(query_key).orderBy(F.desc("exact"), key)
+    ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    return ranked.select(query_key, key, "rank", F.round("exact", 3).alias("similarity"), "exact")
+
+
+def blocks(vectors: int, queries: int, block: int, cores: int) -> tuple[int, int]:
+    """How many blocks of vectors and of queries: as many as their sizes ask for, and more where cores would be idle."""
+    across, down = max(1, -(-vectors // VECTORS)), max(1, -(-queries // block))
+    more = min(2 * cores, vectors * queries // PAIRS) / (across * down)
+    times = math.ceil(math.sqrt(more)) if more > 1 else 1
+    return across * times, down * times
 
 
 def semantic_scores(hits: DataFrame, key: str = "job_id", query_key: str = "query_id") -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice import pipeline, schema
+from sluice.functions import nearest
 from sluice.operators import bronze, enrich, evaluate, gold, ledger, quality, silver, vectors
 from sluice.plans import catalogue
 from sluice.sources import landing
@@ -239,6 +240,45 @@ def test_search_of_every_twentieth_row(spark, tmp_path):
     assert {(r.query_id, r.job_id, r["rank"]) for r in blocks} == want
 
 
+def test_search_of_odd_vectors_in_many_blocks(spark, monkeypatch):
+    import duckdb
+
+    x = np.random.default_rng(5).normal(size=(400, 6)).astype(np.float32)
+    x[40:80], x[80:90], x[3] = x[0], 3 * x[0], 0  # copies, a longer copy and nothing at all
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(400, None), (401, [])]
+    found = spark.createDataFrame(rows, "job_id long, embedding array<float>")
+    asked = found.where("job_id % 20 = 0 or job_id in (3, 401)").withColumnRenamed("job_id", "query_id")
+    with duckdb.connect() as db:
+        db.execute("CREATE TABLE v (id BIGINT, e DOUBLE[])")
+        db.executemany("INSERT INTO v VALUES (?, ?)", rows)
+        scored = "SELECT q.id AS q, v.id, CASE WHEN len(v.e) = len(q.e) THEN list_cosine_similarity(v.e, q.e) END AS c FROM v, v q WHERE q.id % 20 = 0 OR q.id IN (3, 401)"
+        want = db.execute(f"SELECT q, id, row_number() OVER (PARTITION BY q ORDER BY c DESC NULLS LAST, id) AS r, c FROM ({scored}) QUALIFY r <= 12 ORDER BY q, r").fetchall()
+    monkeypatch.setattr(vectors, "VECTORS", 90)
+    hits = vectors.search(found, asked, 12, block=7)
+    assert "NestedLoopJoin" not in hits._jdf.queryExecution().toString() and "CartesianProduct" not in hits._jdf.queryExecution().toString()
+    got = [(r.query_id, r.job_id, r["rank"], r.exact) for r in hits.orderBy("query_id", "rank").collect()]
+    assert len(got) == len(want) == 23 * 12 and str(got) == str(want)  # to the last bit; NaN equals itself as text
+
+
+def test_nearest_past_the_first_parts():
+    x = np.random.default_rng(6).normal(size=(900, 5)).astype(np.float32)
+    x[100:200] = x[7]
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    sizes = nearest.QUERIES, nearest.VECTORS
+    try:
+        nearest.QUERIES, nearest.VECTORS = 16, 64
+        q, v, _ = nearest.best(x[::9], x, 20)
+    finally:
+        nearest.QUERIES, nearest.VECTORS = sizes
+    want = np.argsort(-np.round(unit[::9] @ unit.T, 12), axis=1, kind="stable")[:, :20]
+    assert (v.reshape(-1, 20) == want).all() and (q == np.repeat(np.arange(100), 20)).all()
+
+
+def test_blocks_of_a_search():
+    assert vectors.blocks(0, 0, 5000, 8) == (1, 1) and vectors.blocks(2000, 100, 5000, 8) == (1, 1)
+    assert vectors.blocks(100_000, 5000, 5000, 12) == (5, 5) and vectors.blocks(6_000_000, 300_000, 5000, 12) == (46, 60)
+
+
 def test_evaluation(spark, tmp_path):
     rows = [(k, "s", str(k), "Data Engineer", "C", "L", "We use Python and SQL daily. " * 9, True, k == 3) for k in range(5)]
     kinds = "job_id long, source string, source_job_id string, title string, company string, location string, description string, is_tech boolean, is_duplicate boolean"
