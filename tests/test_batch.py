@@ -279,6 +279,18 @@ def test_blocks_of_a_search():
     assert vectors.blocks(100_000, 5000, 5000, 12) == (5, 5) and vectors.blocks(6_000_000, 300_000, 5000, 12) == (46, 60)
 
 
+def test_match_of_copies_and_of_an_empty_vector(spark, tmp_path):
+    import duckdb
+
+    x = np.random.default_rng(8).normal(size=(200, 8)).astype(np.float32)
+    x[50:60], x[60:70], x[33] = x[20], 5 * x[20], 0
+    spark.createDataFrame([(i, v.tolist(), i % 10) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+        want = db.execute(catalogue.ORACLES["match_rerank"]).fetchall()
+    assert str([tuple(r) for r in catalogue.QUERIES["match_rerank"](spark, str(tmp_path)).collect()]) == str(want)
+
+
 def test_evaluation(spark, tmp_path):
     rows = [(k, "s", str(k), "Data Engineer", "C", "L", "We use Python and SQL daily. " * 9, True, k == 3) for k in range(5)]
     kinds = "job_id long, source string, source_job_id string, title string, company string, location string, description string, is_tech boolean, is_duplicate boolean"
