@@ -42,6 +42,8 @@ TECH_TITLE_EXACT = r"\bIT\b"
 # ---- fixed values: normalisation of keys
 COMPANY_SUFFIX = r"\b(gmbh|inc|ltd|llc|pvt|private|limited|corp|co|ag|se|plc)\b\.?"
 GENDER_TAG = r"\((m|w|f|d|x|all)(\s*/\s*(m|w|f|d|x))*\)|\b(m|f|w)/(m|f|w)/(d|x)\b"
+#: Found in any lower-case text in which the tag is.
+GENDER_START = r"\([mwfdxa]|[mfw]/[mfw]/[dx]"
 HASHED_CHARS = 2000
 
 # ---- fixed values: locations, in order of precedence

@@ -149,13 +149,19 @@ def newest_first(moment: Column) -> Column:
     return F.coalesce(-F.unix_micros(moment), F.lit((1 << 63) - 1))
 
 
-def flag_duplicates(records: DataFrame, key: str = "dedupe_key", order=None) -> DataFrame:
+def flag_duplicates(records: DataFrame, key: str = "dedupe_key", order=None, row: Column | None = None) -> DataFrame:
     """is_duplicate: all but the first of a key by ``order`` (source priority, newest, id). The first is found by
-    aggregation, so a key that very many rows share doesn't meet in one task; keys meet as digests."""
+    aggregation, so a key that very many rows share doesn't meet in one task; keys meet as digests. Records find
+    themselves among the first by their places in the order, so that the key is made once. ``row`` tells apart the rows
+    of one place (an id that stands twice); it follows from what the key is made of, or is the key."""
     order = order or [source_rank(F.col("source")), newest_first(F.col("posted_at")), F.col("job_id")]
-    marked = records.withColumns({"__key": F.sha2(F.coalesce(F.col(key), F.lit("")), 256), "__at": F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)))})
-    first = marked.groupBy("__key").agg(F.min("__at").alias("__first"))
-    return marked.join(first, "__key").withColumn("is_duplicate", F.col("__at") != F.col("__first")).drop("__key", "__at", "__first")
+    places = [c.alias(f"__o{i}") for i, c in enumerate([*order, F.xxhash64(key) if row is None else row])]
+    names = [f"__o{i}" for i in range(len(places))]
+    digest = F.sha2(F.coalesce(F.col(key), F.lit("")), 256).alias("__key")
+    first = records.select(digest, F.struct(*places).alias("__at")).groupBy("__key").agg(F.min("__at").alias("__first")).select("__first.*", F.lit(False).alias("__later"))
+    marked, first = records.select("*", *places).alias("m"), first.alias("f")
+    found = marked.join(first, [F.col(f"m.{n}").eqNullSafe(F.col(f"f.{n}")) for n in names], "left")
+    return found.select(*(F.col(f"m.`{c}`") for c in records.columns), F.coalesce("__later", F.lit(True)).alias("is_duplicate"))
 
 
 def build_silver(bronze: DataFrame, previous: DataFrame, at: Column, keep: Callable[[DataFrame], DataFrame] = lambda frame: frame, **options) -> tuple[DataFrame, DataFrame]:

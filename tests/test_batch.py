@@ -223,6 +223,14 @@ def test_stream(spark, tmp_path):
     assert pipeline.Store(spark, root).read("bronze", schema.BRONZE).count() == 2
 
 
+def test_duplicates_are_keyed_once(spark, tmp_path):
+    rows = [(1, "A b", "src9", 5), (2, "a  B!", "src3", 1), (3, "a (m/w/d) b", "src3", 9), (4, "c", "src1", None), (4, "A-B", "src1", None), (5, "C.", "src1", 2), (7, "é", "src3", 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    flagged = catalogue.QUERIES["dedupe_flag"](spark, str(tmp_path))
+    assert sorted((r.doc_id, r.is_duplicate) for r in flagged.collect()) == [(1, True), (2, True), (3, False), (4, True), (4, True), (5, False), (7, False)]
+    assert flagged._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_silver_of_nothing(spark):
     assert silver.to_silver(spark.createDataFrame([], schema.BRONZE)).count() == 0
 

@@ -79,6 +79,12 @@ def test_keys(spark):
 
 
 def test_excerpts_and_chunks(spark):
+def test_gender_tags_of_titles(spark):
+    titles = ["Dev (m/w/d)", "Dev (ALL)", "Dev (M / F / X) x", "Dev m/f/d", "xm/f/d Dev", "Dev (abc) m/z/d", "Dev w/M/X.", "Dev (m\u00a0/\u2003w)", "(x)(d)Dev", "Dev \u0131m/w/d"]
+    want = ["dev", "dev", "dev x", "dev", "xm f d dev", "dev abc m z d", "dev", "dev", "dev", "dev m w d"]
+    assert values(spark, titles, "string", text.norm_title) == want
+
+
     long = "We are great. " * 40
     posting = f"{long}\n\nRequirements: Python and SQL\n\n{long}\n- Kafka"
     assert text.best_paragraphs(posting, 60) == "Requirements: Python and SQL\n\n- Kafka" and text.best_paragraphs("short", 60) == "short"
