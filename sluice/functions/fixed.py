@@ -80,6 +80,11 @@ HEADINGS = (
     r"requirement|qualification|you have|you bring|what you.?ll need|your profile|skills|experience with|"
     r"must have|nice to have|tech stack|we.?re looking for|anforderung|dein profil|ihr profil|das bringst du"
 )
+#: In lower case, one of these is in whatever holds a heading.
+HEADING_PIECES = (
+    "requirement", "qualification", "you have", "you bring", "ll need", "your profile", "skills", "experience with",
+    "must have", "nice to have", "tech stack", "re looking for", "anforderung", "dein profil", "ihr profil", "das bringst du",
+)
 HEADING_WORTH, PARAGRAPH_GAP = 3, 2
 PARAGRAPH_END = re.compile(r"\n\s*\n|\n(?=- )")
 

@@ -25,14 +25,43 @@ def patterns(vocabulary=None, exact=None) -> list[tuple[str, str, bool]]:
     return out
 
 
+#: Letters that ignoring case takes for an ASCII letter, beside its upper case.
+FOLDED = (("\u0130", "i"), ("\u0131", "i"), ("\u017f", "s"), ("\u212a", "k"))
+WORD = re.compile(r"\w+")
+
+
+def lowered(text: str) -> str:
+    """Lower case in which every ASCII letter stands that a search without case would find."""
+    for letter, instead in () if text.isascii() else FOLDED:
+        text = text.replace(letter, instead)
+    return text.lower()
+
+
 @lru_cache(maxsize=1)
 def _compiled():
-    return [(c, re.compile(p, 0 if case else re.IGNORECASE)) for c, p, case in patterns()]
+    """First word, in lower case -> [(canonical name, pattern)]. BEFORE and AFTER let a name begin and end only where its
+    first word is a whole word of the text."""
+    out: dict[str, list] = {}
+    for canonical, more in fixed.SKILLS.items():
+        for name in (canonical, *more):
+            if not name.isascii():
+                raise ValueError(f"not an ASCII name: {name}")
+            case = 0 if name in fixed.CASE_SENSITIVE else re.IGNORECASE
+            out.setdefault(WORD.search(name)[0].lower(), []).append((canonical, re.compile(BEFORE + re.escape(name) + AFTER, case)))
+    return out
+
+
+def matcher(text: str | None = None):
+    """Python function for use inside UDFs: text, or part of the given text -> set of canonical names. Only names whose
+    first word is in the text are looked for."""
+    rules = _compiled()
+    some = None if text is None else {w: rules[w] for w in rules.keys() & set(WORD.findall(lowered(text)))}
 
+    def find(part: str) -> set[str]:
+        within = rules if some is None else some
+        return {c for w in within.keys() & set(WORD.findall(lowered(part))) for c, p in within[w] if p.search(part)} if within else set()
 
-def matcher():
-    """Python function for use inside UDFs: text -> set of canonical names."""
-    return lambda text: {c for c, p in _compiled() if p.search(text)}
+    return find
 
 
 def overlapping(names: list[str]) -> bool:

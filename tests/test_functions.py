@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 import pytest
@@ -78,13 +79,13 @@ def test_keys(spark):
     assert [r[0] for r in frame.select(text.dedupe_key(F.col("c"), F.col("t"))).collect()] == ["acme kg|data engineer c++", "d sseldorf|tester", "|"]
 
 
-def test_excerpts_and_chunks(spark):
 def test_gender_tags_of_titles(spark):
     titles = ["Dev (m/w/d)", "Dev (ALL)", "Dev (M / F / X) x", "Dev m/f/d", "xm/f/d Dev", "Dev (abc) m/z/d", "Dev w/M/X.", "Dev (m\u00a0/\u2003w)", "(x)(d)Dev", "Dev \u0131m/w/d"]
     want = ["dev", "dev", "dev x", "dev", "xm f d dev", "dev abc m z d", "dev", "dev", "dev", "dev m w d"]
     assert values(spark, titles, "string", text.norm_title) == want
 
 
+def test_excerpts_and_chunks(spark):
     long = "We are great. " * 40
     posting = f"{long}\n\nRequirements: Python and SQL\n\n{long}\n- Kafka"
     assert text.best_paragraphs(posting, 60) == "Requirements: Python and SQL\n\n- Kafka" and text.best_paragraphs("short", 60) == "short"
@@ -94,6 +95,17 @@ def test_gender_tags_of_titles(spark):
     assert values(spark, texts, "string", text.chunk_text) == want
 
 
+def test_paragraphs_are_searched_only_for_what_their_text_holds(monkeypatch):
+    posting = "We \u017fql a\u212bre kaf\u212aa great.\n\nYOUR PROF\u0130LE: l\u0131nux\n\nGo, .NET and C++\n\nno go here, RR\n\nrest ap\u0131, A/B te\u017fting"
+    find, every = skills.matcher(posting), {c: [re.compile(p, 0 if case else re.IGNORECASE) for n, p, case in skills.patterns() if n == c] for c in fixed.SKILLS}
+    for part in posting.split("\n\n"):
+        assert find(part) == skills.matcher()(part) == {c for c, some in every.items() if any(p.search(part) for p in some)}
+    assert text.best_paragraphs(posting, 30) == "YOUR PROF\u0130LE: l\u0131nux"
+    assert all(re.search(fixed.HEADINGS, x) for x in ("what youll need", "were looking for", *(p for p in fixed.HEADING_PIECES if p not in ("ll need", "re looking for"))))
+    monkeypatch.setattr(skills, "_compiled", lambda: dict.fromkeys(["python"], [("Python", None)]))
+    assert text.best_paragraphs("Nothing of it.\n\n" * 20, 20) == "Nothing of it."  # no pattern is tried
+
+
 def test_moments(spark):
     rows = ["1790000000", "20261002", "2026-01-02T03:04:05Z", "2026-01-02T03:04:05+02:00", "2026-01-02", "", "0", None, "soon"]
     got = values(spark, rows, "string", lambda x: moment.parse_moment(x).cast("timestamp_ntz"))
